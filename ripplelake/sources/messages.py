@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ripplelake.functions import wire
@@ -39,13 +39,18 @@ def ingest_counters(lines: DataFrame) -> DataFrame:
     return wire.with_error(frames(lines)).agg(*ingest_totals())
 
 
+def key_bytes(key: str = "kafka_key") -> Column:
+    """UTF-8 bytes of the key; an empty one is null."""
+    return F.nullif(F.col(key), F.lit("")).cast("binary")
+
+
+def value_bytes(text: str = "raw_message") -> Column:
+    """UTF-8 bytes of the JSON text, unchanged."""
+    return F.col(text).cast("binary")
+
+
 def kafka_records(messages: DataFrame, topic: str = TOPIC) -> DataFrame:
-    """Records for a topic: the JSON text unchanged as bytes, an empty key as null."""
-    return messages.select(
-        F.nullif(F.col("kafka_key"), F.lit("")).cast("binary").alias("key"),
-        F.col("raw_message").cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-    )
+    return messages.select(key_bytes().alias("key"), value_bytes().alias("value"), F.lit(topic).alias("topic"))
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
