@@ -8,35 +8,36 @@ from pyspark.sql import functions as F
 from ripplelake.schema import ANONYMOUS_PREFIX, SITE_SUFFIX
 
 
-def language_of(wiki: Column) -> Column:
+def language_of(wiki: str) -> Column:
     """Site name without one trailing ``wiki``; other names stay as they are."""
-    return F.when(
-        wiki.endswith(SITE_SUFFIX), F.substring(wiki, F.lit(1), F.length(wiki) - len(SITE_SUFFIX))
-    ).otherwise(wiki)
+    return F.expr(
+        f"CASE WHEN endswith({wiki}, '{SITE_SUFFIX}') "
+        f"THEN substring({wiki}, 1, length({wiki}) - {len(SITE_SUFFIX)}) ELSE {wiki} END"
+    )
 
 
-def is_anonymous(user: Column) -> Column:
-    return user.like(f"{ANONYMOUS_PREFIX}%")
+def is_anonymous(user: str) -> Column:
+    return F.expr(f"{user} LIKE '{ANONYMOUS_PREFIX}%'")
 
 
-def start_of(unit: str, ts: Column) -> Column:
+def start_of(unit: str, ts: str) -> Column:
     """Start of the second, minute or hour."""
     return F.date_trunc(unit, ts)
 
 
-def day_number(ts: Column) -> Column:
+def day_number(ts: str) -> Column:
     """``20240131``."""
     return F.date_format(ts, "yyyyMMdd").cast("int")
 
 
-def month_number(ts: Column) -> Column:
+def month_number(ts: str) -> Column:
     """``202401``."""
     return F.date_format(ts, "yyyyMM").cast("int")
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    """Whole seconds from ``start`` to ``end``, counting second boundaries as whole-second values do."""
-    return F.unix_timestamp(F.date_trunc("second", end)) - F.unix_timestamp(F.date_trunc("second", start))
+def seconds_between(start: str, end: str) -> Column:
+    """Seconds from ``start`` to ``end``, both cut to whole seconds."""
+    return F.unix_seconds(F.date_trunc("second", end)) - F.unix_seconds(F.date_trunc("second", start))
 
 
 def readable_size(size: Column) -> Column:

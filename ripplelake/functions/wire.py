@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ripplelake.schema import FRAME_PREFIX, MAX_EPOCH_SECONDS, WIRE
 
-JSON_SPACE = " \t\r\n"
+JSON_SPACE = r" \t\r\n"
 
 _STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
 
@@ -27,11 +27,6 @@ _WRAPPED = T.StructType(
     ]
 )
 
-_PROBE = T.StructType.fromDDL(
-    "type variant, title variant, user variant, comment variant, wiki variant, "
-    "meta struct<id: variant, domain: variant>"
-)
-
 _NUMBER = r"^-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$"
 
 
@@ -42,109 +37,88 @@ def spread(df: DataFrame, struct: Column) -> DataFrame:
 
 def with_error(df: DataFrame, text: str = "raw_message") -> DataFrame:
     """Add ``_error``: empty for a message that is exactly one JSON object, else the reason."""
-    wrapped = F.concat(F.lit('{"_items":['), F.col(text), F.lit('],"_end":1}'))
-    body = F.ltrim(F.coalesce(F.col(text), F.lit("")), F.lit(JSON_SPACE))
-    one_object = (
-        F.col("_broken").isNull()
-        & (F.col("_end") == 1)
-        & (F.size("_items") == 1)
-        & F.col("_items")[0].isNotNull()
-    )
-    error = (
-        F.when(F.coalesce(one_object, F.lit(False)), "")
-        .when(body == "", "empty message")
-        .when(body.startswith("{"), "malformed JSON")
-        .otherwise("not a JSON object")
-    )
-    return spread(df, F.from_json(wrapped, _WRAPPED, _STRICT)).select(*df.columns, error.alias("_error"))
-
-
-def _reads_as_other_type(text: Column) -> Column:
-    """True where ``text`` could have been an unquoted number, boolean, array or object."""
-    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
-    return F.coalesce(
-        text.isin("true", "false")
-        | (first.isin(*"-0123456789") & text.rlike(_NUMBER))
-        | ((first == "{") & (last == "}"))
-        | ((first == "[") & (last == "]")),
-        F.lit(False),
+    wrapped = f"""'{{"_items":[' || {text} || '],"_end":1}}'"""
+    one_object = "_broken IS NULL AND _end = 1 AND size(_items) = 1 AND _items[0] IS NOT NULL"
+    body = f"ltrim('{JSON_SPACE}', coalesce({text}, ''))"
+    error = F.expr(
+        f"CASE WHEN {one_object} THEN '' WHEN {body} = '' THEN 'empty message' "
+        f"WHEN startswith({body}, '{{') THEN 'malformed JSON' ELSE 'not a JSON object' END AS _error"
     )
+    return spread(df, F.from_json(F.expr(wrapped), _WRAPPED, _STRICT)).select(*df.columns, error)
 
 
 def parse_wire(df: DataFrame, text: str = "raw_message") -> DataFrame:
-    """Add the event fields; a text field that holds another JSON type becomes ``''``.
+    """Add the event fields, each null where it is missing or of another type."""
+    return spread(df, F.from_json(text, WIRE))
 
-    Spark reads a JSON number into a string field as its digits.  Only rows where some text could be
-    such a value are looked at again, with type information.
+
+def strict_text(field: str, text: str = "raw_message") -> Column:
+    """A parsed text field; missing and non-text values are ``''``.
+
+    Spark reads an unquoted number, boolean, array or object into a string field as its JSON text.  Only
+    where the value could be such a text is the message looked at again, for the type of this field.
     """
-    texts = ["type", "title", "user", "comment", "wiki", "meta.id", "meta.domain"]
-    parsed = spread(df, F.from_json(text, WIRE))
-    doubtful = F.lit(False)
-    for name in texts:
-        doubtful = doubtful | _reads_as_other_type(F.col(name))
-    probe = F.when(F.col("_doubtful"), F.from_json(text, _PROBE)).alias("_probe")
-    probed = parsed.withColumn("_doubtful", doubtful).select("*", F.inline(F.array(F.struct(probe))))
-
-    def text_or_empty(name: str) -> Column:
-        other = F.col("_doubtful") & (F.schema_of_variant(F.col(f"_probe.{name}")) != "STRING")
-        return F.when(other, "").otherwise(F.coalesce(F.col(name), F.lit("")))
-
-    plain = [n for n in WIRE.fieldNames() if n not in texts and n != "meta"]
-    return probed.select(
-        *df.columns,
-        *plain,
-        *[text_or_empty(n).alias(n) for n in texts[:5]],
-        F.struct(text_or_empty("meta.id").alias("id"), text_or_empty("meta.domain").alias("domain")).alias("meta"),
+    doubtful = (
+        f"(substring({field}, 1, 1) IN ('-', '0', '1', '2', '3', '4', '5', '6', '7', '8', '9') "
+        f"AND {field} RLIKE '{_NUMBER}') OR {field} IN ('true', 'false') "
+        f"OR (startswith({field}, '{{') AND endswith({field}, '}}')) "
+        f"OR (startswith({field}, '[') AND endswith({field}, ']'))"
+    )
+    *parents, name = field.split(".")
+    schema = f"{name} variant"
+    for parent in reversed(parents):
+        schema = f"{parent} struct<{schema.replace(' ', ': ', 1)}>"
+    kind = f"schema_of_variant(from_json({text}, '{schema}').{field})"
+    return F.expr(
+        f"CASE WHEN {field} IS NULL THEN '' WHEN ({doubtful}) AND {kind} != 'STRING' THEN '' ELSE {field} END"
     )
 
 
-def integer(value: Column) -> Column:
-    return F.coalesce(value, F.lit(0))
+def integer(field: str) -> Column:
+    return F.expr(f"coalesce({field}, 0)")
 
 
-def unsigned(value: Column) -> Column:
+def unsigned(field: str) -> Column:
     """Negative and missing values read as 0."""
-    return F.greatest(F.coalesce(value, F.lit(0)), F.lit(0))
+    return F.expr(f"greatest(coalesce({field}, 0), 0)")
 
 
-def flag(value: Column) -> Column:
+def flag(field: str) -> Column:
     """Boolean as 0/1, missing as 0."""
-    return F.coalesce(value, F.lit(False)).cast("int")
+    return F.expr(f"CAST(coalesce({field}, false) AS INT)")
 
 
-def difference(a: Column, b: Column) -> Column:
-    return F.coalesce(F.try_subtract(a, b), F.lit(0))
+def difference(a: str, b: str) -> Column:
+    return F.expr(f"coalesce(try_subtract({a}, {b}), 0)")
 
 
-def epoch_to_timestamp(seconds: Column) -> Column:
+def epoch_to_timestamp(field: str) -> Column:
     """Epoch seconds as a timestamp, kept within the 32-bit range instead of raising."""
-    return F.timestamp_seconds(F.least(unsigned(seconds), F.lit(MAX_EPOCH_SECONDS)))
+    return F.expr(f"timestamp_seconds(least(greatest(coalesce({field}, 0), 0), {MAX_EPOCH_SECONDS}))")
 
 
-def frame_payload(line: Column) -> Column:
-    """Text after the frame prefix; null for comments, heartbeats and blank lines."""
-    return F.when(line.startswith(FRAME_PREFIX), F.substring(line, len(FRAME_PREFIX) + 1, 2**31 - 1))
+def frame_payload(line: str) -> Column:
+    """Text after the frame prefix."""
+    return F.expr(f"substring({line}, {len(FRAME_PREFIX) + 1})")
 
 
 _KEY_FIELDS = T.StructType.fromDDL("meta struct<id: variant>, title variant, id variant")
 
 
-def _truthy_text(v: Column) -> Column:
-    """Text of a JSON value, or null where the value counts as absent (null, '', 0, false, [], {})."""
-    kind, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+def _usable_text(field: str) -> str:
+    """Text of a JSON value, null where the value counts as absent (null, '', 0, false, [], {})."""
+    kind, text = f"schema_of_variant({field})", f"try_variant_get({field}, '$', 'string')"
     return (
-        F.when(v.isNull() | kind.isin("VOID", "ARRAY<VOID>", "OBJECT<>"), None)
-        .when(kind == "STRING", F.nullif(text, F.lit("")))
-        .when(kind == "BOOLEAN", F.when(text == "true", "True"))
-        .when(F.try_variant_get(v, "$", "double") == 0, None)
-        .otherwise(text)
+        f"CASE WHEN {field} IS NULL OR {kind} IN ('VOID', 'ARRAY<VOID>', 'OBJECT<>') THEN NULL "
+        f"WHEN {kind} = 'STRING' THEN nullif({text}, '') "
+        f"WHEN {kind} = 'BOOLEAN' THEN CASE WHEN {text} = 'true' THEN 'True' END "
+        f"WHEN try_variant_get({field}, '$', 'double') = 0 THEN NULL ELSE {text} END"
     )
 
 
 def with_message_key(df: DataFrame, text: str = "raw_message", name: str = "kafka_key") -> DataFrame:
     """Add the message key: first usable of ``meta.id``, ``title``, ``id``, else ``''``."""
-    fields = F.from_json(text, _KEY_FIELDS).alias("_key_fields")
-    key = F.coalesce(
-        *[_truthy_text(F.col(f"_key_fields.{f}")) for f in ("meta.id", "title", "id")], F.lit("")
-    )
+    fields = F.from_json(text, _KEY_FIELDS).alias("_key")
+    choices = [_usable_text(f"_key.{f}") for f in ("meta.id", "title", "id")]
+    key = F.expr(f"coalesce({', '.join(choices)}, '')")
     return spread(df, F.struct(fields)).select(*[c for c in df.columns if c != name], key.alias(name))

@@ -194,5 +194,5 @@ def ingestion_rate(events: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 def processing_lag(events: DataFrame, as_of: AsOf = None, span: str = "5 MINUTES") -> DataFrame:
     recent = report.trailing(events, "ingested_at", span, as_of, inclusive=False)
-    lag = seconds_between(F.col("timestamp"), F.col("ingested_at"))
+    lag = seconds_between("timestamp", "ingested_at")
     return recent.agg(F.round(F.avg(lag), 2).alias("avg_lag_seconds"), F.max(lag).alias("max_lag_seconds"))

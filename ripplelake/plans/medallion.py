@@ -19,34 +19,36 @@ def bronze_of(stamped: DataFrame) -> DataFrame:
 
 def silver_rows(bronze: DataFrame, carry: tuple[str, ...] = ("kafka_partition", "kafka_offset")) -> DataFrame:
     """Typed, validated and enriched rows, one per accepted delivery."""
-    event = wire.parse_wire(bronze)
-    old, new = wire.integer(F.col("length.old")), wire.integer(F.col("length.new"))
     columns: dict[str, Column] = {
-        "event_id": wire.unsigned(F.col("id")),
-        "event_uuid": F.col("meta.id"),
+        "event_id": wire.unsigned("id"),
+        "event_uuid": wire.strict_text("meta.id"),
         "event_type": F.col("type"),
-        "namespace": wire.integer(F.col("namespace")),
-        "title": F.col("title"),
-        "page_id": wire.unsigned(F.col("page_id")),
-        "user": F.col("user"),
-        "user_is_bot": wire.flag(F.col("bot")),
-        "user_is_anonymous": is_anonymous(F.col("user")).cast("int"),
-        "wiki": F.col("wiki"),
-        "language": language_of(F.col("wiki")),
-        "domain": F.col("meta.domain"),
-        "comment": F.substring("comment", 1, COMMENT_CHARS),
-        "is_minor": wire.flag(F.col("minor")),
-        "is_patrolled": wire.flag(F.col("patrolled")),
-        "length_old": old,
-        "length_new": new,
-        "length_delta": wire.difference(new, old),
-        "revision_old": wire.unsigned(F.col("revision.old")),
-        "revision_new": wire.unsigned(F.col("revision.new")),
-        "event_timestamp": wire.epoch_to_timestamp(F.col("timestamp")),
+        "namespace": wire.integer("namespace"),
+        "title": wire.strict_text("title"),
+        "page_id": wire.unsigned("page_id"),
+        "user": wire.strict_text("user"),
+        "user_is_bot": wire.flag("bot"),
+        "wiki": wire.strict_text("wiki"),
+        "domain": wire.strict_text("meta.domain"),
+        "comment": F.substring(wire.strict_text("comment"), 1, COMMENT_CHARS),
+        "is_minor": wire.flag("minor"),
+        "is_patrolled": wire.flag("patrolled"),
+        "length_old": wire.integer("length.old"),
+        "length_new": wire.integer("length.new"),
+        "revision_old": wire.unsigned("revision.old"),
+        "revision_new": wire.unsigned("revision.new"),
+        "event_timestamp": wire.epoch_to_timestamp("timestamp"),
         "ingested_at": F.col("ingested_at"),
     }
-    usable = F.col("type").isin(*KEPT_TYPES) & (F.col("title") != "") & (F.col("user") != "")
-    return event.where(usable).select(*[c.alias(n) for n, c in columns.items()], *carry)
+    # No other JSON type reads as one of the kept types, so the type needs no closer look.
+    kept = wire.parse_wire(bronze).where(F.col("type").isin(*KEPT_TYPES))
+    rows = kept.select(*[c.alias(n) for n, c in columns.items()], *carry).where("title != '' AND user != ''")
+    derived = {
+        "user_is_anonymous": is_anonymous("user").cast("int"),
+        "language": language_of("wiki"),
+        "length_delta": wire.difference("length_new", "length_old"),
+    }
+    return rows.withColumns(derived).select(*SILVER.columns.fieldNames(), *carry)
 
 
 def silver_of(bronze: DataFrame) -> DataFrame:
@@ -56,25 +58,23 @@ def silver_of(bronze: DataFrame) -> DataFrame:
 
 def activity(silver: DataFrame) -> DataFrame:
     """Silver rows in the shape all gold tables are computed from; no shuffle."""
-    bot, anonymous = F.col("user_is_bot"), F.col("user_is_anonymous")
-    human = (bot == 0) & (anonymous == 0)
-    return silver.select(
-        F.date_trunc("hour", "event_timestamp").alias("hour"),
-        F.to_date("event_timestamp").alias("day"),
+    return silver.selectExpr(
+        "date_trunc('hour', event_timestamp) AS hour",
+        "to_date(event_timestamp) AS day",
         "wiki",
         "language",
         "user",
         "title",
         "user_is_bot",
         "user_is_anonymous",
-        F.lit(1).cast("bigint").alias("edits"),
-        bot.cast("bigint").alias("bot_edits"),
-        human.cast("bigint").alias("human_edits"),
-        anonymous.cast("bigint").alias("anonymous_edits"),
-        F.col("is_minor").cast("bigint").alias("minor_edits"),
+        "1L AS edits",
+        "CAST(user_is_bot AS BIGINT) AS bot_edits",
+        "CAST(user_is_bot = 0 AND user_is_anonymous = 0 AS BIGINT) AS human_edits",
+        "CAST(user_is_anonymous AS BIGINT) AS anonymous_edits",
+        "CAST(is_minor AS BIGINT) AS minor_edits",
         "length_delta",
-        F.col("event_timestamp").alias("first_at"),
-        F.col("event_timestamp").alias("last_at"),
+        "event_timestamp AS first_at",
+        "event_timestamp AS last_at",
     )
 
 

@@ -136,11 +136,11 @@ def _mistyped(t: Inputs) -> DataFrame:
     )
     return wire.parse_wire(events.select("event_id", raw.alias("raw_message"))).select(
         "event_id",
-        wire.unsigned(F.col("id")).alias("id"),
-        "title",
-        wire.integer(F.col("namespace")).alias("namespace"),
-        wire.flag(F.col("bot")).alias("bot"),
-        F.col("meta.id").alias("uuid"),
+        wire.unsigned("id").alias("id"),
+        wire.strict_text("title").alias("title"),
+        wire.integer("namespace").alias("namespace"),
+        wire.flag("bot").alias("bot"),
+        wire.strict_text("meta.id").alias("uuid"),
     )
 
 
@@ -206,7 +206,7 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "p03_whole_documents": _document_rows,
     "p04_silver_validation": lambda t: m.silver_rows(t.bronze).groupBy("event_type").agg(F.count("*").alias("kept")),
     "p05_flag_equality": lambda t: t.silver.where("user_is_bot = 0 AND user_is_anonymous = 0").select("event_id", "user"),
-    "p06_prefix_exclusion": lambda t: t.wiki_events.where(~scalars.is_anonymous(F.col("user"))).select("user", "timestamp"),
+    "p06_prefix_exclusion": lambda t: t.wiki_events.where(~scalars.is_anonymous("user")).select("user", "timestamp"),
     "p07_positive_delta": lambda t: t.silver.where(F.col("length_delta") > 0).select("event_id", "length_delta"),
     "p08_trailing_range": lambda t: report.trailing(t.stats, "hour", "24 HOURS", AS_OF),
     "p09_hour_filter": lambda t: report.between_hours(t.pages, "2024-01-10 06:00:00", "2024-01-12 18:00:00"),
@@ -270,8 +270,8 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
         "event_id", "namespace", "title", "is_patrolled", "length_old", "length_new", "length_delta", "revision_old", "domain"
     ),
     "f01_f04_mistyped_fields": _mistyped,
-    "f07_like": lambda t: t.silver.where(scalars.is_anonymous(F.col("user"))).select("event_id"),
-    "f08_language": lambda t: t.silver.groupBy("wiki", scalars.language_of(F.col("wiki")).alias("language")).agg(
+    "f07_like": lambda t: t.silver.where(scalars.is_anonymous("user")).select("event_id"),
+    "f08_language": lambda t: t.silver.groupBy("wiki", scalars.language_of("wiki").alias("language")).agg(
         F.count("*").alias("n")
     ),
     "f09_substring": lambda t: t.source("conversations").select(
@@ -280,22 +280,22 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "f10_length": lambda t: t.stamped.select("kafka_partition", "kafka_offset", F.length("raw_message").cast("bigint").alias("chars")),
     "f11_f12_arithmetic": lambda t: t.silver.where("namespace >= 4 AND namespace < 12 AND event_type != 'new'").select(
         "event_id",
-        wire.difference(F.col("length_new"), F.col("length_old")).alias("delta"),
+        wire.difference("length_new", "length_old").alias("delta"),
         F.round(F.col("length_new") * F.lit(100.0) / 3, 4).alias("scaled"),
     ),
     "f13_f18_time_buckets": lambda t: t.silver.select(
         "event_id",
         "event_timestamp",
-        scalars.start_of("hour", F.col("event_timestamp")).alias("hour"),
-        scalars.start_of("minute", F.col("event_timestamp")).alias("minute"),
-        scalars.start_of("second", F.col("ingested_at")).alias("second"),
+        scalars.start_of("hour", "event_timestamp").alias("hour"),
+        scalars.start_of("minute", "event_timestamp").alias("minute"),
+        scalars.start_of("second", "ingested_at").alias("second"),
         F.to_date("event_timestamp").alias("day"),
     ),
     "f14_now": lambda t: t.silver.where(F.col("event_timestamp") < F.current_timestamp()).agg(F.count("*").alias("past")),
     "f19_date_numbers": lambda t: t.silver.select(
         "event_id",
-        scalars.day_number(F.col("event_timestamp")).alias("yyyymmdd"),
-        scalars.month_number(F.col("event_timestamp")).alias("yyyymm"),
+        scalars.day_number("event_timestamp").alias("yyyymmdd"),
+        scalars.month_number("event_timestamp").alias("yyyymm"),
     ),
     "f20_intervals": lambda t: t.silver.select(
         "event_id",
@@ -303,7 +303,7 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
         (F.col("event_timestamp") - F.expr("INTERVAL 90 MINUTES")).alias("earlier"),
     ),
     "f21_f22_seconds_between": lambda t: t.silver.select(
-        "event_id", scalars.seconds_between(F.col("event_timestamp"), F.col("ingested_at")).alias("lag_seconds")
+        "event_id", scalars.seconds_between("event_timestamp", "ingested_at").alias("lag_seconds")
     ),
     "f23_round": lambda t: t.source("events").select("event_id", F.round(F.floor("value") / F.lit(8.0), 2).alias("r")),
     "f24_readable_size": lambda t: t.source("events").select(

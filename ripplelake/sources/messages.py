@@ -13,7 +13,7 @@ def frames(lines: DataFrame, column: str = "value") -> DataFrame:
     """Payloads of the lines that carry one, as ``raw_message``; other lines are not counted anywhere."""
     return lines.where(F.col(column).startswith(wire.FRAME_PREFIX)).select(
         *[c for c in lines.columns if c != column],
-        wire.frame_payload(F.col(column)).alias("raw_message"),
+        wire.frame_payload(column).alias("raw_message"),
     )
 
 

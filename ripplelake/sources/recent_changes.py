@@ -13,10 +13,68 @@ SITES = [
     "enwiki", "dewiki", "frwiki", "eswiki", "commonswiki", "wikidatawiki", "enwiktionary", "commons",
 ]
 
+WIKI = f"element_at(array({', '.join(repr(s) for s in SITES)}), CAST(user_id % 8 + 1 AS INT))"
+USER = (
+    "CASE WHEN event_id % 89 = 0 THEN '' WHEN user_id % 10 = 7 THEN '~2024-' || user_id "
+    "WHEN user_id % 10 = 3 THEN 'Bot' || user_id ELSE 'User' || user_id END"
+)
+IS_BOT = "(user_id % 10 = 3 OR user_id % 50 = 7)"
+TITLE = "CASE WHEN event_id % 97 = 0 THEN '' ELSE 'Page ' || k END"
+SIZE = "CAST(1000 + k AS BIGINT)"
+
+#: The fields of a change event; a null field is left out of its JSON text.
+CHANGE = {
+    "id": "event_id",
+    "type": "CASE WHEN event_type IN ('click', 'view') THEN 'edit' WHEN event_type = 'purchase' THEN 'new' "
+    "WHEN event_type = 'signup' THEN 'categorize' ELSE 'log' END",
+    "namespace": "k % 16",
+    "title": TITLE,
+    "page_id": SIZE,
+    "user": USER,
+    "bot": IS_BOT,
+    "minor": "k % 3 = 0",
+    "patrolled": "CASE WHEN k % 4 != 0 THEN k % 2 = 0 END",
+    "comment": "CASE WHEN copy = 1 THEN 'v2' ELSE repeat('é', 10 * k) END",
+    "timestamp": "unix_timestamp(ts)",
+    "wiki": WIKI,
+    "length": f"named_struct('old', CASE WHEN event_type != 'purchase' THEN {SIZE} END, "
+    f"'new', {SIZE} + floor(value) * CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END)",
+    "revision": "named_struct('old', 2 * event_id, 'new', 2 * event_id + 1)",
+    "meta": f"named_struct('id', 'uuid-' || event_id, 'domain', {WIKI} || '.example.org')",
+}
+
+TYPED = {
+    "title": TITLE,
+    "user": USER,
+    "bot": f"CASE WHEN event_id % 60 = 7 THEN 'yes' ELSE CAST(CAST({IS_BOT} AS INT) AS STRING) END",
+    "timestamp": "unix_timestamp(ts)",
+    "comment": "CASE WHEN k % 5 != 0 THEN repeat('é', k) END",
+}
+
+DOCUMENT = {
+    "id": "doc_id",
+    "type": "'new'",
+    "title": "'Doc ' || doc_id",
+    "user": "source",
+    "comment": "text",
+    "timestamp": "1704067200 + doc_id % 86400",
+    "wiki": "lang || 'wiki'",
+    "length": "named_struct('new', n_chars)",
+}
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table; input that comes in fewer pieces than there are cores is dealt out to all of them.
+
+    Data of any size worth a cluster has pieces enough and is not moved.
+    """
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return with_k(events)
+    return with_k(read_spread(spark, f"{sf_dir}/events.parquet"))
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -24,80 +82,33 @@ def with_k(events: DataFrame) -> DataFrame:
     return spread(events.withColumn("ts", F.col("ts").cast("timestamp")), F.from_json("props", "k int"))
 
 
-def _wiki() -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in SITES]), (F.col("user_id") % 8 + 1).cast("int"))
-
-
-def _user() -> Column:
-    last = F.col("user_id") % 10
-    prefix = F.when(last == 7, "~2024-").when(last == 3, "Bot").otherwise("User")
-    return F.when(F.col("event_id") % 89 == 0, "").otherwise(F.concat(prefix, F.col("user_id")))
-
-
-def _is_bot() -> Column:
-    return (F.col("user_id") % 10 == 3) | (F.col("user_id") % 50 == 7)
-
-
-def _title() -> Column:
-    return F.when(F.col("event_id") % 97 == 0, "").otherwise(F.concat(F.lit("Page "), F.col("k")))
-
-
-def _change() -> dict[str, Column]:
-    """The fields of a change event; a null field is left out of its JSON text."""
-    k, event_id, kind = F.col("k"), F.col("event_id"), F.col("event_type")
-    size = (F.lit(1000) + k).cast("bigint")
-    step = F.floor("value") * F.when(event_id % 2 == 0, 1).otherwise(-1)
-    return {
-        "id": event_id,
-        "type": F.when(kind.isin("click", "view"), "edit")
-        .when(kind == "purchase", "new")
-        .when(kind == "signup", "categorize")
-        .otherwise("log"),
-        "namespace": k % 16,
-        "title": _title(),
-        "page_id": size,
-        "user": _user(),
-        "bot": _is_bot(),
-        "minor": k % 3 == 0,
-        "patrolled": F.when(k % 4 != 0, k % 2 == 0),
-        "comment": F.when(F.col("copy") == 1, "v2").otherwise(F.repeat(F.lit("é"), k * 10)),
-        "timestamp": F.unix_timestamp("ts"),
-        "wiki": _wiki(),
-        "length": F.struct(F.when(kind != "purchase", size).alias("old"), (size + step).alias("new")),
-        "revision": F.struct((event_id * 2).alias("old"), (event_id * 2 + 1).alias("new")),
-        "meta": F.struct(
-            F.concat(F.lit("uuid-"), event_id).alias("id"), F.concat(_wiki(), F.lit(".example.org")).alias("domain")
-        ),
-    }
-
-
-def as_json(fields: dict[str, Column]) -> Column:
-    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "true"})
+def as_json(fields: dict[str, str]) -> Column:
+    members = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return F.expr(f"to_json(named_struct({members}), map('ignoreNullFields', 'true'))")
 
 
 def cut(text: Column) -> Column:
     """Every 50th message loses its last ten characters."""
-    return F.when(F.col("event_id") % 50 == 1, F.substring(text, F.lit(1), F.length(text) - 10)).otherwise(text)
+    return F.when(F.expr("event_id % 50 = 1"), F.substring(text, F.lit(1), F.length(text) - 10)).otherwise(text)
 
 
-def _delivered(events: DataFrame, text: Column, key: Column) -> DataFrame:
-    arrival = F.col("ts") + F.expr("INTERVAL 2 SECONDS") + F.col("copy") * F.expr("INTERVAL 1 HOUR")
+def _delivered(events: DataFrame, text: Column, key: str) -> DataFrame:
+    arrival = "ts + INTERVAL 2 SECONDS + copy * INTERVAL 1 HOUR"
     return events.select(
         text.alias("raw_message"),
         F.lit(TOPIC).alias("kafka_topic"),
-        (F.col("event_id") % 3).alias("kafka_partition"),
-        (F.col("event_id") * 2 + F.col("copy")).alias("kafka_offset"),
-        arrival.alias("kafka_timestamp"),
-        key.alias("kafka_key"),
-        arrival.alias("ingested_at"),
+        F.expr("event_id % 3 AS kafka_partition"),
+        F.expr("2 * event_id + copy AS kafka_offset"),
+        F.expr(f"{arrival} AS kafka_timestamp"),
+        F.expr(f"{key} AS kafka_key"),
+        F.expr(f"{arrival} AS ingested_at"),
     )
 
 
 def change_messages(events: DataFrame) -> DataFrame:
-    """Works on a static and on a streaming ``events``."""
-    copies = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = events.withColumn("copy", F.explode(copies))
-    return _delivered(sent, cut(as_json(_change())), F.concat(F.lit("uuid-"), F.col("event_id")))
+    """Works on a static and on a streaming ``events``; every 20th message is delivered twice."""
+    sent = events.select("*", F.expr("explode(CASE WHEN event_id % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"))
+    return _delivered(sent, cut(as_json(CHANGE)), "'uuid-' || event_id")
 
 
 def recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,18 +118,9 @@ def recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of the older design; every 60th has a text where a number belongs."""
-    fields = {
-        "title": _title(),
-        "user": _user(),
-        "bot": F.when(F.col("event_id") % 60 == 7, "yes").otherwise(_is_bot().cast("int").cast("string")),
-        "timestamp": F.unix_timestamp("ts"),
-        "comment": F.when(F.col("k") % 5 != 0, F.repeat(F.lit("é"), F.col("k"))),
-    }
-    text = as_json(fields)
     # Flags are numbers in this format; only the mistyped ones are quoted.
-    text = F.regexp_replace(text, '"bot":"([01])"', '"bot":$1')
-    events = _events(spark, sf_dir).withColumn("copy", F.lit(0))
-    return _delivered(events, cut(text), F.lit(""))
+    text = F.regexp_replace(as_json(TYPED), '"bot":"([01])"', '"bot":$1')
+    return _delivered(_events(spark, sf_dir).withColumn("copy", F.lit(0)), cut(text), "''")
 
 
 def framed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,18 +128,20 @@ def framed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The fields that may serve as the message key come and go with the event number.
     """
-    n, event_id = F.col("event_id") % 6, F.col("event_id")
-    uuid = F.concat(F.lit("uuid-"), event_id)
-    meta_id = F.when(n == 5, "").when((n != 1) & (n != 2) & (n != 3), uuid)
-    meta = F.when((n != 1) & (n != 2), F.struct(meta_id.alias("id"), F.lit("d").alias("domain")))
-    fields = {"id": event_id % 1000, "title": F.when(n != 2, _title()), "meta": meta}
+    fields = {
+        "id": "event_id % 1000",
+        "title": f"CASE WHEN event_id % 6 != 2 THEN {TITLE} END",
+        "meta": "CASE WHEN event_id % 6 NOT IN (1, 2) THEN named_struct('id', CASE event_id % 6 "
+        "WHEN 5 THEN '' WHEN 3 THEN NULL ELSE 'uuid-' || event_id END, 'domain', 'd') END",
+    }
     text = as_json(fields)
-    text = F.when(n == 4, F.regexp_replace(text, '"meta":[{][^}]*[}]', '"meta":"none"')).otherwise(text)
-    text = F.when(event_id % 31 == 3, F.concat(F.lit("["), text, F.lit("]"))).otherwise(cut(text))
+    flat_meta = F.regexp_replace(text, '"meta":[{][^}]*[}]', '"meta":"none"')
+    text = F.when(F.expr("event_id % 6 = 4"), flat_meta).otherwise(text)
+    text = F.when(F.expr("event_id % 31 = 3"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(cut(text))
     line = (
-        F.when(event_id % 10 == 4, ": heartbeat")
-        .when(event_id % 10 == 9, "")
-        .when(event_id % 29 == 5, F.concat(F.lit("data:"), text))
+        F.when(F.expr("event_id % 10 = 4"), ": heartbeat")
+        .when(F.expr("event_id % 10 = 9"), "")
+        .when(F.expr("event_id % 29 = 5"), F.concat(F.lit("data:"), text))
         .otherwise(F.concat(F.lit(FRAME_PREFIX), text))
     )
     return _events(spark, sf_dir).select("event_id", line.alias("value"))
@@ -145,24 +149,13 @@ def framed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as change events: whole texts of every length as comments, in several languages."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    fields = {
-        "id": F.col("doc_id"),
-        "type": F.lit("new"),
-        "title": F.concat(F.lit("Doc "), F.col("doc_id")),
-        "user": F.col("source"),
-        "comment": F.col("text"),
-        "timestamp": F.lit(1704067200) + F.col("doc_id") % 86400,
-        "wiki": F.concat(F.col("lang"), F.lit("wiki")),
-        "length": F.struct(F.col("n_chars").alias("new")),
-    }
-    arrival = F.timestamp_seconds(F.lit(1704153600) + F.col("doc_id"))
-    return docs.select(
-        as_json(fields).alias("raw_message"),
+    arrival = "timestamp_seconds(1704153600 + doc_id)"
+    return read_spread(spark, f"{sf_dir}/documents.parquet").select(
+        as_json(DOCUMENT).alias("raw_message"),
         F.lit(TOPIC).alias("kafka_topic"),
-        (F.col("doc_id") % 3).alias("kafka_partition"),
-        F.col("doc_id").alias("kafka_offset"),
-        arrival.alias("kafka_timestamp"),
+        F.expr("doc_id % 3 AS kafka_partition"),
+        F.expr("doc_id AS kafka_offset"),
+        F.expr(f"{arrival} AS kafka_timestamp"),
         F.lit("").alias("kafka_key"),
-        arrival.alias("ingested_at"),
+        F.expr(f"{arrival} AS ingested_at"),
     )

@@ -37,7 +37,7 @@ def typed_messages(stamped: DataFrame) -> DataFrame:
         F.coalesce("_fields.title", F.lit("")).alias("title"),
         F.coalesce("_fields.user", F.lit("")).alias("user"),
         F.coalesce(bot, F.lit(0)).alias("bot"),
-        wire.epoch_to_timestamp(F.col("_fields.timestamp")).alias("timestamp"),
+        wire.epoch_to_timestamp("_fields.timestamp").alias("timestamp"),
         F.coalesce("_fields.comment", F.lit("")).alias("comment"),
         error.alias("_error"),
     )
