@@ -17,8 +17,13 @@ def bronze_of(stamped: DataFrame) -> DataFrame:
     return healthy(wire.with_error(stamped))
 
 
-def silver_rows(bronze: DataFrame, carry: tuple[str, ...] = ("kafka_partition", "kafka_offset")) -> DataFrame:
+def silver_rows(bronze: DataFrame) -> DataFrame:
     """Typed, validated and enriched rows, one per accepted delivery."""
+    return accepted(wire.parse_wire(bronze))
+
+
+def accepted(parsed: DataFrame, carry: tuple[str, ...] = ("kafka_partition", "kafka_offset")) -> DataFrame:
+    """The same from messages whose fields are already parsed."""
     columns: dict[str, Column] = {
         "event_id": wire.unsigned("id"),
         "event_uuid": wire.strict_text("meta.id"),
@@ -41,14 +46,15 @@ def silver_rows(bronze: DataFrame, carry: tuple[str, ...] = ("kafka_partition",
         "ingested_at": F.col("ingested_at"),
     }
     # No other JSON type reads as one of the kept types, so the type needs no closer look.
-    kept = wire.parse_wire(bronze).where(F.col("type").isin(*KEPT_TYPES))
-    rows = kept.select(*[c.alias(n) for n, c in columns.items()], *carry).where("title != '' AND user != ''")
+    kept = parsed.where(F.col("type").isin(*KEPT_TYPES))
+    rows = kept.select(*[c.alias(n) for n, c in columns.items()], *carry)
+    usable = rows.where("title != '' AND user != ''")
     derived = {
         "user_is_anonymous": is_anonymous("user").cast("int"),
         "language": language_of("wiki"),
         "length_delta": wire.difference("length_new", "length_old"),
     }
-    return rows.withColumns(derived).select(*SILVER.columns.fieldNames(), *carry)
+    return usable.withColumns(derived).select(*SILVER.columns.fieldNames(), *carry)
 
 
 def silver_of(bronze: DataFrame) -> DataFrame:
@@ -78,22 +84,6 @@ def activity(silver: DataFrame) -> DataFrame:
     )
 
 
-ACTIVITY_KEY = ("hour", "day", "wiki", "language", "user", "title")
-
-
-def rolled_up(rows: DataFrame) -> DataFrame:
-    """One activity row per hour, site, user and page.  Gold is the same before and after this step."""
-    added = ("edits", "bot_edits", "human_edits", "anonymous_edits", "minor_edits")
-    return rows.groupBy(*ACTIVITY_KEY).agg(
-        F.max("user_is_bot").alias("user_is_bot"),
-        F.max("user_is_anonymous").alias("user_is_anonymous"),
-        *[F.sum(m).alias(m) for m in added],
-        F.try_sum("length_delta").alias("length_delta"),
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-    )
-
-
 def hourly_stats(rows: DataFrame) -> DataFrame:
     """How busy is each site in each hour?"""
     return rows.groupBy("hour", "wiki", "language").agg(

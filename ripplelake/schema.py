@@ -15,6 +15,7 @@ COMMENT_CHARS = 500
 FRAME_PREFIX = "data: "
 BROKEN_MESSAGE_BUDGET = 10
 MAX_EPOCH_SECONDS = 4294967295
+LATEST_ACCEPTED_DAYS = 90
 
 WIRE = T.StructType.fromDDL(
     "id bigint, type string, namespace int, title string, page_id bigint, user string, "
@@ -55,7 +56,7 @@ def _ddl(text: str) -> T.StructType:
 
 BY_INGEST = _ddl("ingest_date date, batch string")
 BY_HOUR = _ddl("event_date date, event_hour int")
-BY_HOUR_AND_BATCH = _ddl("event_date date, event_hour int, batch string")
+BY_DAY_AND_BATCH = _ddl("event_date date, batch string")
 BY_DAY = _ddl("event_date date")
 
 BRONZE = Table(
@@ -90,32 +91,21 @@ _SILVER_COLUMNS = _ddl(
     "revision_new bigint, event_timestamp timestamp, ingested_at timestamp"
 )
 
-SILVER = Table("silver_wiki_events", _SILVER_COLUMNS, BY_HOUR, SILVER_KEY, "event_timestamp", 90)
+SILVER = Table("silver_wiki_events", _SILVER_COLUMNS, BY_HOUR, SILVER_KEY, "event_timestamp", LATEST_ACCEPTED_DAYS)
 
 #: Every accepted delivery, duplicates included; ``SILVER`` is its latest state.
 SILVER_LOG = Table(
     "silver_wiki_events_log",
     T.StructType(_SILVER_COLUMNS.fields + _ddl("kafka_partition bigint, kafka_offset bigint").fields),
-    BY_HOUR_AND_BATCH,
+    BY_DAY_AND_BATCH,
     SILVER_KEY,
     "event_timestamp",
-    90,
+    # One day longer than rows are accepted for, so a day is never rebuilt from a part of its log.
+    LATEST_ACCEPTED_DAYS + 1,
 )
 
-#: Internal rollup that all four gold tables are derived from.
-ACTIVITY = Table(
-    "activity_hourly",
-    _ddl(
-        "hour timestamp, day date, wiki string, language string, user string, title string, "
-        "user_is_bot int, user_is_anonymous int, edits bigint, bot_edits bigint, human_edits bigint, "
-        "anonymous_edits bigint, minor_edits bigint, length_delta bigint, first_at timestamp, "
-        "last_at timestamp"
-    ),
-    BY_HOUR,
-    ("hour", "wiki", "user", "title"),
-    "hour",
-    365,
-)
+#: Hours whose silver and gold rows are older than their log; one entry per micro-batch.
+TOUCHED = Table("touched_hours", _ddl("event_date date, event_hour int"), _ddl("batch string"), ())
 
 HOURLY_STATS = Table(
     "gold_wiki_hourly_stats",
@@ -177,7 +167,7 @@ TYPED_EVENTS = Table(
     _ddl(
         "title string, user string, bot int, timestamp timestamp, comment string, ingested_at timestamp"
     ),
-    _ddl("event_date date, batch string"),
+    BY_DAY_AND_BATCH,
     ("timestamp", "title"),
     "timestamp",
     30,
@@ -195,6 +185,6 @@ TYPED_ERRORS = Table(
 TABLES = {
     t.name: t
     for t in (
-        BRONZE, ERRORS, SILVER_LOG, SILVER, ACTIVITY, *GOLD, TYPED_EVENTS, TYPED_ERRORS,
+        BRONZE, ERRORS, SILVER_LOG, TOUCHED, SILVER, *GOLD, TYPED_EVENTS, TYPED_ERRORS,
     )
 }
