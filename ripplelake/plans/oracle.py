@@ -326,6 +326,52 @@ QUERIES: dict[str, str] = {
     "SELECT 'bronze_wiki_events_errors', count(*) FROM errors",
 }
 
+_LAST_NOON = "TIMESTAMP '2024-01-30 12:00:00'"
+
+# Tables as the live path, a replay or a maintenance job leaves them.
+QUERIES |= {
+    "s07_stream_counters": "SELECT count(*) AS messages_read, count(*) FILTER (error = '') AS sent, "
+    "count(*) FILTER (error <> '') AS skipped FROM messages",
+    "s16_bronze_sink": "SELECT * FROM bronze",
+    "s17_errors_sink": "SELECT * FROM errors",
+    "s18_silver_log_sink": "SELECT * FROM silver_log",
+    "s18_silver_sink": "SELECT * FROM silver",
+    "s19_hourly_stats_sink": "SELECT * FROM g1",
+    "s19_users_daily_sink": "SELECT * FROM g2",
+    "s19_pages_hourly_sink": "SELECT * FROM g3",
+    "s19_languages_hourly_sink": "SELECT * FROM g4",
+    "s20b_typed_sink": "SELECT * FROM wiki_events",
+    "s20b_typed_errors_sink": "SELECT 'wiki-events' AS kafka_topic, kafka_partition, kafka_offset, "
+    "error AS error_message, ingested_at FROM typed WHERE error <> ''",
+    "s21_snapshot": "SELECT * FROM silver",
+    "t03_tumbling_windows": "SELECT date_trunc('hour', event_timestamp) AS hour, count(*) AS edits FROM silver GROUP BY 1",
+    "t09_backfilled_silver": "SELECT * FROM silver",
+    "t10_backfilled_hourly_stats": "SELECT * FROM g1",
+    "t10_backfilled_users_daily": "SELECT * FROM g2",
+    "t11_replayed_pages_hourly": "SELECT * FROM g3",
+    "t11_replayed_languages_hourly": "SELECT * FROM g4",
+    "r4_compacted_log": "SELECT * FROM silver",
+    "o5_sorted_files": "SELECT count(*) FILTER (event_timestamp IS NULL) AS out_of_order FROM silver",
+    "o6b_resorted_table": "SELECT * FROM wiki_events",
+    "m01_retained_rows": f"SELECT * FROM silver WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY",
+    "m01_expired_silver": f"SELECT * FROM silver WHERE event_timestamp >= {_LAST_NOON} - INTERVAL 14 DAY",
+    "m02_deleted_bronze": f"SELECT * FROM bronze WHERE ingested_at >= {_LAST_NOON} - INTERVAL 7 DAY",
+    "m03_truncated_errors": "SELECT count(*) FILTER (kafka_topic IS NULL) AS total FROM errors",
+    "m05_table_rows": "SELECT 'bronze_wiki_events' AS \"table\", count(*) AS total_rows FROM bronze UNION ALL "
+    "SELECT 'bronze_wiki_events_errors', count(*) FROM errors UNION ALL "
+    "SELECT 'silver_wiki_events', count(*) FROM silver UNION ALL "
+    "SELECT 'gold_wiki_hourly_stats', count(*) FROM g1 UNION ALL "
+    "SELECT 'gold_top_users_daily', count(*) FROM g2 UNION ALL "
+    "SELECT 'gold_top_pages_hourly', count(*) FROM g3 UNION ALL "
+    "SELECT 'gold_language_hourly', count(*) FROM g4",
+    "m06_partition_counts": "SELECT 'silver_wiki_events' AS \"table\", count(DISTINCT CAST(event_timestamp AS DATE)) AS partitions "
+    "FROM silver UNION ALL "
+    "SELECT 'gold_wiki_hourly_stats', count(DISTINCT CAST(hour AS DATE)) FROM g1 UNION ALL "
+    "SELECT 'gold_top_users_daily', count(DISTINCT day) FROM g2 UNION ALL "
+    "SELECT 'gold_top_pages_hourly', count(DISTINCT CAST(hour AS DATE)) FROM g3 UNION ALL "
+    "SELECT 'gold_language_hourly', count(DISTINCT CAST(hour AS DATE)) FROM g4",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: f"{BASE}{sql}" for name, sql in QUERIES.items()}

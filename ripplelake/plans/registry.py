@@ -5,18 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ripplelake.functions import scalars, wire
 from ripplelake.operators import merge, report, route
 from ripplelake.plans import catalogue as c
+from ripplelake.plans import lakes, maintain
 from ripplelake.plans import medallion as m
 from ripplelake.plans.oracle import AS_OF, RATE_AS_OF
-from ripplelake.schema import HOURLY_STATS, LANGUAGES, SILVER, TOP_PAGES, TOP_USERS
+from ripplelake.schema import (
+    BRONZE, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TYPED_ERRORS,
+    TYPED_EVENTS, Table,
+)
 from ripplelake.session import use_utc
 from ripplelake.sources import messages, recent_changes, typed
+from ripplelake.streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -345,6 +350,83 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+def _stored(table: Table) -> Callable[[Inputs], DataFrame]:
+    """A table as the live path left it."""
+    return lambda t: lakes.live(t.spark, t.sf_dir).lake.read(table).select(*table.columns.fieldNames())
+
+
+def _replayed(table: Table) -> Callable[[Inputs], DataFrame]:
+    return lambda t: lakes.replayed(t.spark, t.sf_dir).read(table).select(*table.columns.fieldNames())
+
+
+def _progress(t: Inputs) -> DataFrame:
+    return monitor.progress(t.spark, lakes.live(t.spark, t.sf_dir).reports)
+
+
+def _sizes(t: Inputs) -> DataFrame:
+    return maintain.table_sizes(lakes.live(t.spark, t.sf_dir).lake, [BRONZE, ERRORS, SILVER, *GOLD])
+
+
+STORED: dict[str, Callable[[Inputs], DataFrame]] = {
+    # 2.1 sinks, 2.11 streaming: the tables after all micro-batches
+    "s07_stream_counters": lambda t: monitor.ingestion_status(_progress(t)).select("messages_read", "sent", "skipped"),
+    "s16_bronze_sink": _stored(BRONZE),
+    "s17_errors_sink": _stored(ERRORS),
+    "s18_silver_log_sink": _stored(SILVER_LOG),
+    "s18_silver_sink": _stored(SILVER),
+    "s19_hourly_stats_sink": _stored(HOURLY_STATS),
+    "s19_users_daily_sink": _stored(TOP_USERS),
+    "s19_pages_hourly_sink": _stored(TOP_PAGES),
+    "s19_languages_hourly_sink": _stored(LANGUAGES),
+    "s20b_typed_sink": lambda t: lakes.live_typed(t.spark, t.sf_dir).lake.read(TYPED_EVENTS).select(
+        *TYPED_EVENTS.columns.fieldNames()
+    ),
+    "s20b_typed_errors_sink": lambda t: lakes.live_typed(t.spark, t.sf_dir).lake.read(TYPED_ERRORS).select(
+        "kafka_topic", "kafka_partition", "kafka_offset", "error_message", "ingested_at"
+    ),
+    "s21_snapshot": lambda t: t.spark.read.parquet(lakes.snapshot_path(t.spark, t.sf_dir)).select(
+        *SILVER.columns.fieldNames()
+    ),
+    "t03_tumbling_windows": lambda t: t.silver.groupBy(F.window("event_timestamp", "1 hour").start.alias("hour")).agg(
+        F.count("*").alias("edits")
+    ),
+    "t04_watermark_variant": lambda t: t.spark.read.parquet(lakes.native_path(t.spark, t.sf_dir)),
+    "t09_backfilled_silver": _replayed(SILVER),
+    "t10_backfilled_hourly_stats": _replayed(HOURLY_STATS),
+    "t10_backfilled_users_daily": _replayed(TOP_USERS),
+    "t11_replayed_pages_hourly": _replayed(TOP_PAGES),
+    "t11_replayed_languages_hourly": _replayed(LANGUAGES),
+    # 2.6, 2.8, 2.12 maintenance
+    "r4_compacted_log": lambda t: lakes.compacted(t.spark, t.sf_dir).read(SILVER_LOG).select(*SILVER.columns.fieldNames()),
+    "o5_sorted_files": lambda t: _out_of_order(lakes.live(t.spark, t.sf_dir).lake.read(SILVER)),
+    "o6b_resorted_table": lambda t: t.spark.read.parquet(lakes.resorted_path(t.spark, t.sf_dir)).select(
+        *TYPED_EVENTS.columns.fieldNames()
+    ),
+    "m01_retained_rows": lambda t: maintain.retained(t.silver, SILVER, AS_OF, 14),
+    "m01_expired_silver": lambda t: lakes.expired(t.spark, t.sf_dir).read(SILVER).select(*SILVER.columns.fieldNames()),
+    "m02_deleted_bronze": lambda t: lakes.expired(t.spark, t.sf_dir).read(BRONZE).select(*BRONZE.columns.fieldNames()),
+    "m03_truncated_errors": lambda t: c.total(lakes.expired(t.spark, t.sf_dir).read(ERRORS)),
+    "m05_table_sizes": _sizes,
+    "m05_table_rows": lambda t: _sizes(t).select("table", "total_rows"),
+    "m06_partition_counts": lambda t: maintain.partition_counts(lakes.live(t.spark, t.sf_dir).lake, [SILVER, *GOLD]),
+    "m07_ingestion_status": lambda t: monitor.ingestion_status(_progress(t)),
+    "m08_consumer_lag": lambda t: monitor.consumer_lag(_progress(t)),
+}
+
+
+def _out_of_order(stored: DataFrame) -> DataFrame:
+    """Rows per file that break the sort key, which is none."""
+    key = F.struct(*SILVER.sort_key)
+    rows = stored.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position"), key.alias("key")
+    )
+    previous = F.lag("key").over(Window.partitionBy("file").orderBy("position"))
+    return rows.withColumn("previous", previous).agg(F.count_if(F.col("previous") > F.col("key")).alias("out_of_order"))
+
+
+TABLE |= STORED
+
+
 def queries() -> dict[str, Query]:
     def bind(make: Callable[[Inputs], DataFrame]) -> Query:
         return lambda spark, sf_dir: comparable(make(Inputs(spark, sf_dir)))
