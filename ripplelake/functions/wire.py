@@ -102,7 +102,7 @@ def frame_payload(line: str) -> Column:
     return F.expr(f"substring({line}, {len(FRAME_PREFIX) + 1})")
 
 
-_KEY_FIELDS = T.StructType.fromDDL("meta struct<id: variant>, title variant, id variant")
+_KEY_FIELDS = "meta struct<id: variant>, title variant, id variant"
 
 
 def _usable_text(field: str) -> str:

@@ -14,6 +14,7 @@ from ripplelake.operators import merge
 from ripplelake.operators.report import AsOf, moment
 from ripplelake.plans import medallion as m
 from ripplelake.schema import BRONZE, SILVER, SILVER_LOG, TABLES, Table
+from ripplelake.session import shared_folder
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour
 from ripplelake.streaming.pipeline import rebuild
 
@@ -79,6 +80,7 @@ def delete_where(lake: Lake, table: Table, predicate: Column) -> None:
     folders = ["/".join(f"{n}={row[n]}" for n in parts) for row in hit]
     survivors = lake.read_partitions(table, folders).where(~F.coalesce(predicate, F.lit(False)))
     # A partition cannot be read while it is replaced: the survivors are kept in the checkpoint folder.
+    shared_folder(lake.spark)
     survivors = survivors.checkpoint()
     left = {tuple(r) for r in survivors.select(*parts).distinct().collect()}
     lake.replace(table, survivors)

@@ -345,6 +345,9 @@ QUERIES |= {
     "error AS error_message, ingested_at FROM typed WHERE error <> ''",
     "s21_snapshot": "SELECT * FROM silver",
     "t03_tumbling_windows": "SELECT date_trunc('hour', event_timestamp) AS hour, count(*) AS edits FROM silver GROUP BY 1",
+    "t04_watermark_variant_exact": "SELECT hour, wiki, language, total_edits, bot_edits, human_edits, anonymous_edits, "
+    "total_length_delta FROM g1 "
+    "WHERE hour + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 2 HOUR",
     "t09_backfilled_silver": "SELECT * FROM silver",
     "t10_backfilled_hourly_stats": "SELECT * FROM g1",
     "t10_backfilled_users_daily": "SELECT * FROM g2",

@@ -391,6 +391,9 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
         F.count("*").alias("edits")
     ),
     "t04_watermark_variant": lambda t: t.spark.read.parquet(lakes.native_path(t.spark, t.sf_dir)),
+    "t04_watermark_variant_exact": lambda t: t.spark.read.parquet(lakes.native_path(t.spark, t.sf_dir)).drop(
+        "approx_users", "approx_pages"
+    ),
     "t09_backfilled_silver": _replayed(SILVER),
     "t10_backfilled_hourly_stats": _replayed(HOURLY_STATS),
     "t10_backfilled_users_daily": _replayed(TOP_USERS),

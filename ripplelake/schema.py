@@ -17,14 +17,30 @@ BROKEN_MESSAGE_BUDGET = 10
 MAX_EPOCH_SECONDS = 4294967295
 LATEST_ACCEPTED_DAYS = 90
 
-WIRE = T.StructType.fromDDL(
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+}
+
+
+def _columns(text: str) -> T.StructType:
+    """``"a int, b string"`` as a schema; unlike ``fromDDL`` it needs no running session."""
+    pairs = [column.split() for column in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+#: What is read from the JSON text of an event.
+WIRE = (
     "id bigint, type string, namespace int, title string, page_id bigint, user string, "
     "bot boolean, minor boolean, patrolled boolean, comment string, timestamp bigint, wiki string, "
     "length struct<old: bigint, new: bigint>, revision struct<old: bigint, new: bigint>, "
     "meta struct<id: string, domain: string>"
 )
 
-ENVELOPE = T.StructType.fromDDL(
+ENVELOPE = _columns(
     "raw_message string, kafka_topic string, kafka_partition bigint, kafka_offset bigint, "
     "kafka_timestamp timestamp, kafka_key string"
 )
@@ -50,18 +66,14 @@ class Table:
         return T.StructType(self.columns.fields + self.partitions.fields)
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-BY_INGEST = _ddl("ingest_date date, batch string")
-BY_HOUR = _ddl("event_date date, event_hour int")
-BY_DAY_AND_BATCH = _ddl("event_date date, batch string")
-BY_DAY = _ddl("event_date date")
+BY_INGEST = _columns("ingest_date date, batch string")
+BY_HOUR = _columns("event_date date, event_hour int")
+BY_DAY_AND_BATCH = _columns("event_date date, batch string")
+BY_DAY = _columns("event_date date")
 
 BRONZE = Table(
     "bronze_wiki_events",
-    T.StructType(ENVELOPE.fields + _ddl("ingested_at timestamp").fields),
+    T.StructType(ENVELOPE.fields + _columns("ingested_at timestamp").fields),
     BY_INGEST,
     ("ingested_at", "kafka_partition", "kafka_offset"),
     "ingested_at",
@@ -70,7 +82,7 @@ BRONZE = Table(
 
 ERRORS = Table(
     "bronze_wiki_events_errors",
-    _ddl(
+    _columns(
         "kafka_topic string, kafka_partition bigint, kafka_offset bigint, raw_message string, "
         "error_message string, ingested_at timestamp"
     ),
@@ -83,7 +95,7 @@ ERRORS = Table(
 SILVER_KEY = ("event_timestamp", "wiki", "event_id")
 SILVER_NEWEST = ("ingested_at", "kafka_partition", "kafka_offset")
 
-_SILVER_COLUMNS = _ddl(
+_SILVER_COLUMNS = _columns(
     "event_id bigint, event_uuid string, event_type string, namespace int, title string, "
     "page_id bigint, user string, user_is_bot int, user_is_anonymous int, wiki string, "
     "language string, domain string, comment string, is_minor int, is_patrolled int, "
@@ -96,7 +108,7 @@ SILVER = Table("silver_wiki_events", _SILVER_COLUMNS, BY_HOUR, SILVER_KEY, "even
 #: Every accepted delivery, duplicates included; ``SILVER`` is its latest state.
 SILVER_LOG = Table(
     "silver_wiki_events_log",
-    T.StructType(_SILVER_COLUMNS.fields + _ddl("kafka_partition bigint, kafka_offset bigint").fields),
+    T.StructType(_SILVER_COLUMNS.fields + _columns("kafka_partition bigint, kafka_offset bigint").fields),
     BY_DAY_AND_BATCH,
     SILVER_KEY,
     "event_timestamp",
@@ -105,11 +117,11 @@ SILVER_LOG = Table(
 )
 
 #: Hours whose silver and gold rows are older than their log; one entry per micro-batch.
-TOUCHED = Table("touched_hours", _ddl("event_date date, event_hour int"), _ddl("batch string"), ())
+TOUCHED = Table("touched_hours", _columns("event_date date, event_hour int"), _columns("batch string"), ())
 
 HOURLY_STATS = Table(
     "gold_wiki_hourly_stats",
-    _ddl(
+    _columns(
         "hour timestamp, wiki string, language string, total_edits bigint, bot_edits bigint, "
         "human_edits bigint, anonymous_edits bigint, minor_edits bigint, unique_users bigint, "
         "unique_pages bigint, total_length_delta bigint"
@@ -122,7 +134,7 @@ HOURLY_STATS = Table(
 
 TOP_USERS = Table(
     "gold_top_users_daily",
-    _ddl(
+    _columns(
         "day date, wiki string, user string, user_is_bot int, user_is_anonymous int, edits bigint, "
         "pages_touched bigint, total_length_delta bigint, first_edit_at timestamp, last_edit_at timestamp"
     ),
@@ -134,7 +146,7 @@ TOP_USERS = Table(
 
 TOP_PAGES = Table(
     "gold_top_pages_hourly",
-    _ddl(
+    _columns(
         "hour timestamp, wiki string, title string, edits bigint, unique_users bigint, "
         "bot_edits bigint, total_length_delta bigint, last_event_at timestamp"
     ),
@@ -146,7 +158,7 @@ TOP_PAGES = Table(
 
 LANGUAGES = Table(
     "gold_language_hourly",
-    _ddl(
+    _columns(
         "hour timestamp, language string, wiki_count bigint, total_edits bigint, "
         "unique_users bigint, unique_pages bigint"
     ),
@@ -164,7 +176,7 @@ NOT_ADDITIVE = frozenset({"unique_users", "unique_pages", "pages_touched", "wiki
 # The older, typed design: five fields per message, stored as they come.
 TYPED_EVENTS = Table(
     "wiki_events",
-    _ddl(
+    _columns(
         "title string, user string, bot int, timestamp timestamp, comment string, ingested_at timestamp"
     ),
     BY_DAY_AND_BATCH,

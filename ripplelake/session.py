@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,17 +31,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared folder of the cluster (``spark.checkpoint.dir``).
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, which the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none is a local folder chosen, as in tests.
+    Only where none is named is a local one chosen, as in tests.  It also becomes the checkpoint folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        import tempfile
-
         root = tempfile.mkdtemp(prefix="ripplelake-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def scratch(spark: SparkSession, purpose: str) -> str:
+    """A new folder name in the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"

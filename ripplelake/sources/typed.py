@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ripplelake.functions import wire
 
-_FIELDS = T.StructType.fromDDL(
-    "title string, user string, bot variant, timestamp bigint, comment string, _mistyped string"
-)
+_FIELDS = "title string, user string, bot variant, timestamp bigint, comment string, _mistyped string"
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_mistyped"}
 
 

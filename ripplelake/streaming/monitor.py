@@ -6,12 +6,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ripplelake.operators.report import AsOf, moment
 
-PROGRESS = T.StructType.fromDDL(
+PROGRESS = (
     "id string, name string, batchId bigint, timestamp timestamp, numInputRows bigint, "
     "inputRowsPerSecond double, processedRowsPerSecond double, "
     "sources array<struct<description: string, startOffset: string, endOffset: string, latestOffset: string, "

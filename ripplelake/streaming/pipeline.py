@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.storagelevel import StorageLevel
@@ -64,16 +64,19 @@ class Pipeline:
             elif self.budget is not None:
                 route.enforce_budget(parsed, self.budget)
             good = parsed.where("_error = ''")
-            self.lake.replace(BRONZE, with_ingest(good.select(*BRONZE.columns.fieldNames()), name))
-
             rows = m.accepted(good, ("kafka_topic", "kafka_partition", "kafka_offset", "raw_message"))
             oldest = F.col("ingested_at") - F.expr(f"INTERVAL {LATEST_ACCEPTED_DAYS} DAYS")
             late = rows.where(F.col("event_timestamp") < oldest).withColumn("_error", F.lit("beyond retention"))
             errors = route.broken(parsed).unionByName(route.broken(late))
-            self.lake.replace(ERRORS, with_ingest(errors, name))
-
             fresh = rows.where(F.col("event_timestamp") >= oldest).withColumn("batch", F.lit(name))
-            self.lake.replace(SILVER_LOG, with_day(fresh, "event_timestamp"))
+            bronze = good.select(*BRONZE.columns.fieldNames())
+            side_by_side(
+                self.lake.spark,
+                lambda: self.lake.replace(BRONZE, with_ingest(bronze, name)),
+                lambda: self.lake.replace(ERRORS, with_ingest(errors, name)),
+                lambda: self.lake.replace(SILVER_LOG, with_day(fresh, "event_timestamp")),
+            )
+            # Marked last: a refresh running elsewhere must not take up a mark before its rows are there.
             hours = with_hour(fresh.select("event_timestamp", "batch"), "event_timestamp")
             self.lake.replace(TOUCHED, hours.select(*TOUCHED.stored.fieldNames()).distinct())
         finally:
@@ -142,6 +145,7 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     touched = m.activity(lake.read_partitions(SILVER, folders))
     whole_days = m.activity(lake.read_partitions(SILVER, days))
     side_by_side(
+        lake.spark,
         lambda: lake.replace(HOURLY_STATS, with_hour(m.hourly_stats(touched), "hour")),
         lambda: lake.replace(TOP_PAGES, with_hour(m.pages_hourly(touched), "hour")),
         lambda: lake.replace(LANGUAGES, with_hour(m.languages_hourly(touched), "hour")),
@@ -149,10 +153,10 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     )
 
 
-def side_by_side(*jobs: Callable[[], None]) -> None:
+def side_by_side(spark: SparkSession, *jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs at the same time; small ones would leave most of a cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
             done.result()
 
 
@@ -175,7 +179,10 @@ class TypedPipeline:
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = typed.typed_events(checked).withColumn("batch", F.lit(name))
-            self.lake.replace(TYPED_EVENTS, with_day(rows, "timestamp"))
-            self.lake.replace(TYPED_ERRORS, with_ingest(route.broken(checked), name))
+            side_by_side(
+                self.lake.spark,
+                lambda: self.lake.replace(TYPED_EVENTS, with_day(rows, "timestamp")),
+                lambda: self.lake.replace(TYPED_ERRORS, with_ingest(route.broken(checked), name)),
+            )
         finally:
             checked.unpersist()
