@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplelake.functions import wire
+from ripplelake.operators import route
 from ripplelake.plans import maintain
 from ripplelake.plans import medallion as m
 from ripplelake.schema import BRONZE, ERRORS, SILVER, SILVER_LOG, TYPED_EVENTS
 from ripplelake.session import scratch, use_utc
-from ripplelake.sources import recent_changes
+from ripplelake.sources import messages, recent_changes
 from ripplelake.sources.lake import Lake, with_day, with_hour, with_ingest
 from ripplelake.streaming import monitor
 from ripplelake.streaming.native import live_hourly_stats
@@ -35,17 +37,17 @@ def once(build):
     return lookup
 
 
-def inbox(spark: SparkSession, messages: DataFrame, folder: str, batches: int = BATCHES) -> DataFrame:
+def inbox(spark: SparkSession, delivered: DataFrame, folder: str, batches: int = BATCHES) -> DataFrame:
     """Land messages as files and read them as a stream of ``batches`` micro-batches.
 
     The files hold messages of all times in no order, so every batch after the first brings late rows and
     second deliveries for hours that are already stored.
     """
     files = batches * max(2, spark.sparkContext.defaultParallelism // 2)
-    messages.repartition(files).write.parquet(folder)
-    landed = len(spark.read.schema(messages.schema).parquet(folder).inputFiles())
+    delivered.repartition(files).write.parquet(folder)
+    landed = len(spark.read.schema(delivered.schema).parquet(folder).inputFiles())
     per_batch = -(-landed // batches)
-    return spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
+    return spark.readStream.schema(delivered.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
 
 
 @dataclass
@@ -81,8 +83,8 @@ def live_typed(spark: SparkSession, sf_dir: str) -> Live:
 def replayed(spark: SparkSession, sf_dir: str) -> Lake:
     """Only bronze is given; silver and gold come from a replay, and from a second one that changes nothing."""
     lake = Lake(spark, scratch(spark, "replayed"), grain="day")
-    messages = recent_changes.recent_changes(spark, sf_dir)
-    lake.replace(BRONZE, with_ingest(m.bronze_of(messages), "landed"))
+    bronze = m.bronze_of(recent_changes.recent_changes(spark, sf_dir))
+    lake.replace(BRONZE, with_ingest(bronze, "landed"))
     maintain.replay(lake)
     maintain.replay(lake, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
     return lake
@@ -106,23 +108,17 @@ def expired(spark: SparkSession, sf_dir: str) -> Lake:
     """Silver kept for 14 days, errors ingested in the last 7 days, at noon of the last day."""
     lake = Lake(spark, scratch(spark, "expired"), grain="day")
     now = dt.datetime(2024, 1, 30, 12, tzinfo=dt.timezone.utc)
-    messages = recent_changes.recent_changes(spark, sf_dir)
-    bronze = m.bronze_of(messages)
+    checked = wire.with_error(recent_changes.recent_changes(spark, sf_dir))
+    bronze = route.healthy(checked)
     lake.replace(SILVER, with_hour(m.silver_of(bronze), "event_timestamp"))
     lake.replace(BRONZE, with_ingest(bronze, "landed"))
     maintain.expire(lake, now, {SILVER.name: 14})
     maintain.delete_ingested_before(lake, BRONZE, now - dt.timedelta(days=7))
-    lake.replace(ERRORS, with_ingest(messages_as_errors(messages), "landed"))
+    lake.replace(ERRORS, with_ingest(route.broken(checked), "landed"))
     lake.truncate(ERRORS)
     return lake
 
 
-def messages_as_errors(messages: DataFrame) -> DataFrame:
-    return messages.select(
-        "kafka_topic", "kafka_partition", "kafka_offset", "raw_message", F.lit("refused").alias("error_message"), "ingested_at"
-    )
-
-
 @once
 def snapshot_path(spark: SparkSession, sf_dir: str) -> str:
     at = dt.datetime(2024, 1, 31)
@@ -148,3 +144,26 @@ def native_path(spark: SparkSession, sf_dir: str) -> str:
     writer = live_hourly_stats(stream).writeStream.format("parquet").outputMode("append")
     _run(writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
     return f"{root}/out"
+
+
+@once
+def topic_path(spark: SparkSession, sf_dir: str) -> str:
+    """Landed lines through the sending side: records as they would go to the topic."""
+    root = scratch(spark, "topic")
+    lines = recent_changes.framed_lines(spark, sf_dir).select("value")
+    lines.write.text(f"{root}/lines")
+    sent, _ = messages.outgoing(messages.read_lines(spark, f"{root}/lines"), "ingest")
+    _run(messages.write_files(messages.kafka_records(sent), f"{root}/records", f"{root}/checkpoint"))
+    return f"{root}/records"
+
+
+def health_while_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataflow health while a query reads the landed records."""
+    records = spark.readStream.schema("key binary, value binary, topic string").parquet(topic_path(spark, sf_dir))
+    checkpoint = scratch(spark, "health")
+    query = records.writeStream.queryName("reader").format("noop").option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+        return monitor.dataflow_health(spark)
+    finally:
+        query.stop()

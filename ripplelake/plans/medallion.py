@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ripplelake.functions import wire
 from ripplelake.functions.scalars import is_anonymous, language_of
-from ripplelake.operators.merge import keep_latest
+from ripplelake.operators.merge import keep_latest, sum_merge
 from ripplelake.operators.route import healthy
 from ripplelake.schema import COMMENT_CHARS, KEPT_TYPES, SILVER
 
@@ -135,3 +135,8 @@ def languages_hourly(rows: DataFrame) -> DataFrame:
 def user_totals(events: DataFrame) -> DataFrame:
     """The per-user rollup of the older design."""
     return events.groupBy("user").agg(F.count("*").alias("edits"))
+
+
+def stored_user_totals(parts: DataFrame) -> DataFrame:
+    """The same from the partial rows that every batch has left."""
+    return sum_merge(parts, ["user"], ["edits"])

@@ -343,6 +343,8 @@ QUERIES |= {
     "s20b_typed_sink": "SELECT * FROM wiki_events",
     "s20b_typed_errors_sink": "SELECT 'wiki-events' AS kafka_topic, kafka_partition, kafka_offset, "
     "error AS error_message, ingested_at FROM typed WHERE error <> ''",
+    "g5b_stored_user_totals": "SELECT user, count(*) AS edits FROM wiki_events GROUP BY 1",
+    "s06_streamed_records": "SELECT nullif(kafka_key, '') AS key, raw_message AS value, 'wiki-events' AS topic FROM keyed",
     "s21_snapshot": "SELECT * FROM silver",
     "t03_tumbling_windows": "SELECT date_trunc('hour', event_timestamp) AS hour, count(*) AS edits FROM silver GROUP BY 1",
     "t04_watermark_variant_exact": "SELECT hour, wiki, language, total_edits, bot_edits, human_edits, anonymous_edits, "

@@ -17,7 +17,7 @@ from ripplelake.plans import medallion as m
 from ripplelake.plans.oracle import AS_OF, RATE_AS_OF
 from ripplelake.schema import (
     BRONZE, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TYPED_ERRORS,
-    TYPED_EVENTS, Table,
+    TYPED_EVENTS, USER_STATS, Table,
 )
 from ripplelake.session import use_utc
 from ripplelake.sources import messages, recent_changes, typed
@@ -384,6 +384,10 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "s20b_typed_errors_sink": lambda t: lakes.live_typed(t.spark, t.sf_dir).lake.read(TYPED_ERRORS).select(
         "kafka_topic", "kafka_partition", "kafka_offset", "error_message", "ingested_at"
     ),
+    "g5b_stored_user_totals": lambda t: m.stored_user_totals(lakes.live_typed(t.spark, t.sf_dir).lake.read(USER_STATS)),
+    "s06_streamed_records": lambda t: t.spark.read.parquet(lakes.topic_path(t.spark, t.sf_dir)).select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic"
+    ),
     "s21_snapshot": lambda t: t.spark.read.parquet(lakes.snapshot_path(t.spark, t.sf_dir)).select(
         *SILVER.columns.fieldNames()
     ),
@@ -414,6 +418,7 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "m06_partition_counts": lambda t: maintain.partition_counts(lakes.live(t.spark, t.sf_dir).lake, [SILVER, *GOLD]),
     "m07_ingestion_status": lambda t: monitor.ingestion_status(_progress(t)),
     "m08_consumer_lag": lambda t: monitor.consumer_lag(_progress(t)),
+    "m09_dataflow_health": lambda t: lakes.health_while_running(t.spark, t.sf_dir),
 }
 
 

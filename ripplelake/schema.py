@@ -194,9 +194,24 @@ TYPED_ERRORS = Table(
     7,
 )
 
+#: Per-user counts of the older design, one partial row per day, batch and user; readers add them up.
+USER_STATS = Table(
+    "user_stats",
+    _columns("user string, edits bigint"),
+    BY_DAY_AND_BATCH,
+    ("user",),
+    "event_date",
+    30,
+)
+
+#: Where broken messages go under the ``dead_letters`` policy.
+DEAD_LETTERS = Table(
+    "dead_letter_queue", ERRORS.columns, BY_INGEST, ("kafka_topic", "kafka_partition", "kafka_offset"), "ingested_at", 30
+)
+
 TABLES = {
     t.name: t
     for t in (
-        BRONZE, ERRORS, SILVER_LOG, TOUCHED, SILVER, *GOLD, TYPED_EVENTS, TYPED_ERRORS,
+        BRONZE, ERRORS, SILVER_LOG, TOUCHED, SILVER, *GOLD, TYPED_EVENTS, TYPED_ERRORS, USER_STATS, DEAD_LETTERS,
     )
 }

@@ -69,17 +69,19 @@ class Lake:
 
     # Writing
 
-    def replace(self, table: Table, df: DataFrame) -> None:
+    def replace(self, table: Table, df: DataFrame, gather: bool = True) -> None:
         """Write ``df`` in place of the partitions it has rows for.
 
-        The rebalance step gathers the rows of a partition; the adaptive planner then splits large ones over
-        many tasks and merges small ones, so neither a hot hour nor thousands of quiet ones is a problem.
+        Gathering shuffles the rows of a partition together; the adaptive planner then splits large ones over
+        many tasks and merges small ones, so neither a hot hour nor thousands of quiet ones is a problem.  Rows
+        that go to very few partitions need no gathering: every task writes a file of its own.
         """
         table = self.layout(table)
         parts = table.partition_names
-        gathered = df.hint("rebalance", *[F.col(c) for c in parts])
+        if gather:
+            df = df.hint("rebalance", *[F.col(c) for c in parts])
         (
-            gathered.sortWithinPartitions(*parts, *table.sort_key)
+            df.sortWithinPartitions(*parts, *table.sort_key)
             .select(*table.stored.fieldNames())
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

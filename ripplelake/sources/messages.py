@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ripplelake.functions import wire
 from ripplelake.schema import ENVELOPE, TOPIC
 
 
+def read_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Landed lines as a stream; ``max_files`` bounds a micro-batch."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.readStream
+    return reader.text(folder)
+
+
 def frames(lines: DataFrame, column: str = "value") -> DataFrame:
     """Payloads of the lines that carry one, as ``raw_message``; other lines are not counted anywhere."""
     return lines.where(F.col(column).startswith(wire.FRAME_PREFIX)).select(
@@ -53,6 +60,13 @@ def kafka_records(messages: DataFrame, topic: str = TOPIC) -> DataFrame:
     return messages.select(key_bytes().alias("key"), value_bytes().alias("value"), F.lit(topic).alias("topic"))
 
 
+def write_files(records: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
+    """Records as Parquet files, each written exactly once; stands in for a topic where there is none."""
+    return (
+        records.writeStream.format("parquet").option("path", folder).option("checkpointLocation", checkpoint)
+    )
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     """Records of a topic in the common envelope."""
     return records.select(

@@ -16,14 +16,18 @@ from ripplelake.functions import wire
 from ripplelake.operators import merge, route
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, ERRORS, HOURLY_STATS, LANGUAGES, LATEST_ACCEPTED_DAYS, SILVER, SILVER_LOG, TOP_PAGES,
-    TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS,
+    BRONZE, DEAD_LETTERS, ERRORS, HOURLY_STATS, LANGUAGES, LATEST_ACCEPTED_DAYS, SILVER, SILVER_LOG,
+    TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS,
 )
 from ripplelake.sources import typed
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour, with_ingest
 from ripplelake.sources.messages import stamped
 
 
+#: Up to this many partitions are written straight from the shuffle that removed the duplicates.
+FEW_PARTITIONS = 4
+
+
 def batch_name(df: DataFrame, batch_id: int) -> str:
     """Same for every try of a batch, different after the positions of a query were thrown away."""
     query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -33,8 +37,8 @@ def batch_name(df: DataFrame, batch_id: int) -> str:
 class Pipeline:
     """Ingests message batches into a lake.
 
-    ``policy`` says what happens to broken messages: ``split`` keeps them in the errors table, ``fail`` stops
-    on the first.  ``budget`` additionally stops on a batch with more broken messages than that.  With
+    ``policy`` says what happens to broken messages: ``split`` keeps them in the errors table, ``dead_letters`` in
+    the dead letter table, ``fail`` stops on the first.  ``budget`` additionally stops on a batch with more broken messages than that.  With
     ``refresh=False`` batches only append, and ``refresh_touched`` runs on its own schedule.
     """
 
@@ -42,6 +46,7 @@ class Pipeline:
         if policy not in route.POLICIES:
             raise ValueError(f"unknown policy {policy!r}, known: {', '.join(route.POLICIES)}")
         self.lake, self.policy, self.budget, self.refresh = lake, policy, budget, refresh
+        self.errors = DEAD_LETTERS if policy == "dead_letters" else ERRORS
 
     def start(self, messages: DataFrame, checkpoint: str, name: str = "ingest") -> DataStreamWriter:
         """A writer ready to be given a trigger and started."""
@@ -72,8 +77,9 @@ class Pipeline:
             bronze = good.select(*BRONZE.columns.fieldNames())
             side_by_side(
                 self.lake.spark,
-                lambda: self.lake.replace(BRONZE, with_ingest(bronze, name)),
-                lambda: self.lake.replace(ERRORS, with_ingest(errors, name)),
+                # One day, or two around midnight: the raw texts are written where they were read.
+                lambda: self.lake.replace(BRONZE, with_ingest(bronze, name), gather=False),
+                lambda: self.lake.replace(self.errors, with_ingest(errors, name)),
                 lambda: self.lake.replace(SILVER_LOG, with_day(fresh, "event_timestamp")),
             )
             # Marked last: a refresh running elsewhere must not take up a mark before its rows are there.
@@ -140,7 +146,7 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     days = sorted({day_folder(h["event_date"]) for h in hours})
 
     latest = merge.keep_latest(log_of(lake, hours))
-    lake.replace(SILVER, with_hour(latest, "event_timestamp"))
+    lake.replace(SILVER, with_hour(latest, "event_timestamp"), gather=len(folders) > FEW_PARTITIONS)
 
     touched = m.activity(lake.read_partitions(SILVER, folders))
     whole_days = m.activity(lake.read_partitions(SILVER, days))
@@ -161,7 +167,7 @@ def side_by_side(spark: SparkSession, *jobs: Callable[[], None]) -> None:
 
 
 class TypedPipeline:
-    """The live path of the older design: typed rows and their errors."""
+    """The live path of the older design: typed rows, their errors, and edits per user."""
 
     def __init__(self, lake: Lake):
         self.lake = lake
@@ -178,10 +184,12 @@ class TypedPipeline:
         name = batch_name(checked, batch_id)
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = typed.typed_events(checked).withColumn("batch", F.lit(name))
+            rows = with_day(typed.typed_events(checked).withColumn("batch", F.lit(name)), "timestamp")
+            edits = rows.groupBy("event_date", "batch", "user").agg(F.count("*").alias("edits"))
             side_by_side(
                 self.lake.spark,
-                lambda: self.lake.replace(TYPED_EVENTS, with_day(rows, "timestamp")),
+                lambda: self.lake.replace(TYPED_EVENTS, rows),
+                lambda: self.lake.replace(USER_STATS, edits),
                 lambda: self.lake.replace(TYPED_ERRORS, with_ingest(route.broken(checked), name)),
             )
         finally:

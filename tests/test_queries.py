@@ -8,7 +8,7 @@ import __spark_entry__ as entry_point
 from ripplelake.plans import registry
 
 QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
-ROWS_ONLY = {"m05_table_sizes", "m07_ingestion_status", "m08_consumer_lag", "t04_watermark_variant"}
+ROWS_ONLY = {"m05_table_sizes", "m07_ingestion_status", "m08_consumer_lag", "m09_dataflow_health", "t04_watermark_variant"}
 
 
 @pytest.fixture(scope="module")

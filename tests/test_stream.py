@@ -12,7 +12,7 @@ from ripplelake.functions import wire
 from ripplelake.plans import maintain
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TOUCHED,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TOUCHED,
 )
 from ripplelake.sources import recent_changes
 from ripplelake.sources.lake import Lake
@@ -170,6 +170,9 @@ def test_error_policies(spark, messages, folder):
         Pipeline(Lake(spark, folder("b")), budget=2).ingest(checked, 0)
     with pytest.raises(ValueError):
         Pipeline(Lake(spark, folder("u")), policy="ignore")
+    aside = Lake(spark, folder("d"), grain="day")
+    Pipeline(aside, policy="dead_letters", refresh=False).ingest(checked, 0)
+    assert (aside.read(DEAD_LETTERS).count(), aside.read(ERRORS).count()) == (3, 0)
     tolerant = Lake(spark, folder("t"), grain="day")
     Pipeline(tolerant, budget=3, refresh=False).ingest(checked, 0)
     assert tolerant.read(ERRORS).count() == 3
