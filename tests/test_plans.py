@@ -6,26 +6,16 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from ripplelake.operators import merge, report
 from ripplelake.plans import catalogue, lakes, registry
 from ripplelake.schema import HOURLY_STATS, SILVER
 from ripplelake.sources.lake import Lake, with_hour
 
-LAZY = sorted(set(entry_point.queries()) - set(registry.STORED))
-
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_no_python_no_cross_join(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, SMALL))
-    for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in plan
-
-
 def test_text_is_parsed_once(spark):
     plan = plan_of(registry.Inputs(spark, SMALL).silver)
     wire_parses = plan.count("from_json(StructField(id,LongType,true), StructField(type,StringType,true)")
