@@ -14,7 +14,7 @@ from ripplelake.operators import merge
 from ripplelake.operators.report import AsOf, moment
 from ripplelake.plans import medallion as m
 from ripplelake.schema import BRONZE, SILVER, SILVER_LOG, TABLES, Table
-from ripplelake.session import shared_folder
+from ripplelake.session import scratch
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour
 from ripplelake.streaming.pipeline import rebuild
 
@@ -53,10 +53,13 @@ def retained(df: DataFrame, table: Table, as_of: AsOf = None, days: int | None =
     return df.where(F.col(table.age_column) >= moment(as_of) - F.expr(f"INTERVAL {keep} DAYS"))
 
 
-def expire(lake: Lake, as_of: dt.datetime, retention: dict[str, int] | None = None) -> dict[str, int]:
+def expire(
+    lake: Lake, as_of: dt.datetime, retention: dict[str, int] | None = None, exact: bool = True
+) -> dict[str, int]:
     """Drop what is too old from every table; returns the number of day folders dropped per table.
 
-    Whole days go by deleting their folder.  The day the limit falls into is rewritten without its old rows.
+    Whole days go by deleting their folder.  Of the day the limit falls into, the partitions with old rows are
+    rewritten without them; ``exact=False`` leaves that day alone until it is wholly too old.
     """
     dropped = {}
     for name, days in {**RETENTION, **(retention or {})}.items():
@@ -66,6 +69,8 @@ def expire(lake: Lake, as_of: dt.datetime, retention: dict[str, int] | None = No
         old = [p for p in lake.partitions(table) if p < f"{column}={limit.date()}"]
         lake.drop(table, old)
         dropped[name] = len(old)
+        if not exact:
+            continue
         boundary = F.col(column) == F.lit(limit.date())
         delete_where(lake, table, boundary & (F.col(table.age_column) < F.lit(limit).cast("timestamp")))
     return dropped
@@ -79,9 +84,10 @@ def delete_where(lake: Lake, table: Table, predicate: Column) -> None:
         return
     folders = ["/".join(f"{n}={row[n]}" for n in parts) for row in hit]
     survivors = lake.read_partitions(table, folders).where(~F.coalesce(predicate, F.lit(False)))
-    # A partition cannot be read while it is replaced: the survivors are kept in the checkpoint folder.
-    shared_folder(lake.spark)
-    survivors = survivors.checkpoint()
+    # A partition cannot be read while it is replaced: the survivors are first written to the shared folder.
+    aside = scratch(lake.spark, "survivors")
+    survivors.write.parquet(aside)
+    survivors = lake.spark.read.schema(survivors.schema).parquet(aside)
     left = {tuple(r) for r in survivors.select(*parts).distinct().collect()}
     lake.replace(table, survivors)
     lake.drop(table, [f for f, row in zip(folders, hit) if tuple(row) not in left])

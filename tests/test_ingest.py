@@ -10,6 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ripplelake.functions import wire
+from ripplelake.operators import route
 from ripplelake.sources import kafka, messages
 
 
@@ -175,6 +176,13 @@ def test_validity_of_generated_values(spark, values, cut):
     assert [e == "" for e in errors_of(spark, texts)] == [python_says(t) for t in texts]
 
 
+def test_lazy_stop_on_error(spark):
+    good, bad = stamped(spark, [FULL]), stamped(spark, [FULL, "{broken"])
+    assert route.stop_on_error(wire.with_error(good)).count() == 1
+    with pytest.raises(Exception, match="broken message: malformed JSON"):
+        route.stop_on_error(wire.with_error(bad)).collect()
+
+
 def test_peek_takes_the_oldest(spark):
     df = stamped(spark, [{"id": i} for i in range(20)])
     assert [r["kafka_offset"] for r in messages.peek(df).collect()] == [0, 1, 2, 3, 4]
