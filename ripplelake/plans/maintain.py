@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,14 +104,14 @@ def delete_ingested_before(lake: Lake, table: Table, limit: dt.datetime) -> None
 # Compaction, other sort orders, snapshots
 
 
-def compact(lake: Lake, day: dt.date) -> None:
-    """Merge the log of one day: latest version of every event, few files, sorted.
+def compact(lake: Lake, days: Iterable[dt.date]) -> None:
+    """Merge the log of these days: latest version of every event, few files, sorted.
 
-    The merged rows are written before the old ones are removed.  Stopped in between, the day holds some rows
+    The merged rows are written before the old ones are removed.  Stopped in between, a day holds some rows
     twice, which readers of the log collapse anyway.
     """
-    below = day_folder(day)
-    old = [f"{below}/{batch}" for batch in lake.partitions(SILVER_LOG, below)]
+    folders = [day_folder(day) for day in days]
+    old = [f"{folder}/{batch}" for folder in folders for batch in lake.partitions(SILVER_LOG, folder)]
     if not old:
         return
     latest = merge.keep_latest(lake.read_partitions(SILVER_LOG, old))

@@ -91,21 +91,13 @@ class Inputs:
     def wiki_events(self) -> DataFrame:
         return typed.typed_events(self.typed)
 
-    def gold(self) -> dict[str, DataFrame]:
-        return {
-            HOURLY_STATS.name: self.stats,
-            TOP_USERS.name: self.users,
-            TOP_PAGES.name: self.pages,
-            LANGUAGES.name: self.languages,
-        }
-
-    def layers(self) -> dict[str, DataFrame]:
-        return {
-            "bronze_wiki_events": self.bronze,
-            SILVER.name: self.silver,
-            HOURLY_STATS.name: self.stats,
-            "bronze_wiki_events_errors": self.errors,
-        }
+    @cached_property
+    def live(self) -> lakes.Live:
+        """The tables as the live path leaves them."""
+        return lakes.live(self.spark, self.sf_dir)
+
+    def stored(self, *tables: Table) -> dict[str, DataFrame]:
+        return {t.name: self.live.lake.read(t) for t in tables}
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -174,8 +166,9 @@ def _sum_merged(t: Inputs) -> DataFrame:
 
 def _sketches_against_exact(t: Inputs) -> DataFrame:
     """Users per site from merged hourly sketches, next to the exact count."""
-    hourly = merge.distinct_sketch(t.activity, ["hour", "wiki"], "user")
-    exact = t.activity.groupBy("wiki").agg(F.count_distinct("user").alias("users"))
+    rows = m.activity(t.live.lake.read(SILVER))
+    hourly = merge.distinct_sketch(rows, ["hour", "wiki"], "user")
+    exact = rows.groupBy("wiki").agg(F.count_distinct("user").alias("users"))
     both = merge.merge_sketches(hourly, ["wiki"]).join(exact, "wiki")
     close = F.abs(F.col("approx_distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * 0.05)
     return both.select("wiki", "users", close.alias("within_5_percent"))
@@ -183,8 +176,12 @@ def _sketches_against_exact(t: Inputs) -> DataFrame:
 
 def _with_stale_versions(df: DataFrame, version: str, measure: str) -> DataFrame:
     """Every row twice: as it is, and an older version with another measure."""
-    older = df.withColumn(version, F.col(version) - F.expr("INTERVAL 1 MINUTE")).withColumn(measure, F.lit(0).cast("bigint"))
-    return df.unionByName(older)
+    twice = df.withColumn("age", F.explode(F.array(F.lit(0), F.lit(1))))
+    older = {
+        version: F.col(version) - F.col("age") * F.expr("INTERVAL 1 MINUTE"),
+        measure: F.when(F.col("age") == 0, F.col(measure)).otherwise(0),
+    }
+    return twice.withColumns(older).drop("age")
 
 
 TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -278,8 +275,8 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     .limit(20),
     "o4_full_order": lambda t: t.silver.groupBy("user").agg(F.count("*").alias("edits")).orderBy(F.desc("edits"), "user"),
     # 2.9 set operations
-    "u1_gold_row_counts": lambda t: report.row_counts(t.gold()),
-    "u2_layer_health": lambda t: report.row_counts(t.layers()),
+    "u1_gold_row_counts": lambda t: report.row_counts(t.stored(*GOLD)),
+    "u2_layer_health": lambda t: report.row_counts(t.stored(BRONZE, SILVER, HOURLY_STATS, ERRORS)),
     # 2.10 scalar functions
     "f01_f06_json_fields": lambda t: t.silver.select(
         "event_id", "namespace", "title", "is_patrolled", "length_old", "length_new", "length_delta", "revision_old", "domain"
@@ -355,14 +352,14 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "q28b_top_bots": lambda t: c.top_bots(t.wiki_events),
     "q29b_ingestion_rate": lambda t: c.ingestion_rate(t.wiki_events, RATE_AS_OF),
     "q30b_processing_lag": lambda t: c.processing_lag(t.wiki_events, RATE_AS_OF),
-    "q31_gold_row_counts": lambda t: report.row_counts(t.gold()),
-    "q32_layer_health": lambda t: report.row_counts(t.layers()),
+    "q31_gold_row_counts": lambda t: report.row_counts(t.stored(*GOLD)),
+    "q32_layer_health": lambda t: report.row_counts(t.stored(BRONZE, SILVER, HOURLY_STATS, ERRORS)),
 }
 
 
 def _stored(table: Table) -> Callable[[Inputs], DataFrame]:
     """A table as the live path left it."""
-    return lambda t: lakes.live(t.spark, t.sf_dir).lake.read(table).select(*table.columns.fieldNames())
+    return lambda t: t.live.lake.read(table).select(*table.columns.fieldNames())
 
 
 def _replayed(table: Table) -> Callable[[Inputs], DataFrame]:
@@ -370,11 +367,11 @@ def _replayed(table: Table) -> Callable[[Inputs], DataFrame]:
 
 
 def _progress(t: Inputs) -> DataFrame:
-    return monitor.progress(t.spark, lakes.live(t.spark, t.sf_dir).reports)
+    return monitor.progress(t.spark, t.live.reports)
 
 
 def _sizes(t: Inputs) -> DataFrame:
-    return maintain.table_sizes(lakes.live(t.spark, t.sf_dir).lake, [BRONZE, ERRORS, SILVER, *GOLD])
+    return maintain.table_sizes(t.live.lake, [BRONZE, ERRORS, SILVER, *GOLD])
 
 
 STORED: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -415,7 +412,7 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "t11_replayed_languages_hourly": _replayed(LANGUAGES),
     # 2.6, 2.8, 2.12 maintenance
     "r4_compacted_log": lambda t: lakes.compacted(t.spark, t.sf_dir).read(SILVER_LOG).select(*SILVER.columns.fieldNames()),
-    "o5_sorted_files": lambda t: _out_of_order(lakes.live(t.spark, t.sf_dir).lake.read(SILVER)),
+    "o5_sorted_files": lambda t: _out_of_order(t.live.lake.read(SILVER)),
     "o6b_resorted_table": lambda t: t.spark.read.parquet(lakes.resorted_path(t.spark, t.sf_dir)).select(
         *TYPED_EVENTS.columns.fieldNames()
     ),
@@ -425,7 +422,7 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "m03_truncated_errors": lambda t: c.total(lakes.expired(t.spark, t.sf_dir).read(ERRORS)),
     "m05_table_sizes": _sizes,
     "m05_table_rows": lambda t: _sizes(t).select("table", "total_rows"),
-    "m06_partition_counts": lambda t: maintain.partition_counts(lakes.live(t.spark, t.sf_dir).lake, [SILVER, *GOLD]),
+    "m06_partition_counts": lambda t: maintain.partition_counts(t.live.lake, [SILVER, *GOLD]),
     "m07_ingestion_status": lambda t: monitor.ingestion_status(_progress(t)),
     "m08_consumer_lag": lambda t: monitor.consumer_lag(_progress(t)),
     "m09_dataflow_health": lambda t: lakes.health_while_running(t.spark, t.sf_dir),

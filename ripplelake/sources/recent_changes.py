@@ -64,13 +64,13 @@ DOCUMENT = {
 
 
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table; input that comes in fewer pieces than there are cores is dealt out to all of them.
+    """Read a table; one that comes in far fewer pieces than there are cores is dealt out to all of them.
 
-    Data of any size worth a cluster has pieces enough and is not moved.
+    Large data has pieces enough and is not moved.
     """
     table = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if 2 * table.rdd.getNumPartitions() <= cores else table
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,13 +235,12 @@ def test_compaction_stopped_half_way(filled, messages, monkeypatch):
     days = [dt.date.fromisoformat(f.split("=")[1]) for f in filled.partitions(SILVER_LOG)]
     monkeypatch.setattr(filled, "drop", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
     with pytest.raises(RuntimeError):
-        maintain.compact(filled, days[-1])
+        maintain.compact(filled, days[-1:])
     monkeypatch.undo()
     hours = latest.select(F.to_date("event_timestamp").alias("event_date"), F.hour("event_timestamp").alias("event_hour"))
     rebuild(filled, hours.distinct().collect())
     assert_equals_batch(filled, messages)
-    for day in days:
-        maintain.compact(filled, day)
+    maintain.compact(filled, days)
     assert filled.read(SILVER_LOG).count() == latest.count()
     assert all(len(filled.partitions(SILVER_LOG, f"event_date={d}")) == 1 for d in days)
     rebuild(filled, hours.distinct().collect())
