@@ -66,6 +66,8 @@ class Table:
         return T.StructType(self.columns.fields + self.partitions.fields)
 
 
+# Names, columns, keys and retention days of the tables.
+
 BY_INGEST = _columns("ingest_date date, batch string")
 BY_HOUR = _columns("event_date date, event_hour int")
 BY_DAY_AND_BATCH = _columns("event_date date, batch string")

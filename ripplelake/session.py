@@ -19,10 +19,17 @@ CLUSTER = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
+def cluster_session(name: str, **more: str) -> SparkSession:
+    """A session with these settings; ``more`` adds to them or overrides them."""
+    builder = SparkSession.builder.appName(name)
+    for key, value in {**CLUSTER, **REQUIRED, **more}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session somebody else built."""
     for key, value in REQUIRED.items():
