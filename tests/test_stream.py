@@ -268,13 +268,16 @@ def test_delete_where(spark, messages, folder):
     assert lake.partitions(SILVER) == [] and lake.read(SILVER).count() == 0
 
 
-def test_retention(spark, messages, folder):
-    lake = Lake(spark, folder("expire"), grain="day")
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_retention(spark, messages, folder, grain):
+    lake = Lake(spark, folder("expire"), grain=grain)
     Pipeline(lake).ingest(wire.with_error(messages), 0)
     silver = m.silver_of(m.bronze_of(messages))
     at = dt.datetime(2024, 10, 8, 13, 30, tzinfo=dt.timezone.utc)
-    dropped = maintain.expire(lake, at, {SILVER.name: 1})
+    dropped = maintain.expire(lake, at, {SILVER.name: 1}, exact=False)
     assert dropped[SILVER.name] == 1
+    same(lake.read(SILVER), silver.where("event_timestamp >= '2024-10-07'"))
+    maintain.expire(lake, at, {SILVER.name: 1})
     same(lake.read(SILVER), silver.where("event_timestamp >= '2024-10-07 13:30:00'"))
     same(maintain.retained(silver, SILVER, at, 1), silver.where("event_timestamp >= '2024-10-07 13:30:00'"))
     assert lake.read(BRONZE).count() == messages.count() - 3
