@@ -43,7 +43,7 @@ QUALITY = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    [l FOR l IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS lines
   FROM documents
 ), windows AS (
   SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS s
@@ -73,7 +73,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     OR word_chars < 2 * n_words OR word_chars > 15 * n_words
     OR 2 * upper_letters > letters
     OR 2 * letters < word_chars
-    OR 10 * len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) > 3 * n_words
+    OR 10 * len([i FOR i IN range(2, len(words) + 1) IF words[i] = words[i - 1]]) > 3 * n_words
     OR 100 * n_dup_lines > 70 * len(lines)
   ) AS kept
 FROM figures
