@@ -17,11 +17,13 @@ JSON_SPACE = r" \t\r\n"
 
 _STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "allowSingleQuotes": "false"}
 
-# The message sits inside an array followed by an end mark.  A message that is cut short, or that has
-# anything after its closing brace, breaks the array or the mark.
+# The message stands twice, inside an array and as a member, followed by an end mark.  One that is cut short, or that has
+# anything after its closing brace, breaks one of them: closing the array leaves a stray bracket in the member, and
+# closing the member a stray brace in the array.
 _WRAPPED = T.StructType(
     [
         T.StructField("_items", T.ArrayType(T.StructType([]))),
+        T.StructField("_one", T.StructType([])),
         T.StructField("_end", T.IntegerType()),
         T.StructField("_broken", T.StringType()),
     ]
@@ -37,7 +39,7 @@ def spread(df: DataFrame, struct: Column) -> DataFrame:
 
 def with_error(df: DataFrame, text: str = "raw_message") -> DataFrame:
     """Add ``_error``: empty for a message that is exactly one JSON object, else the reason."""
-    wrapped = f"""'{{"_items":[' || {text} || '],"_end":1}}'"""
+    wrapped = f"""'{{"_items":[' || {text} || '],"_one":' || {text} || ',"_end":1}}'"""
     one_object = "_broken IS NULL AND _end = 1 AND size(_items) = 1 AND _items[0] IS NOT NULL"
     body = f"ltrim('{JSON_SPACE}', coalesce({text}, ''))"
     error = F.expr(

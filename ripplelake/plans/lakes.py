@@ -154,15 +154,3 @@ def topic_path(spark: SparkSession, sf_dir: str) -> str:
     sent, _ = messages.outgoing(messages.read_lines(spark, f"{root}/lines"), "ingest")
     _run(messages.write_files(messages.kafka_records(sent), f"{root}/records", f"{root}/checkpoint"))
     return f"{root}/records"
-
-
-def health_while_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dataflow health while a query reads the landed records."""
-    records = spark.readStream.schema("key binary, value binary, topic string").parquet(topic_path(spark, sf_dir))
-    checkpoint = scratch(spark, "health")
-    query = records.writeStream.queryName("reader").format("noop").option("checkpointLocation", checkpoint).start()
-    try:
-        query.processAllAvailable()
-        return monitor.dataflow_health(spark)
-    finally:
-        query.stop()

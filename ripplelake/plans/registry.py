@@ -423,9 +423,6 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "m05_table_sizes": _sizes,
     "m05_table_rows": lambda t: _sizes(t).select("table", "total_rows"),
     "m06_partition_counts": lambda t: maintain.partition_counts(t.live.lake, [SILVER, *GOLD]),
-    "m07_ingestion_status": lambda t: monitor.ingestion_status(_progress(t)),
-    "m08_consumer_lag": lambda t: monitor.consumer_lag(_progress(t)),
-    "m09_dataflow_health": lambda t: lakes.health_while_running(t.spark, t.sf_dir),
 }
 
 

@@ -63,18 +63,8 @@ DOCUMENT = {
 }
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table; one that comes in far fewer pieces than there are cores is dealt out to all of them.
-
-    Large data has pieces enough and is not moved.
-    """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if 2 * table.rdd.getNumPartitions() <= cores else table
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_k(read_spread(spark, f"{sf_dir}/events.parquet"))
+    return with_k(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -150,7 +140,7 @@ def framed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as change events: whole texts of every length as comments, in several languages."""
     arrival = "timestamp_seconds(1704153600 + doc_id)"
-    return read_spread(spark, f"{sf_dir}/documents.parquet").select(
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         as_json(DOCUMENT).alias("raw_message"),
         F.lit(TOPIC).alias("kafka_topic"),
         F.expr("doc_id % 3 AS kafka_partition"),

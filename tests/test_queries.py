@@ -5,10 +5,10 @@ from conftest import SMALL
 from oracle_check import connect, difference
 
 import __spark_entry__ as entry_point
-from ripplelake.plans import registry
+from ripplelake.plans import oracle, registry
 
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
-ROWS_ONLY = {"m05_table_sizes", "m07_ingestion_status", "m08_consumer_lag", "m09_dataflow_health", "t04_watermark_variant"}
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
+ROWS_ONLY = {"m05_table_sizes", "t04_watermark_variant"}
 
 SLOW_STEPS = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
