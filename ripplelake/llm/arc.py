@@ -66,7 +66,7 @@ def write_arc(pages: DataFrame, per_file: int = PER_FILE) -> str:
 
     path = scratch(pages.sparkSession, "arc")
     dealt = rows.repartition(files, F.xxhash64("page_id", "url", F.length("block"))).select("url", "block")
-    dealt.mapInPandas(lay_out, "value string").write.option("lineSep", "\n").text(path)
+    dealt.mapInPandas(lay_out, "value string").write.option("lineSep", "\n").option("compression", "gzip").text(path)
     return path
 
 
@@ -115,10 +115,13 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     """The records of ARC files with the fields that WARC needs; the ``filedesc`` records are left out."""
 
     def convert(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import gzip
+
         for part in parts:
             for name, content in zip(part["path"], part["content"]):
                 rows = []
-                for at, fields, block in arc_records(bytes(content)):
+                content = bytes(content)
+                for at, fields, block in arc_records(gzip.decompress(content) if name.endswith(".gz") else content):
                     if fields["URL"].startswith("filedesc:"):
                         continue
                     head, payload = _split(block)

@@ -20,7 +20,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
