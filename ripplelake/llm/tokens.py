@@ -125,6 +125,27 @@ def _short_counts(path: str):
     return F.pandas_udf(count, "long")
 
 
+#: A chunk as it is encoded: its number, where it begins, and whether it ends its document.
+PART = "id long, k int, begin long, overlap int, last boolean, text string"
+
+
+def _cut(chunk: int, overlap: int):
+    """Chunks of each text, in time linear in its length: no chunk drags the whole text along."""
+
+    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for id_, text in zip(part["id"].tolist(), part["text"]):
+                n = max(-(-(len(text) - overlap) // chunk), 1)
+                for first in range(0, n, 64):
+                    k = np.arange(first, min(first + 64, n))
+                    texts = [text[b : b + chunk + overlap] for b in (k * chunk).tolist()]
+                    yield pd.DataFrame(
+                        {"id": id_, "k": k.astype(np.int32), "begin": k * chunk, "overlap": np.int32(overlap), "last": k == n - 1, "text": texts}
+                    )
+
+    return cut
+
+
 #: Per chunk: its tokens, and the stable boundaries inside the overlaps with the chunks before and after it.
 CHUNK = "id long, k int, tokens long, head_at array<long>, head array<long>, tail_at array<long>, tail array<long>"
 
@@ -170,14 +191,7 @@ def long_counts(long: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
     out = None
     todo = long
     while True:
-        step, reach = F.lit(chunk), F.lit(chunk + overlap)
-        n = F.char_length("text")
-        k = F.posexplode(F.sequence(F.lit(0), F.greatest(F.ceil((n - overlap) / chunk).cast("int") - 1, F.lit(0))))
-        cut = todo.select("id", "text", k.alias("k", "k_")).select(
-            "id", "k", (F.col("k") * step).cast("long").alias("begin"), F.lit(overlap).alias("overlap"),
-            (F.col("k") * step + reach >= n).alias("last"),
-            F.expr(f"substring(text, k * {chunk} + 1, {chunk + overlap})").alias("text"),
-        )
+        cut = todo.select("id", "text").mapInPandas(_cut(chunk, overlap), PART)
         # Chunks of one document are dealt over all tasks.
         encoded = cut.repartition("id", "k").mapInPandas(_encode_chunks(path), CHUNK)
         spliced = stored(encoded.groupBy("id").applyInPandas(splice, "id long, n_tokens long"), "spliced")
