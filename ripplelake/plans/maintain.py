@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplelake.functions import wire
 from ripplelake.functions.scalars import readable_size
 from ripplelake.operators import merge
 from ripplelake.operators.report import AsOf, moment
 from ripplelake.plans import medallion as m
-from ripplelake.schema import BRONZE, SILVER, SILVER_LOG, TABLES, Table
+from ripplelake.schema import BRONZE, GOLD, SILVER, SILVER_KEY, SILVER_LOG, TABLES, USER_STATS, Table
 from ripplelake.session import scratch
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour
-from ripplelake.streaming.pipeline import rebuild
+from ripplelake.streaming.pipeline import clear, rebuild
 
 #: Days each table keeps its rows; override entries to change a table.
 RETENTION = {t.name: t.keep_days for t in TABLES.values() if t.keep_days is not None}
@@ -30,7 +31,8 @@ def replay(lake: Lake, first_day: dt.date | None = None, last_day: dt.date | Non
     """Rebuild silver and gold from the bronze rows ingested in a range of days (all days by default).
 
     The rows enter the log once more under the name of the range and collapse with those already there, so
-    replaying any range any number of times changes nothing that was right.
+    replaying any range any number of times changes nothing that was right.  Rows that were too late when they were
+    ingested, and rows of days whose log has expired since, stay out, as in ingestion.
     """
     bronze = lake.read(BRONZE)
     if first_day is not None:
@@ -38,7 +40,7 @@ def replay(lake: Lake, first_day: dt.date | None = None, last_day: dt.date | Non
     if last_day is not None:
         bronze = bronze.where(F.col("ingest_date") <= F.lit(last_day))
     name = f"replay-{first_day or 'first'}-{last_day or 'last'}"
-    rows = m.silver_rows(bronze).withColumn("batch", F.lit(name))
+    rows = m.silver_rows(bronze).where(m.in_time(lake.whole_days_from())).withColumn("batch", F.lit(name))
     lake.replace(SILVER_LOG, with_day(rows, "event_timestamp"))
     written = lake.read(SILVER_LOG).where(F.col("batch") == name)
     hours = with_hour(written.select("event_timestamp"), "event_timestamp")
@@ -65,26 +67,72 @@ def expire(
     dropped = {}
     for name, days in {**RETENTION, **(retention or {})}.items():
         table = TABLES[name]
-        limit = as_of - dt.timedelta(days=days)
+        limit = as_of.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
         column = table.partition_names[0]
+        # Remembered first: a rebuild must not take a half-expired day for a whole one.
+        lake.expire_below(table, limit if exact else dt.datetime.combine(limit.date(), dt.time(), dt.timezone.utc))
         old = [p for p in lake.partitions(table) if p < f"{column}={limit.date()}"]
         lake.drop(table, old)
         dropped[name] = len(old)
         if not exact:
             continue
         boundary = F.col(column) == F.lit(limit.date())
-        delete_where(lake, table, boundary & (F.col(table.age_column) < F.lit(limit).cast("timestamp")))
+        if table is USER_STATS:
+            continue  # a partial row counts a whole day: it goes with its day
+        old_rows = F.col(table.age_column) < F.lit(limit).cast("timestamp")
+        rewrite(lake, table, lambda df, p=boundary & old_rows: df.where(p), lambda df, p=boundary & old_rows: df.where(~p))
     return dropped
 
 
 def delete_where(lake: Lake, table: Table, predicate: Column) -> None:
-    """Rewrite the partitions that hold matching rows without those rows."""
+    """Delete matching rows for good.
+
+    Events deleted from silver go from bronze and the log as well, in all their deliveries, and gold is computed anew for
+    their hours; otherwise the next refresh or replay would bring them back.  Gold itself is no target: it follows from silver.
+    """
+    if table in GOLD:
+        raise ValueError(f"{table.name} follows from {SILVER.name}: delete there")
+    matching, others = (lambda df: df.where(predicate)), (lambda df: df.where(~F.coalesce(predicate, F.lit(False))))
+    if table != SILVER:
+        rewrite(lake, table, matching, others)
+        return
+    aside = scratch(lake.spark, "deleted")
+    lake.read(SILVER).where(predicate).select(*SILVER_KEY).write.parquet(aside)
+    names = [f"deleted_{c}" for c in SILVER_KEY]
+    gone = lake.spark.read.parquet(aside).toDF(*names)
+    same = reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(SILVER_KEY, names)])
+    raw = [F.col("_key")[c] == F.col(n) for c, n in zip(SILVER_KEY, names)]
+
+    def keyed(df: DataFrame) -> DataFrame:
+        key = F.struct(
+            wire.epoch_to_timestamp("timestamp").alias("event_timestamp"), wire.strict_text("wiki").alias("wiki"),
+            wire.unsigned("id").alias("event_id"),
+        )
+        return wire.parse_wire(df).withColumn("_key", key)
+
+    for target, shape, match in ((BRONZE, keyed, reduce(Column.__and__, raw)), (SILVER_LOG, lambda df: df, same)):
+        rewrite(
+            lake, target,
+            lambda df, shape=shape, match=match: shape(df).join(gone, match, "left_semi"),
+            lambda df, shape=shape, match=match: shape(df).join(gone, match, "left_anti"),
+        )
+    hours = with_hour(gone.select(F.col("deleted_event_timestamp").alias("ts")), "ts")
+    hours = hours.select("event_date", "event_hour").distinct().collect()
+    rewrite(lake, SILVER, matching, others)
+    clear(lake, hours)
+    rebuild(lake, hours)
+
+
+def rewrite(
+    lake: Lake, table: Table, matching: Callable[[DataFrame], DataFrame], others: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Rewrite the partitions that hold matching rows with the other rows only."""
     parts = lake.layout(table).partition_names
-    hit = lake.read(table).where(predicate).select(*parts).distinct().collect()
+    hit = matching(lake.read(table)).select(*parts).distinct().collect()
     if not hit:
         return
     folders = ["/".join(f"{n}={row[n]}" for n in parts) for row in hit]
-    survivors = lake.read_partitions(table, folders).where(~F.coalesce(predicate, F.lit(False)))
+    survivors = others(lake.read_partitions(table, folders)).select(*lake.layout(table).stored.fieldNames())
     # A partition cannot be read while it is replaced: the survivors are first written to the shared folder.
     aside = scratch(lake.spark, "survivors")
     survivors.write.parquet(aside)
@@ -98,7 +146,8 @@ def delete_ingested_before(lake: Lake, table: Table, limit: dt.datetime) -> None
     """Delete by ingestion time; days that lie wholly before ``limit`` are dropped unread."""
     lake.drop(table, [p for p in lake.partitions(table) if p < f"ingest_date={limit.date()}"])
     day = F.col("ingest_date") == F.lit(limit.date())
-    delete_where(lake, table, day & (F.col("ingested_at") < F.lit(limit).cast("timestamp")))
+    old = day & (F.col("ingested_at") < F.lit(limit).cast("timestamp"))
+    rewrite(lake, table, lambda df: df.where(old), lambda df: df.where(~old))
 
 
 # Compaction, other sort orders, snapshots

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ripplelake.functions import wire
 from ripplelake.functions.scalars import is_anonymous, language_of
 from ripplelake.operators.merge import keep_latest, sum_merge
 from ripplelake.operators.route import healthy
-from ripplelake.schema import COMMENT_CHARS, KEPT_TYPES, SILVER
+from ripplelake.schema import COMMENT_CHARS, KEPT_TYPES, LATEST_ACCEPTED_DAYS, SILVER
 
 
 def bronze_of(stamped: DataFrame) -> DataFrame:
@@ -57,6 +59,14 @@ def accepted(parsed: DataFrame, carry: tuple[str, ...] = ("kafka_partition", "ka
     return usable.withColumns(derived).select(*SILVER.columns.fieldNames(), *carry)
 
 
+def in_time(floor: dt.datetime | None = None) -> Column:
+    """The one rule for late rows, of ingestion and replay alike: a row must not be older than the accepted period when
+    it is ingested, nor lie before ``floor``, where the log it would be merged into is no longer whole."""
+    ts = F.col("event_timestamp")
+    young = ts >= F.col("ingested_at") - F.expr(f"INTERVAL {LATEST_ACCEPTED_DAYS} DAYS")
+    return young if floor is None else young & (ts >= F.lit(floor))
+
+
 def silver_of(bronze: DataFrame) -> DataFrame:
     """The silver table: latest delivery of every event."""
     return keep_latest(silver_rows(bronze)).select(*SILVER.columns.fieldNames())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from dataclasses import replace
 
@@ -9,9 +10,12 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelake.schema import BY_DAY, BY_HOUR, TABLES, Table
+from ripplelake.schema import BY_DAY, BY_HOUR, SILVER_LOG, TABLES, Table
 from ripplelake.session import use_utc
 
+#: Folder beside the tables with the moments before which their rows have expired.
+LIMITS = "limits"
+
 
 class Lake:
     """Reads and writes the tables.
@@ -68,6 +72,35 @@ class Lake:
         names = [f.getPath().getName() for f in found if f.isDirectory()]
         return sorted(n for n in names if "=" in n and not n.startswith((".", "_")))
 
+    # Expiry
+
+    def expire_below(self, table: Table, limit: dt.datetime) -> None:
+        """Remember that rows before ``limit`` are gone.  An empty folder per limit: no data file, no lock."""
+        self._folder(f"{LIMITS}/{table.name}/below={int(limit.timestamp())}", lambda fs, path: fs.mkdirs(path))
+
+    def floor(self, table: Table) -> dt.datetime:
+        """Rows before this moment have expired."""
+        seconds = 0
+        try:
+            found = self._folder(f"{LIMITS}/{table.name}", lambda fs, path: fs.listStatus(path))
+        except Py4JJavaError as e:
+            if "FileNotFoundException" not in str(e.java_exception):
+                raise
+            found = []
+        for f in found:
+            seconds = max(seconds, int(f.getPath().getName().split("=")[1]))
+        return dt.datetime.fromtimestamp(seconds, dt.timezone.utc)
+
+    def whole_days_from(self) -> dt.datetime:
+        """Start of the first day whose log is complete."""
+        floor = self.floor(SILVER_LOG)
+        day = floor.replace(hour=0, minute=0, second=0, microsecond=0)
+        return day if day == floor else day + dt.timedelta(days=1)
+
+    def unexpired(self, table: Table, df: DataFrame) -> DataFrame:
+        """Without rows that the table has given up."""
+        return df.where(F.col(table.age_column) >= F.lit(self.floor(table)))
+
     # Writing
 
     def replace(self, table: Table, df: DataFrame, gather: bool = True) -> None:

@@ -29,17 +29,53 @@ def reports_of(query: StreamingQuery) -> list[str]:
     return [p.json if hasattr(p, "json") else json.dumps(p) for p in query.recentProgress]
 
 
+TOTALS = (
+    "id string, name string, messages_read bigint, batches bigint, sent bigint, skipped bigint, failed bigint, "
+    "last_batch bigint, last_poll_time timestamp"
+)
+
+
 class ProgressLog(StreamingQueryListener):
-    """Collects the reports of all queries of a session; bounded like Spark's own history."""
+    """Folds the reports of all queries of a session into running totals, however many batches there are.
+
+    A few numbers per query are kept, and the latest reports as Spark does.  A batch that is tried again counts once;
+    ``failed`` counts the runs of a query that ended with an error.
+    """
 
     def __init__(self, keep: int = 1000):
-        self.keep, self.reports, self.failures = keep, [], {}
+        self.keep, self.reports, self.failures, self.counts = keep, [], {}, {}
+
+    def _of(self, id_: str) -> dict:
+        empty = {"name": None, "messages": 0, "batches": 0, "sent": 0, "skipped": 0, "failed": 0, "last": -1, "polled": None}
+        return self.counts.setdefault(id_, empty)
+
+    def add(self, report: str) -> None:
+        one = json.loads(report)
+        mine = self._of(one["id"])
+        mine["name"], mine["polled"] = one.get("name"), one["timestamp"]
+        if one["batchId"] > mine["last"]:
+            seen = (one.get("observedMetrics") or {}).get("ingest") or {}
+            mine["last"] = one["batchId"]
+            mine["batches"] += 1
+            mine["messages"] += one.get("numInputRows") or 0
+            mine["sent"] += seen.get("sent") or 0
+            mine["skipped"] += seen.get("skipped") or 0
+
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """One row per query."""
+        rows = [
+            (i, c["name"], c["messages"], c["batches"], c["sent"], c["skipped"], c["failed"], c["last"], c["polled"])
+            for i, c in sorted(self.counts.items())
+        ]
+        texts = spark.createDataFrame(rows, TOTALS.replace("last_poll_time timestamp", "last_poll_time string"))
+        return texts.withColumn("last_poll_time", F.col("last_poll_time").cast("timestamp"))
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         self.reports = [*self.reports, event.progress.json][-self.keep :]
+        self.add(event.progress.json)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -47,6 +83,7 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         if event.exception:
             self.failures[str(event.id)] = event.exception
+            self._of(str(event.id))["failed"] += 1
 
 
 def ingestion_status(reports: DataFrame, failures: dict[str, str] | None = None) -> DataFrame:

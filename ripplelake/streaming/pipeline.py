@@ -16,8 +16,8 @@ from ripplelake.functions import wire
 from ripplelake.operators import merge, route
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, DEAD_LETTERS, ERRORS, HOURLY_STATS, LANGUAGES, LATEST_ACCEPTED_DAYS, SILVER, SILVER_LOG,
-    TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG,
+    TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS, Table,
 )
 from ripplelake.sources import typed
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour, with_ingest
@@ -66,10 +66,10 @@ class Pipeline:
                 route.enforce_budget(parsed, self.budget)
             good = parsed.where("_error = ''")
             rows = m.accepted(good, ("kafka_topic", "kafka_partition", "kafka_offset", "raw_message"))
-            oldest = F.col("ingested_at") - F.expr(f"INTERVAL {LATEST_ACCEPTED_DAYS} DAYS")
-            late = rows.where(F.col("event_timestamp") < oldest).withColumn("_error", F.lit("beyond retention"))
+            in_time = m.in_time(self.lake.whole_days_from())
+            late = rows.where(~in_time).withColumn("_error", F.lit("beyond retention"))
             errors = route.broken(parsed).unionByName(route.broken(late))
-            fresh = rows.where(F.col("event_timestamp") >= oldest).withColumn("batch", F.lit(name))
+            fresh = rows.where(in_time).withColumn("batch", F.lit(name))
             bronze = good.select(*BRONZE.columns.fieldNames())
             side_by_side(
                 self.lake.spark,
@@ -114,20 +114,25 @@ def log_of(lake: Lake, hours: Sequence[Row]) -> DataFrame:
     Only the folders of their days are listed.  The files are sorted by time, so the time range lets the reader
     skip what lies outside without reading it.
     """
-    starts = [dt.datetime.combine(h["event_date"], dt.time(h["event_hour"])) for h in hours]
-    log = lake.read_partitions(SILVER_LOG, sorted({day_folder(h["event_date"]) for h in hours}))
+    starts = [start_of(h) for h in hours]
+    log = log_of_days(lake, {day_folder(h["event_date"]) for h in hours})
     if lake.grain == "day":
         return log
     ts = F.col("event_timestamp")
     return log.where(
-        (ts >= utc(min(starts)))
-        & (ts < utc(max(starts) + dt.timedelta(hours=1)))
-        & F.date_trunc("hour", ts).isin([utc(s) for s in starts])
+        (ts >= min(starts))
+        & (ts < max(starts) + dt.timedelta(hours=1))
+        & F.date_trunc("hour", ts).isin(starts)
     )
 
 
-def utc(moment: dt.datetime) -> dt.datetime:
-    return moment.replace(tzinfo=dt.timezone.utc)
+def log_of_days(lake: Lake, folders: set[str]) -> DataFrame:
+    kept = sorted(folders & set(lake.partitions(SILVER_LOG)))
+    return lake.read_partitions(SILVER_LOG, kept) if kept else lake.read(SILVER_LOG).where("false")
+
+
+def start_of(hour: Row) -> dt.datetime:
+    return dt.datetime.combine(hour["event_date"], dt.time(hour["event_hour"]), dt.timezone.utc)
 
 
 def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
@@ -135,26 +140,56 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
 
     Events of one key share their timestamp, so duplicates never cross hours.  Only the daily table reads more
     than the touched hours.  The gold tables do not depend on each other and are written side by side.
+
+    Days whose log is no longer whole are left as they are: what is stored of them is all there is.  Gold keeps rows
+    longer than silver, so where silver has given up a part of these days, gold is computed from the log.
     """
+    hours = [h for h in hours if start_of(h) >= lake.whole_days_from()]
     if not hours:
         return
     folders = sorted({lake.refresh_folder(h) for h in hours})
     days = sorted({day_folder(h["event_date"]) for h in hours})
 
     latest = merge.keep_latest(log_of(lake, hours))
-    lake.replace(SILVER, with_hour(latest, "event_timestamp"))
+    lake.replace(SILVER, with_hour(lake.unexpired(SILVER, latest), "event_timestamp"))
+
+    first_day = min(start_of(h) for h in hours).replace(hour=0)
+    if lake.floor(SILVER) <= first_day:
+        silver = set(lake.partitions(SILVER))
+        stored = {f for f in folders if f.split("/")[0] in silver}
+        if lake.grain == "hour":
+            stored = {f"{d}/{h}" for d in silver & set(days) for h in lake.partitions(SILVER, d)} & stored
+        touched = lake.read_partitions(SILVER, sorted(stored)) if stored else lake.read(SILVER).where("false")
+        whole = sorted(silver & set(days))
+        whole_days = lake.read_partitions(SILVER, whole) if whole else lake.read(SILVER).where("false")
+    else:
+        touched, whole_days = latest, merge.keep_latest(log_of_days(lake, set(days)))
+    touched, whole_days = m.activity(touched), m.activity(whole_days)
+
+    def write(table: Table, rows: DataFrame) -> None:
+        lake.replace(table, lake.unexpired(table, rows))
 
-    touched = m.activity(lake.read_partitions(SILVER, folders))
-    whole_days = m.activity(lake.read_partitions(SILVER, days))
     side_by_side(
         lake.spark,
-        lambda: lake.replace(HOURLY_STATS, with_hour(m.hourly_stats(touched), "hour")),
-        lambda: lake.replace(TOP_PAGES, with_hour(m.pages_hourly(touched), "hour")),
-        lambda: lake.replace(LANGUAGES, with_hour(m.languages_hourly(touched), "hour")),
-        lambda: lake.replace(TOP_USERS, with_day(m.users_daily(whole_days), "day")),
+        lambda: write(HOURLY_STATS, with_hour(m.hourly_stats(touched), "hour")),
+        lambda: write(TOP_PAGES, with_hour(m.pages_hourly(touched), "hour")),
+        lambda: write(LANGUAGES, with_hour(m.languages_hourly(touched), "hour")),
+        lambda: write(TOP_USERS, with_day(m.users_daily(whole_days), "day")),
     )
 
 
+def clear(lake: Lake, hours: Sequence[Row]) -> None:
+    """Remove what is stored of these hours after all their rows went from the log; ``rebuild`` only replaces."""
+    left = with_hour(log_of_days(lake, {day_folder(h["event_date"]) for h in hours}), "event_timestamp")
+    held = left.select("event_date", "event_hour").distinct().collect()  # hours of the accepted period at most
+    held_days = {day_folder(h["event_date"]) for h in held}
+    gone = [h for h in hours if start_of(h) >= lake.whole_days_from()]
+    folders = {lake.refresh_folder(h) for h in gone} - {lake.refresh_folder(h) for h in held}
+    days = {day_folder(h["event_date"]) for h in gone} - held_days
+    for table in (SILVER, *GOLD):
+        lake.drop(table, sorted(days if table is TOP_USERS else folders | days))
+
+
 def side_by_side(spark: SparkSession, *jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs at the same time; small ones would leave most of a cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:

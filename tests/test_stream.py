@@ -319,3 +319,93 @@ def test_dataflow_health_lists_running_queries(spark, folder):
         assert rows["watched"]["active"] and rows["watched"]["failure"] == ""
     finally:
         query.stop()
+
+
+# Late rows, expiry and deletion against refresh and replay
+
+
+def edits(*rows):
+    """Ann's edits: (id, seconds after START)."""
+    made = {"type": "edit", "user": "Ann", "wiki": "enwiki", "title": "Page", "meta": {}}
+    return [{**made, "id": i, "timestamp": START + s} for i, s in rows]
+
+
+def ingested(spark, rows, at, first_offset=0):
+    when = F.lit(at.replace(tzinfo=dt.timezone.utc)).cast("timestamp")
+    df = stamped(spark, rows).withColumn("ingested_at", when)
+    return wire.with_error(df.withColumn("kafka_offset", F.col("kafka_offset") + first_offset))
+
+
+NOON = dt.datetime(2024, 10, 7, 12, 30, tzinfo=dt.timezone.utc)
+
+
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_replay_past_retention(spark, folder, grain):
+    """A late message of an expired hour neither enters by ingestion nor by replay; gold keeps its count."""
+    lake = Lake(spark, folder("past"), grain=grain)
+    pipeline = Pipeline(lake)
+    pipeline.ingest(ingested(spark, edits(*[(i, i) for i in range(5)]), NOON), 0)
+    later = NOON + dt.timedelta(days=100)
+    maintain.expire(lake, later)
+    pipeline.ingest(ingested(spark, edits((9, 9)), later, 100), 1)
+    assert lake.read(ERRORS).where("error_message = 'beyond retention'").count() == 1
+    maintain.replay(lake)
+    assert lake.read(SILVER).count() == 0 and lake.read(SILVER_LOG).count() == 0
+    assert lake.read(HOURLY_STATS).first()["total_edits"] == 5
+    assert lake.read(TOP_USERS).first()["edits"] == 5
+
+
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_late_row_on_the_boundary_day(spark, folder, grain):
+    """Silver has lost a part of the day, the log has not: the daily row counts them all, and silver stays short."""
+    lake = Lake(spark, folder("boundary"), grain=grain)
+    pipeline = Pipeline(lake)
+    pipeline.ingest(ingested(spark, edits((1, 0), (2, 1), (3, 7200)), NOON), 0)
+    later = dt.datetime(2025, 1, 5, 13, 0, tzinfo=dt.timezone.utc)  # 90 days before: 7 October, 13:00
+    maintain.expire(lake, later)
+    assert lake.read(SILVER).count() == 1
+    pipeline.ingest(ingested(spark, edits((4, 7300)), later, 100), 1)
+    assert lake.read(TOP_USERS).first()["edits"] == 4
+    assert sorted(r["event_id"] for r in lake.read(SILVER).collect()) == [3, 4]
+    assert sorted(r["total_edits"] for r in lake.read(HOURLY_STATS).collect()) == [2, 2]
+
+
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_shorter_silver_retention_holds(spark, folder, grain):
+    lake = Lake(spark, folder("short"), grain=grain)
+    pipeline = Pipeline(lake)
+    pipeline.ingest(ingested(spark, edits((1, 0), (2, 1)), NOON), 0)
+    later = NOON + dt.timedelta(days=30)
+    maintain.expire(lake, later, {SILVER.name: 14})
+    pipeline.ingest(ingested(spark, edits((3, 2)), later, 100), 1)
+    assert lake.read(SILVER).count() == 0
+    assert lake.read(HOURLY_STATS).first()["total_edits"] == 3
+
+
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_deletes_last(spark, messages, folder, grain):
+    """What was deleted from silver stays away from every table through later batches and a replay."""
+    lake = Lake(spark, folder("gone"), grain=grain)
+    pipeline = Pipeline(lake)
+    pipeline.ingest(wire.with_error(messages), 0)
+    silver = m.silver_of(m.bronze_of(messages)).where("user != 'Ann'").cache()
+    maintain.delete_where(lake, SILVER, F.col("user") == "Ann")
+    for again in (lambda: None, lambda: maintain.replay(lake)):
+        again()
+        same(lake.read(SILVER), silver)
+        for table, expected in gold(silver).items():
+            same(lake.read(table), expected)
+    with pytest.raises(ValueError):
+        maintain.delete_where(lake, TOP_USERS, F.lit(True))
+
+
+def test_totals_of_many_batches(spark):
+    log = monitor.ProgressLog(keep=10)
+    for batch in [*range(150), 149, 3]:
+        seen = {"ingest": {"sent": batch, "skipped": 1}}
+        log.add(
+            '{"id": "q", "name": "ingest", "batchId": %d, "timestamp": "2024-10-07T12:00:00.000Z", "numInputRows": %d, '
+            '"observedMetrics": %s}' % (batch, batch + 1, str(seen).replace("'", '"'))
+        )
+    row = log.totals(spark).first()
+    assert (row["batches"], row["messages_read"], row["sent"], row["skipped"]) == (150, 11325, 11175, 150)
