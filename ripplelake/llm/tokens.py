@@ -29,8 +29,8 @@ from ripplelake.llm.common import stored, text_of
 SPACE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-#: Pieces remembered by an encoder before it starts anew.
-REMEMBER = 400_000
+#: Pieces of one generation that an encoder remembers; the generation before is kept too, so frequent pieces stay known.
+REMEMBER = 600_000
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -52,30 +52,35 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
-        self.counts: dict[str, int] = {}
+        self.before: dict[str, bytes] = {}
 
     def learn(self, texts: list[str]) -> list[list[str]]:
         """The pieces of each text, all known afterwards."""
         pieces = [PIECE.findall(t) for t in texts]
-        known = self.known
-        if len(known) > REMEMBER:
-            known.clear()
-            self.counts.clear()
-        new = list({p for ps in pieces for p in ps if p not in known})
+        if len(self.known) > REMEMBER:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        new = []
+        for piece in {p for ps in pieces for p in ps if p not in known}:
+            if piece in before:
+                known[piece] = before[piece]
+            else:
+                new.append(piece)
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 known[piece] = np.array(e.ids, "<u4").tobytes()
-                self.counts[piece] = len(e.ids)
         return pieces
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
+        pieces = self.learn(texts)  # may start a new generation
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ps)), "<u4") for ps in self.learn(texts)]
+        return [np.frombuffer(b"".join(map(get, ps)), "<u4") for ps in pieces]
 
     def count(self, texts: list[str]) -> list[int]:
-        get = self.counts.__getitem__
-        return [sum(map(get, ps)) for ps in self.learn(texts)]
+        pieces = self.learn(texts)
+        get = self.known.__getitem__
+        return [sum(map(len, map(get, ps))) // 4 for ps in pieces]
 
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Where each piece starts, and the tokens before it (with the total at the end)."""
@@ -84,7 +89,7 @@ class Encoder:
         if pieces:
             np.cumsum([len(p) for p in pieces[:-1]], out=starts[1:])
         before = np.zeros(len(pieces) + 1, np.int64)
-        np.cumsum([self.counts[p] for p in pieces], out=before[1:])
+        np.cumsum([len(self.known[p]) // 4 for p in pieces], out=before[1:])
         return starts, before
 
 
