@@ -10,6 +10,7 @@ from ripplelake.session import scratch
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = " \t\n\x0b\x0c\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written once to the shared folder and read back: cuts lineage, survives lost executors."""
+    """The rows, written once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    Once they are written nothing needs the shuffle files of the job any more, so Spark deletes them at its end.
+    """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

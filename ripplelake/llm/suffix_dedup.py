@@ -9,6 +9,7 @@ repeat.  Spark decides which ranks are unique; only positions that are not settl
   anchor; the answer comes back as a bitmap of fixed size (a Bloom filter: what it lets through by mistake is settled later).
 * What an anchor decides are the 50-byte strings between it and the anchor before: a segment.  Equal segments are compared as one row.
 * Only where an anchor has different segments, its 50-byte strings are compared one by one, each by the pair of ranks of its halves.
+  They are taken from the first document of each segment: in later ones the whole segment is gone already.
 
 The remaining byte ranges are exact: ranks that decide are 64-bit names in pairs.
 
@@ -168,18 +169,31 @@ def _segments(sent):
 STRINGS = "left long, right long, doc long, spot long"
 
 
-def _strings(sent):
-    """The strings of anchors with different segments: ranks of both halves."""
+def _place(g: np.ndarray, s: np.ndarray, doc: int) -> np.ndarray:
+    """Where the second bitmap has a segment of a document: the eighth by its anchor, the place in it by segment and document."""
+    inner = BITMAP - PARTS
+    low = (s >> np.uint64(64 - inner)) ^ np.uint64(doc & ((1 << inner) - 1))
+    return ((g >> np.uint64(64 - PARTS)) << np.uint64(inner) | low) << np.uint64(64 - BITMAP)
+
+
+def _strings(sent, differing):
+    """The strings of segments that differ from others of their anchor, in their first document: ranks of both halves."""
 
     def strings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap = sent.value
+        import xxhash
+
+        bitmap, firsts, digest = sent.value, differing.value, xxhash.xxh64_intdigest
         for part in parts:
             out = []
             for doc, text in zip(part["doc"].tolist(), part["text"]):
-                spot = _spot(text)
-                for names, first, last, half, begin in anchors(_bytes(text)):
+                data = _bytes(text)
+                raw, spot = data.tobytes(), _spot(text)
+                for names, first, last, half, begin in anchors(data):
                     keep = _known(bitmap, names)
-                    a, n = first[keep], (last - first + 1)[keep]
+                    g, a, b = names[keep], first[keep], last[keep]
+                    s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
+                    keep = _known(firsts, _place(g, s, doc))
+                    a, n = a[keep], (b - a + 1)[keep]
                     if not len(a):
                         continue
                     at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
@@ -193,11 +207,31 @@ def _strings(sent):
     return strings
 
 
-def _later(rows: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Ranks with the smallest document that has them, and the rows of later documents."""
-    firsts = stored(rows.groupBy(*key).agg(F.min("doc").alias("first"), F.max("doc").alias("final")), "ranks")
-    shared = firsts.where("first < final")
-    return firsts, rows.join(shared, key).where("doc > first")
+def _firsts(rows: DataFrame, key: list[str], shared_only: bool = False) -> DataFrame:
+    """Ranks with the smallest and the greatest document that has them."""
+    found = rows.groupBy(*key).agg(F.min("doc").alias("first"), F.max("doc").alias("final"))
+    return stored(found.where("first < final") if shared_only else found, "ranks")
+
+
+def _later(rows: DataFrame, firsts: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of documents after the first with their rank."""
+    return rows.join(firsts.where("first < final"), key).where("doc > first")
+
+
+def _marked(places: DataFrame) -> np.ndarray:
+    """The bitmap with these places (``part, bit``) set."""
+
+    def fill(key, some: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << (BITMAP - PARTS), bool)
+        bits[some["bit"].to_numpy()] = True
+        return pd.DataFrame({"part": [int(key[0])], "bits": [np.packbits(bits).tobytes()]})
+
+    return _bitmap(places.distinct().groupBy("part").applyInPandas(fill, "part int, bits binary"))
+
+
+def _bits_of(name: F.Column, low: F.Column) -> list[F.Column]:
+    inner = F.lit(2 ** (BITMAP - PARTS) - 1)
+    return [F.shiftrightunsigned(name, 64 - PARTS).cast("int").alias("part"), low.bitwiseAND(inner).cast("int").alias("bit")]
 
 
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -236,21 +270,26 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     shared = sc.broadcast(_bitmap(slices))
     # The segments of those anchors; one that an earlier document has is gone.
     segments = stored(rows.mapInPandas(_segments(shared), SEGMENTS), "segments")
-    firsts, gone = _later(segments, ["g", "s"])
+    firsts = _firsts(segments, ["g", "s"])
+    gone = _later(segments, firsts, ["g", "s"])
     # Anchors with different segments in different documents: their 50-byte strings, by pairs of ranks.
     mixed = firsts.groupBy("g").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("final").alias("b")).where("n > 1 AND a < b")
-    part = F.shiftrightunsigned("g", 64 - PARTS).cast("int")
-    bit = F.shiftrightunsigned("g", 64 - BITMAP).bitwiseAND(F.lit(2 ** (BITMAP - PARTS) - 1)).cast("int")
-
-    def fill(key, some: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(1 << (BITMAP - PARTS), bool)
-        bits[some["bit"].to_numpy()] = True
-        return pd.DataFrame({"part": [int(key[0])], "bits": [np.packbits(bits).tobytes()]})
-
-    slices = mixed.select(part.alias("part"), bit.alias("bit")).distinct().groupBy("part").applyInPandas(fill, "part int, bits binary")
-    differing = sc.broadcast(_bitmap(slices))
-    strings = stored(rows.mapInPandas(_strings(differing), STRINGS), "strings")
-    single = _later(strings, ["left", "right"])[1]
+    places = firsts.join(mixed.select("g"), "g").select(
+        *_bits_of(F.col("g"), F.shiftrightunsigned("s", 64 - BITMAP + PARTS).bitwiseXOR(F.col("first")))
+    )
+    differing = sc.broadcast(_marked(places))
+    strings = stored(rows.mapInPandas(_strings(shared, differing), STRINGS), "strings")
+    pairs = _firsts(strings, ["left", "right"], shared_only=True)
+    both = F.col("left").bitwiseXOR(F.col("right"))
+    repeated = sc.broadcast(_marked(pairs.select(*_bits_of(both, F.shiftrightunsigned(both, 64 - BITMAP)))))
+
+    def lookup(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in columns:
+            yield pd.Series(_known(repeated.value, column.to_numpy().view(np.uint64)))
+
+    # The bitmap spares the shuffle most strings that no other document has; the join decides.
+    candidates = strings.where(F.pandas_udf(lookup, "boolean")(both))
+    single = _later(candidates, pairs, ["left", "right"])
     every = gone.select("doc", "spot", "own").union(single.select("doc", "spot", F.lit(1).alias("own")))
     lists = every.groupBy("doc", F.shiftright("spot", 31).alias("crc")).agg(
         F.collect_list(F.struct("spot", "own")).alias("gone")
