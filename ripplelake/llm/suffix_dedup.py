@@ -1,13 +1,14 @@
 """Exact removal of repeated byte strings by distributed prefix doubling.
 
 A position's rank names the bytes that follow it.  Ranks of 2h bytes are made of the ranks at the position and h places on, so
-offsets grow 1, 2, 4, 8, 16, 24, 25 and 50.  A position whose rank is unique is settled: no longer string that starts there can
+offsets grow 1, 2, 4, 8, 16, 24, 25, 37 and 50.  A position whose rank is unique is settled: no longer string that starts there can
 repeat.  Spark decides which ranks are unique; only positions that are not settled go on.  Three things keep the rows few:
 
-* Ranks of 24 bytes are compared at anchors only: places whose rank is the least of a run of 27 (winnowing).  Every 50-byte string holds an
-  anchor, and equal strings hold the same ones, so a string with a unique anchor is settled.  The comparison sends 5 bytes per
-  anchor; the answer comes back as a bitmap of fixed size (a Bloom filter: what it lets through by mistake is settled later).
-* What an anchor decides are the 50-byte strings between it and the anchor before: a segment.  Equal segments are compared as one row.
+* Ranks are compared at anchors only: places whose 24-byte rank is the least of a run of 27 (winnowing).  Every 50-byte string holds an
+  anchor, and equal strings hold the same ones.  It also holds the 37 bytes from the anchor on or the 37 up to the anchor's end; a string
+  of which these are unique is settled.  The comparison sends 5 bytes for either; the answer comes back as a bitmap of fixed size (a
+  Bloom filter: what it lets through by mistake is settled later).
+* What an anchor decides are the 50-byte strings between it and the anchor before: a segment.  What is not settled of it is compared as one row.
 * Only where an anchor has different segments, its 50-byte strings are compared one by one, each by the pair of ranks of its halves.
   They are taken from the first document of each segment: in later ones the whole segment is gone already.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ from ripplelake.llm.common import stored, text_of
 
 LENGTH, NAMED = 50, 24
 RUN = LENGTH - NAMED + 1
+#: How far the longer names reach beyond an anchor: half of what a string has beside it.
+ASIDE = (LENGTH - NAMED) // 2
 #: The bitmap that names are looked up in has 2^27 bits at any size of the corpus.
 BITMAP, PARTS = 27, 8
 LAST = 2**63 - 1
@@ -71,9 +75,39 @@ def _least_of(a: np.ndarray, width: int) -> np.ndarray:
     return np.arange(n) + at[:n]
 
 
-def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
-    """For stretches of the text: anchors' names, the first and last 50-byte string that each decides, the ranks of 25 bytes,
-    and where the stretch begins.  A string's anchor depends on its own bytes only."""
+@dataclass(frozen=True)
+class Anchors:
+    """Of a stretch of text: where anchors are and their names, the names of the 37 bytes up to an anchor's end and from its start on,
+    the first and last 50-byte string that it decides, the ranks of 25 bytes, and where the stretch begins."""
+
+    at: np.ndarray
+    name: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    half: np.ndarray
+    begin: int
+
+    @property
+    def has_left(self) -> np.ndarray:
+        """Strings that hold the left 37 bytes; the others are ``has_right``, and one string holds both."""
+        return self.first <= self.at - ASIDE
+
+    @property
+    def has_right(self) -> np.ndarray:
+        return self.last >= self.at - ASIDE
+
+    def open(self, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Names, first and last strings of what the bitmap does not settle."""
+        a = np.where(self.has_left & _known(bitmap, self.left), self.first, np.maximum(self.first, self.at - ASIDE + 1))
+        b = np.where(self.has_right & _known(bitmap, self.right), self.last, np.minimum(self.last, self.at - ASIDE - 1))
+        keep = a <= b
+        return self.name[keep], a[keep], b[keep]
+
+
+def anchors(data: np.ndarray) -> Iterator[Anchors]:
+    """The anchors of a text, stretch by stretch.  A string's anchor depends on its own bytes only."""
     n = len(data) - LENGTH + 1  # strings
     for begin in range(0, max(n, 0), CHUNK):
         end = min(begin + CHUNK, n)
@@ -81,7 +115,12 @@ def anchors(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         anchor = _least_of(name[NAMED], RUN)
         starts = np.concatenate([[0], np.flatnonzero(np.diff(anchor)) + 1])
         last = np.concatenate([starts[1:], [len(anchor)]]) - 1
-        yield name[NAMED][anchor[starts]], starts + begin, last + begin, name[NAMED + 1], begin
+        named, at = name[NAMED], anchor[starts]
+        own = named[at]
+        left = named[np.maximum(at - ASIDE, 0)] * _odd(37) + own
+        right = own * _odd(37) + named[np.minimum(at + ASIDE, len(named) - 1)]
+        left, right = left ^ (left >> np.uint64(32)), right ^ (right >> np.uint64(32))
+        yield Anchors(at + begin, own, left, right, starts + begin, last + begin, name[NAMED + 1], begin)
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -97,7 +136,7 @@ def _names(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
         each = [np.zeros(0, np.uint64)]
         for text in part["text"]:
-            found = [_short(a[0]) for a in anchors(_bytes(text))]
+            found = [_short(x) for a in anchors(_bytes(text)) for x in (a.left[a.has_left], a.right[a.has_right])]
             if found:
                 each.append(np.unique(np.concatenate(found)))
         names, counts = np.unique(np.concatenate(each), return_counts=True)
@@ -125,7 +164,7 @@ def _again(sub: int):
 def _bitmap(slices: DataFrame) -> np.ndarray:
     out = np.zeros(1 << (BITMAP - 3), np.uint8)
     size = 1 << (BITMAP - PARTS - 3)
-    for r in slices.toLocalIterator():
+    for r in stored(slices, "bitmap").toLocalIterator():
         out[r.part * size : (r.part + 1) * size] |= np.frombuffer(r.bits, np.uint8)
     return out
 
@@ -152,11 +191,10 @@ def _segments(sent):
             for doc, text in zip(part["doc"].tolist(), part["text"]):
                 data = _bytes(text)
                 raw, spot = data.tobytes(), _spot(text)
-                for names, first, last, *_ in anchors(data):
-                    keep = _known(bitmap, names)
-                    a, b = first[keep], last[keep]
+                for found in anchors(data):
+                    g, a, b = found.open(bitmap)
                     s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
-                    out.append((names[keep], s, np.full(len(a), doc), spot + a, b - a + 1))
+                    out.append((g, s, np.full(len(a), doc), spot + a, b - a + 1))
             g, s, doc, spot, own = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 5
             yield pd.DataFrame(
                 {"g": g.astype(np.uint64).view(np.int64), "s": s.astype(np.uint64).view(np.int64), "doc": doc.astype(np.int64),
@@ -188,9 +226,9 @@ def _strings(sent, differing):
             for doc, text in zip(part["doc"].tolist(), part["text"]):
                 data = _bytes(text)
                 raw, spot = data.tobytes(), _spot(text)
-                for names, first, last, half, begin in anchors(data):
-                    keep = _known(bitmap, names)
-                    g, a, b = names[keep], first[keep], last[keep]
+                for found in anchors(data):
+                    g, a, b = found.open(bitmap)
+                    half, begin = found.half, found.begin
                     s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
                     keep = _known(firsts, _place(g, s, doc))
                     a, n = a[keep], (b - a + 1)[keep]
@@ -263,7 +301,7 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, digest of what is kept, and (if asked for) the kept bytes."""
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), text_of().alias("text"))
-    # Length 24: which anchors' ranks are not unique.
+    # Length 37: which ranks beside anchors are not unique.
     slices = rows.select("text").mapInPandas(_names, "part int, names binary").groupBy("part").applyInPandas(
         _again(PARTS), "part int, bits binary"
     )
@@ -291,8 +329,8 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     candidates = strings.where(F.pandas_udf(lookup, "boolean")(both))
     single = _later(candidates, pairs, ["left", "right"])
     every = gone.select("doc", "spot", "own").union(single.select("doc", "spot", F.lit(1).alias("own")))
-    lists = every.groupBy("doc", F.shiftright("spot", 31).alias("crc")).agg(
-        F.collect_list(F.struct("spot", "own")).alias("gone")
+    lists = stored(
+        every.groupBy("doc", F.shiftright("spot", 31).alias("crc")).agg(F.collect_list(F.struct("spot", "own")).alias("gone")), "gone"
     )
     whole = docs.select(
         "doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), F.crc32(text_of().cast("binary")).alias("crc"),
