@@ -21,7 +21,7 @@ doc_id do not remove each other's bytes.  Other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +38,7 @@ ASIDE = (LENGTH - NAMED) // 2
 #: The bitmap that names are looked up in has 2^27 bits at any size of the corpus.
 BITMAP, PARTS = 27, 8
 LAST = 2**63 - 1
-CHUNK = 1 << 20
+CHUNK, PLACE_BITS = 1 << 20, 21
 
 
 def _odd(k: int) -> np.uint64:
@@ -63,16 +63,14 @@ def ranks(data: np.ndarray) -> dict[int, np.ndarray]:
 
 
 def _least_of(a: np.ndarray, width: int) -> np.ndarray:
-    """Where the least of every run of this width stands, the leftmost of equals: by doubling."""
-    n, have = len(a) - width + 1, 1
-    value, at = a, np.zeros(len(a), np.uint8)
+    """Where the least of every run of this width stands, the leftmost of equals (in all but the last bits, which hold the place)."""
+    place = np.uint64((1 << PLACE_BITS) - 1)
+    least, have = (a & ~place) | np.arange(len(a), dtype=np.uint64), 1
     while have < width:
         step = min(have, width - have)
-        right = value[step:] < value[:-step]
-        at = np.where(right, at[step:] + np.uint8(step), at[:-step])
-        value = np.where(right, value[step:], value[:-step])
+        least = np.minimum(least[step:], least[:-step])
         have += step
-    return np.arange(n) + at[:n]
+    return (least & place).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -131,21 +129,30 @@ def _short(names: np.ndarray) -> np.ndarray:
     return names >> np.uint64(24)  # 40 bits
 
 
-def _names(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _beside_anchors(doc: int, text: str | None) -> list[np.ndarray]:
+    """The 37-byte names of a text."""
+    return [x for a in anchors(_bytes(text)) for x in (a.left[a.has_left], a.right[a.has_right])]
+
+
+def _names(names_of: Callable[[int, str | None], list[np.ndarray]]):
     """Per batch and eighth of the bitmap's index: distinct short names, twice where two texts of the batch have one."""
-    for part in parts:
-        each = [np.zeros(0, np.uint64)]
-        for text in part["text"]:
-            found = [_short(x) for a in anchors(_bytes(text)) for x in (a.left[a.has_left], a.right[a.has_right])]
-            if found:
-                each.append(np.unique(np.concatenate(found)))
-        names, counts = np.unique(np.concatenate(each), return_counts=True)
-        names = np.repeat(names, np.minimum(counts, 2))
-        top = (names >> np.uint64(32)).astype(np.int64)
-        cuts = np.searchsorted(top, np.arange(2**PARTS + 1))
-        low = (names & np.uint64(2**32 - 1)).astype("<u4")
-        used = np.flatnonzero(np.diff(cuts))
-        yield pd.DataFrame({"part": used.astype(np.int32), "names": [low[cuts[k] : cuts[k + 1]].tobytes() for k in used]})
+
+    def names(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            each = [np.zeros(0, np.uint64)]
+            for doc, text in zip(part["doc"].tolist(), part["text"]):
+                found = names_of(doc, text)
+                if found:
+                    each.append(np.unique(_short(np.concatenate(found))))
+            found, counts = np.unique(np.concatenate(each), return_counts=True)
+            found = np.repeat(found, np.minimum(counts, 2))
+            top = (found >> np.uint64(32)).astype(np.int64)
+            cuts = np.searchsorted(top, np.arange(2**PARTS + 1))
+            low = (found & np.uint64(2**32 - 1)).astype("<u4")
+            used = np.flatnonzero(np.diff(cuts))
+            yield pd.DataFrame({"part": used.astype(np.int32), "names": [low[cuts[k] : cuts[k + 1]].tobytes() for k in used]})
+
+    return names
 
 
 def _again(sub: int):
@@ -169,6 +176,12 @@ def _bitmap(slices: DataFrame) -> np.ndarray:
     return out
 
 
+def _repeated(rows: DataFrame, names_of: Callable[[int, str | None], list[np.ndarray]]) -> np.ndarray:
+    """The bitmap of names that two texts have or more."""
+    names = rows.mapInPandas(_names(names_of), "part int, names binary")
+    return _bitmap(names.groupBy("part").applyInPandas(_again(PARTS), "part int, bits binary"))
+
+
 def _known(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
     at = (names >> np.uint64(64 - BITMAP)).astype(np.int64)
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
@@ -214,28 +227,39 @@ def _place(g: np.ndarray, s: np.ndarray, doc: int) -> np.ndarray:
     return ((g >> np.uint64(64 - PARTS)) << np.uint64(inner) | low) << np.uint64(64 - BITMAP)
 
 
-def _strings(sent, differing):
-    """The strings of segments that differ from others of their anchor, in their first document: ranks of both halves."""
+def _candidates(sent, differing):
+    """Of a text the strings of segments that differ from others of their anchor, in their first document: ranks of both halves, and places."""
 
-    def strings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def candidates(doc: int, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         import xxhash
 
-        bitmap, firsts, digest = sent.value, differing.value, xxhash.xxh64_intdigest
+        digest, data = xxhash.xxh64_intdigest, _bytes(text)
+        raw = data.tobytes()
+        for found in anchors(data):
+            g, a, b = found.open(sent.value)
+            s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
+            keep = _known(differing.value, _place(g, s, doc))
+            a, n = a[keep], (b - a + 1)[keep]
+            if len(a):
+                at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                yield found.half[at - found.begin], found.half[at - found.begin + LENGTH // 2], at
+
+    return candidates
+
+
+def _strings(candidates, again):
+    """Those candidates that another document may have too."""
+
+    def strings(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bitmap = again.value
         for part in parts:
             out = []
             for doc, text in zip(part["doc"].tolist(), part["text"]):
-                data = _bytes(text)
-                raw, spot = data.tobytes(), _spot(text)
-                for found in anchors(data):
-                    g, a, b = found.open(bitmap)
-                    half, begin = found.half, found.begin
-                    s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
-                    keep = _known(firsts, _place(g, s, doc))
-                    a, n = a[keep], (b - a + 1)[keep]
-                    if not len(a):
-                        continue
-                    at = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                    out.append((half[at - begin], half[at - begin + LENGTH // 2], np.full(len(at), doc), spot + at))
+                spot = _spot(text)
+                for left, right, at in candidates(doc, text):
+                    keep = _known(bitmap, left ^ right)
+                    at = at[keep]
+                    out.append((left[keep], right[keep], np.full(len(at), doc), spot + at))
             left, right, doc, spot = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 4
             yield pd.DataFrame(
                 {"left": left.astype(np.uint64).view(np.int64), "right": right.astype(np.uint64).view(np.int64),
@@ -302,10 +326,7 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), text_of().alias("text"))
     # Length 37: which ranks beside anchors are not unique.
-    slices = rows.select("text").mapInPandas(_names, "part int, names binary").groupBy("part").applyInPandas(
-        _again(PARTS), "part int, bits binary"
-    )
-    shared = sc.broadcast(_bitmap(slices))
+    shared = sc.broadcast(_repeated(rows, _beside_anchors))
     # The segments of those anchors; one that an earlier document has is gone.
     segments = stored(rows.mapInPandas(_segments(shared), SEGMENTS), "segments")
     firsts = _firsts(segments, ["g", "s"])
@@ -316,18 +337,10 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
         *_bits_of(F.col("g"), F.shiftrightunsigned("s", 64 - BITMAP + PARTS).bitwiseXOR(F.col("first")))
     )
     differing = sc.broadcast(_marked(places))
-    strings = stored(rows.mapInPandas(_strings(shared, differing), STRINGS), "strings")
-    pairs = _firsts(strings, ["left", "right"], shared_only=True)
-    both = F.col("left").bitwiseXOR(F.col("right"))
-    repeated = sc.broadcast(_marked(pairs.select(*_bits_of(both, F.shiftrightunsigned(both, 64 - BITMAP)))))
-
-    def lookup(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for column in columns:
-            yield pd.Series(_known(repeated.value, column.to_numpy().view(np.uint64)))
-
-    # The bitmap spares the shuffle most strings that no other document has; the join decides.
-    candidates = strings.where(F.pandas_udf(lookup, "boolean")(both))
-    single = _later(candidates, pairs, ["left", "right"])
+    candidates = _candidates(shared, differing)
+    again = sc.broadcast(_repeated(rows, lambda doc, text: [left ^ right for left, right, _ in candidates(doc, text)]))
+    strings = stored(rows.mapInPandas(_strings(candidates, again), STRINGS), "strings")
+    single = _later(strings, _firsts(strings, ["left", "right"], shared_only=True), ["left", "right"])
     every = gone.select("doc", "spot", "own").union(single.select("doc", "spot", F.lit(1).alias("own")))
     lists = stored(
         every.groupBy("doc", F.shiftright("spot", 31).alias("crc")).agg(F.collect_list(F.struct("spot", "own")).alias("gone")), "gone"
