@@ -3,13 +3,15 @@
 Every line takes a fixed-depth path: number of tokens, then its ``DEPTH`` leading tokens; tokens with a digit are variable and read
 ``<*>``.  At the leaf, templates generalise further: of the tokens that follow, one third at a time may be variable, if
 at least five constant tokens stay.  A template that occurs in ``least`` documents or more is recurring.  Its lines are dropped,
-but for those of the document with the smallest doc_id that has it, so that no text is lost.  Documents of which more than half of
-the words stand in recurring lines are copies as a whole; ``spare_copies`` leaves them to the stages that judge whole documents.
+but for those of the document with the smallest doc_id that has it, so that no text is lost.  ``spare_copies`` lets the exact copies of a
+text share its fate: where the text is the first with a template, its copies keep the line too, and the stages that judge whole documents
+still find them equal; lines that another text had before go from all of them.
 
 A line has at most four templates, so work is linear in the lines; documents of a template are counted with partial sums, so a line in a third
 of all documents is no heavier than another.  Hashes of templates are 64 bits wide.
 
-Nulls: a null text has no line and stays null; a null doc_id is an id of its own, after all others.  Lines without a word are never
+Nulls: a null text has no line and stays null; a null doc_id is an id of its own, after all others.  Different texts under one id, or
+without one, are documents of their own, ordered by the hash of the text.  Lines without a word are never
 dropped.  Empty tables give no row.  Repeated rows (same id and text) lose the same lines.  Other columns are carried along under their names.
 """
 
@@ -55,12 +57,12 @@ def templates(line: str) -> list[int]:
     return out
 
 
-LINES = "h long, doc_id long, at int, words int, key long"
+LINES = "h long, doc_id long, at int, key long"
 
 
 def _lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        h, ids, at, words, keys = [], [], [], [], []
+        h, ids, at, keys = [], [], [], []
         for one, doc_id, text in zip(part["h"].tolist(), part["doc_id"].tolist(), part["text"]):
             if text is None:
                 continue
@@ -69,11 +71,10 @@ def _lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     h.append(one)
                     ids.append(doc_id)
                     at.append(i)
-                    words.append(len(line.encode().split()))
                     keys.append(key)
         yield pd.DataFrame(
             {"h": np.array(h, np.int64), "doc_id": np.array(ids, np.int64), "at": np.array(at, np.int32),
-             "words": np.array(words, np.int32), "key": np.array(keys, np.uint64).view(np.int64)}
+             "key": np.array(keys, np.uint64).view(np.int64)}
         )
 
 
@@ -84,20 +85,14 @@ def drops(docs: DataFrame, least: int, spare_copies: bool) -> DataFrame:
     )
     lines = stored(rows.mapInPandas(_lines, LINES), "lines")
     # Per document and template one row, then counts; a hash of both spreads the work evenly.
-    once = lines.select("key", "doc_id").distinct()
-    recurring = stored(
-        once.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") >= least), "recurring"
-    )
-    hits = lines.join(recurring, "key").groupBy("doc_id", "h", "at").agg(
-        F.max("words").alias("words"), F.min(F.col("doc_id") == F.col("first")).alias("first")
-    )
-    gone = hits.groupBy("doc_id", "h").agg(
-        F.sum("words").alias("recurring_words"), F.collect_set(F.when(~F.col("first"), F.col("at"))).alias("at")
-    )
-    if spare_copies:
-        total = lines.dropDuplicates(["doc_id", "h", "at"]).groupBy("doc_id", "h").agg(F.sum("words").alias("words"))
-        gone = gone.join(total, ["doc_id", "h"]).where(2 * F.col("recurring_words") <= F.col("words"))
-    return stored(gone.where(F.size("at") > 0).select("doc_id", "h", "at"), "drops")
+    once = lines.select("key", "doc_id", "h").distinct()
+    first = F.min(F.struct("doc_id", "h")).alias("first")
+    recurring = stored(once.groupBy("key").agg(F.count("*").alias("n"), first).where(F.col("n") >= least), "recurring")
+    is_first = F.col("h") == F.col("first.h")
+    if not spare_copies:
+        is_first &= F.col("doc_id") == F.col("first.doc_id")
+    hits = lines.join(recurring, "key").where(~is_first).select("doc_id", "h", "at")
+    return stored(hits.groupBy("doc_id", "h").agg(F.collect_set("at").alias("at")), "drops")
 
 
 def dedup(docs: DataFrame, least: int = 10, spare_copies: bool = True, dropped: str | None = None) -> DataFrame:

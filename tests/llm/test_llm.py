@@ -92,6 +92,15 @@ def test_copies_as_a_whole_are_left_to_other_stages(spark):
     assert line_templates.dedup(table).where("text = ''").count() == 0
 
 
+def test_mostly_recurring_documents_lose_their_lines(spark):
+    """60 shared words and 40 of its own: only the first document keeps the shared ones; exact copies stay equal."""
+    own = [prose(40) for _ in range(12)]
+    rows = [(i, SHARED + "\n" + own[i]) for i in range(12)] + [(50, SHARED + "\n" + own[3]), (None, SHARED + "\n" + own[0])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_templates.dedup(table).collect()}
+    assert out == {i: rows[0][1] if i in (0, None) else own[3 if i == 50 else i] for i, _ in rows}
+
+
 def test_archives_round_trip(spark):
     rows = [(3, "u", "<p>x</p>"), (1, None, None), (2, "a b\nc", ""), (7, "é", "<p>x</p>"), (9, "u", "q\r\n\r\nWARC/1.0\r\n\r\né\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS path", "2 AS content")
