@@ -2,12 +2,13 @@
 
 Every line takes a fixed-depth path: number of tokens, then its ``DEPTH`` leading tokens; tokens with a digit are variable and read
 ``<*>``.  At the leaf, templates generalise further: of the tokens that follow, one third at a time may be variable, if
-at least five constant tokens stay.  A template that occurs in ``least`` documents or more is recurring.  Its lines are dropped,
+at least five constant tokens stay.  A template that occurs in ``least`` documents or more is recurring; so is a line of ``LONG`` words or
+more that occurs word for word in two.  Its lines are dropped,
 but for those of the document with the smallest doc_id that has it, so that no text is lost.  ``spare_copies`` lets the exact copies of a
 text share its fate: where the text is the first with a template, its copies keep the line too, and the stages that judge whole documents
 still find them equal; lines that another text had before go from all of them.
 
-A line has at most four templates, so work is linear in the lines; documents of a template are counted with partial sums, so a line in a third
+A line has at most four templates and the whole line, so work is linear in the lines; documents of a template are counted with partial sums, so a line in a third
 of all documents is no heavier than another.  Hashes of templates are 64 bits wide.
 
 Nulls: a null text has no line and stays null; a null doc_id is an id of its own, after all others.  Different texts under one id, or
@@ -28,18 +29,22 @@ from pyspark.sql import functions as F
 from ripplelake.llm.common import spare_name, stored
 
 DEPTH, CONSTANT = 2, 5
+#: Words from which a line that two documents have cannot be chance.
+LONG = 50
 VARIABLE = re.compile(rb"[^ ]*[0-9][^ ]*")
 
 
-def templates(line: str) -> list[int]:
-    """Hashes of the templates of a line, the most constant first; none for a line without a word."""
+def templates(line: str) -> tuple[list[int], list[int]]:
+    """Hashes of the templates of a line, the most constant first; none for a line without a word.  The second list has the
+    hash of the line itself, if it is long."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
     tokens = line.encode().split()
     if not tokens:
-        return []
+        return [], []
     joined = b" ".join(tokens)
+    whole = [digest(b"=" + joined)] if len(tokens) >= LONG else []
     if VARIABLE.search(joined):
         joined = VARIABLE.sub(b"<*>", joined)
         tokens = joined.split(b" ")
@@ -54,27 +59,29 @@ def templates(line: str) -> list[int]:
                 a, b = DEPTH + k * third, min(n, DEPTH + (k + 1) * third)
                 if a < b:
                     out.append(digest(path + b"%d|" % k + b" ".join(tokens[:a]) + b"|" + b" ".join(tokens[b:])))
-    return out
+    return out, whole
 
 
-LINES = "h long, doc_id long, at int, key long"
+LINES = "h long, doc_id long, at int, key long, whole boolean"
 
 
 def _lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in parts:
-        h, ids, at, keys = [], [], [], []
+        h, ids, at, keys, exact = [], [], [], [], []
         for one, doc_id, text in zip(part["h"].tolist(), part["doc_id"].tolist(), part["text"]):
             if text is None:
                 continue
             for i, line in enumerate(text.split("\n")):
-                for key in templates(line):
+                general, whole = templates(line)
+                for key in general + whole:
                     h.append(one)
                     ids.append(doc_id)
                     at.append(i)
                     keys.append(key)
+                exact += [False] * len(general) + [True] * len(whole)
         yield pd.DataFrame(
             {"h": np.array(h, np.int64), "doc_id": np.array(ids, np.int64), "at": np.array(at, np.int32),
-             "key": np.array(keys, np.uint64).view(np.int64)}
+             "key": np.array(keys, np.uint64).view(np.int64), "whole": np.array(exact, bool)}
         )
 
 
@@ -85,13 +92,15 @@ def drops(docs: DataFrame, least: int, spare_copies: bool) -> DataFrame:
     )
     lines = stored(rows.mapInPandas(_lines, LINES), "lines")
     # Per document and template one row, then counts; a hash of both spreads the work evenly.
-    once = lines.select("key", "doc_id", "h").distinct()
+    once = lines.select("key", "whole", "doc_id", "h").distinct()
     first = F.min(F.struct("doc_id", "h")).alias("first")
-    recurring = stored(once.groupBy("key").agg(F.count("*").alias("n"), first).where(F.col("n") >= least), "recurring")
+    enough = F.when(F.col("whole"), min(2, least)).otherwise(least)
+    counted = once.groupBy("key", "whole").agg(F.count("*").alias("n"), first).where(F.col("n") >= enough)
+    recurring = stored(counted, "recurring")
     is_first = F.col("h") == F.col("first.h")
     if not spare_copies:
         is_first &= F.col("doc_id") == F.col("first.doc_id")
-    hits = lines.join(recurring, "key").where(~is_first).select("doc_id", "h", "at")
+    hits = lines.join(recurring, ["key", "whole"]).where(~is_first).select("doc_id", "h", "at")
     return stored(hits.groupBy("doc_id", "h").agg(F.collect_set("at").alias("at")), "drops")
 
 

@@ -101,6 +101,15 @@ def test_mostly_recurring_documents_lose_their_lines(spark):
     assert out == {i: rows[0][1] if i in (0, None) else own[3 if i == 50 else i] for i, _ in rows}
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    """Word for word only: another number in a long line makes another line; short lines still need ``least`` documents."""
+    long, short = prose(49) + " 1", prose(49)
+    rows = [(1, f"{prose(30)}\n{long}\n{short}"), (2, f"{prose(30)}\n{long}\n{short}"), (3, f"{prose(30)}\n{long[:-1]}2\n{short}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_templates.dedup(table).collect()}
+    assert out == {1: rows[0][1], 2: rows[1][1].replace(long + "\n", ""), 3: rows[2][1]}
+
+
 def test_archives_round_trip(spark):
     rows = [(3, "u", "<p>x</p>"), (1, None, None), (2, "a b\nc", ""), (7, "é", "<p>x</p>"), (9, "u", "q\r\n\r\nWARC/1.0\r\n\r\né\n")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS path", "2 AS content")
