@@ -2,8 +2,10 @@
 
 A seed is a fixed mask over ``SPAN`` neighbouring tokens: hashes are made of the tokens where the mask has a 1, so a
 substituted token under a 0 does not hide a match.  Hashes of all masks at every place of the benchmark items meet those of every place of every
-training text.  Around each hit, item and text are laid over each other at the hit's offset and compared token by token: the overlap
-counts if at least ``SHARE`` of its tokens agree and it covers ``COVER`` of the item's tokens, but 8 tokens at least.
+training text.  Around each hit, item and text are laid over each other at the hit's offset and compared token by token: a stretch
+counts if at least ``SHARE`` of its tokens agree and it has ``LEAST`` tokens.  An inserted or removed word moves what follows to another
+offset, so the item's tokens under the stretches of all offsets are united.  Item and text overlap if these are ``COVER`` of the item's
+tokens, but 8 tokens at least, or if one stretch has ``RUN`` tokens that agree: a long part of a long item.
 
 Tokens are runs of letters and digits, lower-cased.  The benchmark's hashes go to the tasks in blocks of at most ``BLOCK`` items each,
 one pass over the texts per block, so what is sent is bounded whatever the benchmark's size; the texts are never shuffled.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 SPAN = 12
 #: Fixed masks of weight 8 over 12 tokens: any one or two substitutions leave places where one of them still hits.
 MASKS = ("111011001011", "110100110111", "111111110000", "101101110101")
-SHARE, COVER, LEAST = 0.8, 0.6, 8
+SHARE, COVER, LEAST, RUN = 0.8, 0.6, 8, 50
 BLOCK = 5_000
 TOKEN = re.compile(r"[^\W_]+")
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -104,23 +106,54 @@ class Index:
 
     def overlaps(self, tokens: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
         """For each item that overlaps enough: start in the text, tokens, tokens that agree, start in the item."""
-        best: dict[int, tuple[int, int, int, int]] = {}
+        stretches = defaultdict(list)
         for item, offset in sorted(self.hits(tokens)):
             wanted = self.items[item][1]
             first, last = max(0, -offset), min(len(wanted), len(tokens) - offset)
             same = wanted[first:last] == tokens[first + offset : last + offset]
-            # The stretch around the hit: +1 for a token that agrees, -2 for one that does not, best sum.
-            gain = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-            low = np.minimum.accumulate(gain)
-            end = int(np.argmax(gain - low))
-            begin = int(np.flatnonzero(gain[: end + 1] == low[end])[-1])
-            length, agree = end - begin, int(same[begin:end].sum())
-            enough = min(len(wanted), max(LEAST, int(np.ceil(COVER * len(wanted)))))
-            if length >= enough and agree >= SHARE * length and (item not in best or agree > best[item][2]):
-                best[item] = (first + begin + offset, length, agree, first + begin)
+            for begin, end in _stretches(same, min(LEAST, len(wanted))):
+                stretches[item].append((first + begin, first + end, offset, same[begin:end]))
+        best: dict[int, tuple[int, int, int, int]] = {}
+        for item, found in stretches.items():
+            size = len(self.items[item][1])
+            enough = min(size, max(LEAST, int(np.ceil(COVER * size))))
+            covered, agreed, most = np.zeros(size, bool), np.zeros(size, bool), (0, 0, 0)
+            alone = False
+            for begin, end, offset, same in found:
+                agree = int(same.sum())
+                covered[begin:end] = True
+                agreed[begin:end] |= same
+                alone |= end - begin >= enough or agree >= RUN
+                most = max(most, (agree, -begin - offset, -begin))
+            n, agree = int(covered.sum()), int(agreed.sum())
+            if alone or (n >= enough and agree >= SHARE * n):
+                best[item] = (-most[1], n, agree, -most[2])
         return best
 
 
+def _stretches(same: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
+    """Stretches of ``least`` tokens or more of which ``SHARE`` agree: +1 for a token that agrees, -2 for one that does not, best
+    sum; then what lies before and after it.  A stretch in which too few agree is searched again at -4, where none can."""
+    todo = [(0, len(same), 2)]
+    while todo:
+        a, b, loss = todo.pop()
+        if b - a < least:
+            continue
+        gain = np.concatenate([[0], np.cumsum(np.where(same[a:b], 1, -loss))])
+        low = np.minimum.accumulate(gain)
+        end = int(np.argmax(gain - low))
+        begin = int(np.flatnonzero(gain[: end + 1] == low[end])[-1])
+        if end == begin:
+            continue
+        begin, end = a + begin, a + end
+        if same[begin:end].sum() >= SHARE * (end - begin):
+            if end - begin >= least:
+                yield begin, end
+        else:
+            todo.append((begin, end, 4))
+        todo += [(a, begin, loss), (end, b, loss)]
+
+
 OUT = "doc_id long, item_id long, start long, n_tokens long, n_equal long, item_tokens long"
 
 

@@ -340,6 +340,17 @@ def test_spaced_seeds(spark, docs):
     assert decontaminate.report(table, bench.where("false")).count() == 0
 
 
+def test_overlaps_with_insertions_and_of_long_parts(spark):
+    """A word inserted or removed moves the rest to another offset; half of a long item is an overlap too."""
+    a, long = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(200)]
+    texts = {1: a[:20] + ["new"] + a[20:], 2: a[:13] + ["new"] + a[13:27] + ["new"] + a[27:], 3: a[:20] + a[21:],
+             4: ["x"] * 9 + long[:100], 5: a[:20], 6: long[:40], 7: a[:12] + ["x"] * 50 + a[28:]}
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(long))], "item_id long, text string")
+    out = {(r.doc_id, r.item_id): (r.start, r.n_equal) for r in decontaminate.report(table, bench).collect()}
+    assert out == {(1, 1): (0, 40), (2, 1): (14, 40), (3, 1): (0, 39), (4, 2): (9, 100), (7, 1): (0, 24)}
+
+
 def test_pipeline_keeps_what_it_should(spark):
     kept = corpus_pipeline.run(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
