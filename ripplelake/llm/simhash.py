@@ -52,14 +52,14 @@ def fingerprint_bits(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id, fp`` with the fingerprint as a signed long."""
+    """``doc_id, h, fp``: the hash of the text, and the fingerprint as a signed long."""
 
     @F.pandas_udf("long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint_bits(t, width) for t in batch], dtype="int64")
 
-    return docs.select("doc_id", of(F.col("text")).alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), of(F.col("text")).alias("fp"))
 
 
 def bit_statistics(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -224,15 +224,20 @@ def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
     return out.union(paired.groupBy("mask", "value", "lo", "hi").applyInPandas(_forest(most), "a long, b long"))
 
 
+def _named(prints: DataFrame, most: int) -> DataFrame:
+    """``fp, doc_id, h, root``: the first row of each distinct fingerprint (no doc_id comes last) and its class."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "h")).alias("first")
+    distinct = stored(prints.groupBy("fp").agg(first).select("fp", "first.doc_id", "first.h"), "distinct")
+    roots = stored(components(stored(links(distinct, most), "links")), "roots")
+    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return joined.select("fp", "doc_id", "h", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(docs: DataFrame, width: int = 3, most: int = 2) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest doc_id that links lead to."""
     prints = stored(fingerprints(docs, width), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = stored(components(stored(links(distinct, most), "links")), "roots")
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "classes")
+    named = stored(_named(prints, most), "roots-of-prints")
+    least = stored(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "classes")
     named = stored(named.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -244,13 +249,16 @@ def report(docs: DataFrame, width: int = 3, most: int = 2) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = 3, most: int = 2) -> DataFrame:
-    """The rows that represent their class, columns as they were; of rows with the same doc_id one stays.
+    """The row that represents its class, for each class, columns as they were: the smallest doc_id, then fingerprint, then hash of the text.
 
-    Rows without a doc_id cannot be told apart: they stay only where a class has no other row.
+    A row without a doc_id stays only where a class has no other row.  Of rows with the same doc_id and the same text one stays.
     """
-    found = classes(docs, width, most).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stored(found.groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
-    repeated = not ids.where("n > 1").isEmpty()
-    name = spare_name(docs, "kept_id")
-    out = docs.join(ids.select(F.col("doc_id").alias(name)), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    prints = stored(fingerprints(docs, width), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "fp", "h")
+    first = _named(prints, most).groupBy("root").agg(F.min(order).alias("first"))
+    name, h = spare_name(docs, "kept_id"), spare_name(docs, "kept_h")
+    kept = stored(first.select(F.col("first.doc_id").alias(name), F.col("first.h").alias(h)), "kept")
+    twice = prints.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1").toDF("id", "text_h", "n")
+    repeated = not kept.join(twice, F.col(name).eqNullSafe(F.col("id")) & (F.col(h) == F.col("text_h")), "left_semi").isEmpty()
+    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col(h)), "left_semi")
+    return out.withColumn(h, F.xxhash64("text")).dropDuplicates(["doc_id", h]).drop(h) if repeated else out

@@ -238,6 +238,17 @@ def test_simhash_classes(docs, empty):
     assert simhash.report(empty).count() == 0
 
 
+def test_one_of_each_with_repeated_and_missing_ids(spark):
+    """Unlinked texts all stay, with one id or none; a row without an id goes where its class has another."""
+    texts = [prose(80) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4]), (None, texts[4]), (9, texts[5]), (9, texts[5]),
+            (7, texts[4]), (None, texts[0])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    key = lambda r: (r[0] or 0, r[1])
+    out = sorted(map(tuple, simhash.one_of_each(table).collect()), key=key)
+    assert out == sorted([*rows[:4], (9, texts[5]), (7, texts[4])], key=key)
+
+
 def test_links_of_dense_sets_lose_nothing(spark):
     """Sets larger than a block are refined and then compared in blocks."""
     base = random.getrandbits(64)
