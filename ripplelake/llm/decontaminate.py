@@ -10,7 +10,8 @@ tokens, but 8 tokens at least, or if one stretch has ``RUN`` tokens that agree:
 Tokens are runs of letters and digits, lower-cased.  The benchmark's hashes go to the tasks in blocks of at most ``BLOCK`` items each,
 one pass over the texts per block, so what is sent is bounded whatever the benchmark's size; the texts are never shuffled.
 
-Items with fewer than ``SPAN`` tokens are compared by their whole token sequence.  Nulls: a null text or item has no token and never
+Items with fewer than ``SHORT`` tokens have masks of a shorter span besides; a word inserted amid fewer than 16 tokens leaves no stretch of
+``LEAST`` and may hide them.  Items with fewer than ``SPAN`` tokens are compared by their whole token sequence.  Nulls: a null text or item has no token and never
 matches.  Empty tables give no row.  Repeated rows are reported one by one.  Columns other than the ids and texts are not read.
 """
 
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 12
-#: Fixed masks of weight 8 over 12 tokens: any one or two substitutions leave places where one of them still hits.
+#: Fixed masks of weight 8 over 12 tokens: any two substitutions in 19 tokens or more leave places where one of them still hits.
 MASKS = ("111011001011", "110100110111", "111111110000", "101101110101")
+#: Masks of weight 5 that do so from 12 tokens on, for items of fewer than ``SHORT``.
+SHORT, SHORT_MASKS = 24, ("10001111", "101100101")
 SHARE, COVER, LEAST, RUN = 0.8, 0.6, 8, 50
 BLOCK = 5_000
 TOKEN = re.compile(r"[^\W_]+")
@@ -69,12 +72,14 @@ class Index:
     """The seeds of some benchmark items, sorted, and a small bitmap that rejects most others."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.items, self.short = items, defaultdict(list)
+        self.items, self.short, self.masks = items, defaultdict(list), set(MASKS)
         hashes, spots = [], []
         for at, (_, tokens) in enumerate(items):
             if 0 < len(tokens) < SPAN:
                 self.short[len(tokens)].append(at)
-            for mask in MASKS:
+            short = SPAN <= len(tokens) < SHORT
+            self.masks |= set(SHORT_MASKS) if short else set()
+            for mask in MASKS + SHORT_MASKS * short:
                 found = seeds(tokens, mask)
                 hashes.append(found)
                 spots.append(np.stack([np.full(len(found), at), np.arange(len(found))], 1))
@@ -88,7 +93,7 @@ class Index:
     def hits(self, tokens: np.ndarray) -> set[tuple[int, int]]:
         """``(item, offset of the item's start in the text)``."""
         out = set()
-        for mask in MASKS:
+        for mask in self.masks:
             found = seeds(tokens, mask)
             maybe = np.flatnonzero(self.bitmap[found >> np.uint64(42)])
             left = np.searchsorted(self.hashes, found[maybe], "left")
@@ -133,7 +138,11 @@ class Index:
 
 def _stretches(same: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
     """Stretches of ``least`` tokens or more of which ``SHARE`` agree: +1 for a token that agrees, -2 for one that does not, best
-    sum; then what lies before and after it.  A stretch in which too few agree is searched again at -4, where none can."""
+    sum; then what lies before and after it.  A stretch in which too few agree is searched again at -4, where none can.  If
+    ``SHARE`` of all agree, that is one stretch."""
+    if len(same) >= least and same.sum() >= SHARE * len(same):
+        yield 0, len(same)
+        return
     todo = [(0, len(same), 2)]
     while todo:
         a, b, loss = todo.pop()
@@ -154,11 +163,11 @@ def _stretches(same: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
         todo += [(a, begin, loss), (end, b, loss)]
 
 
-OUT = "doc_id long, item_id long, start long, n_tokens long, n_equal long, item_tokens long"
+OUT = "doc_id long, item_id long, start long, n_tokens long, n_equal long, item_tokens long, h long"
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per text and benchmark item that overlap, with the place and the number of equal tokens."""
+    """One row per text and benchmark item that overlap, with the place, the number of equal tokens and the hash of the text."""
     items = benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text")
     blocks = max(1, -(-items.count() // block))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) if blocks > 1 else F.lit(0)
@@ -167,7 +176,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataF
         rows = items.where(part == k).orderBy("item_id", "text").collect()  # about BLOCK short items
         hashes = Hashes()
         sent = docs.sparkSession.sparkContext.broadcast([(r.item_id, hashes(r.text)) for r in rows])
-        found = docs.select("doc_id", "text").mapInPandas(_scan(sent), OUT)
+        # An id that is absent is told apart by a flag, as pandas would make the others floats.
+        doc_id, absent = F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("absent")
+        texts = docs.select(doc_id, absent, "text", F.xxhash64("text").alias("h"))
+        found = texts.mapInPandas(_scan(sent), OUT)
         out = found if out is None else out.union(found)
     return out
 
@@ -178,12 +190,12 @@ def _scan(sent):
         names = [f.split()[0] for f in OUT.split(", ")]
         for part in parts:
             rows = []
-            for doc_id, text in zip(part["doc_id"], part["text"]):
+            for doc_id, absent, text, h in zip(part["doc_id"].tolist(), part["absent"].tolist(), part["text"], part["h"].tolist()):
                 tokens = hashes(text)
                 for item, (start, n, agree, _) in index.overlaps(tokens).items():
                     item_id, wanted = index.items[item]
-                    rows.append((doc_id, item_id, start, n, agree, len(wanted)))
-            yield pd.DataFrame(rows, columns=names)
+                    rows.append((None if absent else doc_id, item_id, start, n, agree, len(wanted), h))
+            yield pd.DataFrame(rows, columns=names).assign(doc_id=pd.array([r[0] for r in rows], "Int64"))
 
     return scan
 
@@ -195,8 +207,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that overlap no item, columns as they were."""
-    from ripplelake.llm.common import stored
+    """The rows that overlap no item, columns as they were; rows are told apart by doc_id, null or not, and the hash of the text."""
+    from ripplelake.llm.common import spare_name, stored
 
-    hit = stored(overlaps(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(hit, "doc_id", "left_anti")
+    names = [spare_name(docs, n) for n in ("hit_id", "hit_h")]
+    hit = stored(overlaps(docs, benchmark).select("doc_id", "h").distinct().toDF(*names), "contaminated")
+    match = F.col("doc_id").eqNullSafe(F.col(names[0])) & (F.xxhash64("text") == F.col(names[1]))
+    return docs.join(hit, match, "left_anti")

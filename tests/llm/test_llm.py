@@ -362,6 +362,25 @@ def test_overlaps_with_insertions_and_of_long_parts(spark):
     assert out == {(1, 1): (0, 40), (2, 1): (14, 40), (3, 1): (0, 39), (4, 2): (9, 100), (7, 1): (0, 24)}
 
 
+def test_two_substitutions_in_a_short_item_are_found():
+    hashes = decontaminate.Hashes()
+    for n in (12, 13, 15, 18, 19, 23):
+        words = [f"w{i}" for i in range(n)]
+        index = decontaminate.Index([(1, hashes(" ".join(words)))])
+        for a in range(n):
+            for b in range(a, n):
+                changed = " ".join("other" if i in (a, b) else w for i, w in enumerate(words))
+                assert 0 in index.overlaps(hashes("before " + changed + " after")), (n, a, b)
+
+
+def test_contaminated_rows_go_whatever_their_id(spark):
+    item = [f"i{k}" for k in range(30)]
+    rows = [(None, " ".join(item)), (None, prose(40)), (2**60 + 1, " ".join(item)), (2**60 + 1, prose(40)), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.clean(table, bench).collect()} == {rows[1], rows[3], rows[4]}
+
+
 def test_pipeline_keeps_what_it_should(spark):
     kept = corpus_pipeline.run(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
