@@ -27,8 +27,8 @@ from ripplelake.llm.common import stored, text_of
 from ripplelake.llm.tokens import _encoder, batches, vocabulary
 
 WINDOW, END = 2048, 1
-#: Units that one index holds, and terms of a seed that are looked up.
-SHARD, TERMS = 2048, 12
+#: Units that one index holds.
+SHARD = 2048
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -145,12 +145,11 @@ class Packer:
         at = 0
 
         def neighbours(seed: int) -> np.ndarray:
-            """Unused units that share the seed's weightiest terms, best first."""
-            mine, impact = found[seed]
-            scores = np.zeros(len(units), np.float32)
-            for t in mine[np.argsort(-impact, kind="stable")[:TERMS]].tolist():
-                a, b = starts[t], starts[t + 1]
-                scores[owner[a:b]] += impacts[a:b]
+            """Unused units by their score over all terms of the seed, best first."""
+            mine, _ = found[seed]
+            a, n = starts[mine], starts[mine + 1] - starts[mine]
+            spots = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+            scores = np.bincount(owner[spots], impacts[spots], len(units))
             scores[~unused] = 0
             hits = np.flatnonzero(scores)
             return hits[np.argsort(-scores[hits], kind="stable")]

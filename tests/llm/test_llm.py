@@ -179,6 +179,16 @@ def test_packing(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_neighbours_may_share_only_light_terms():
+    """Twenty terms of the seed are weightier than those that it shares with its neighbour."""
+    common = np.arange(5, 10)
+    ids = [np.append(np.arange(100, 120), common), np.arange(200, 225), np.append(np.arange(300, 320), common)]
+    terms, counts = np.unique(np.concatenate(ids), return_counts=True)
+    packer = packing.Packer(packing.Weights(3, 25.0, terms, counts), 50, 0)
+    packer.shard([(i, 0, x.astype("<u4"), 25) for i, x in enumerate(ids)])
+    assert [r[0] for r in packer.rows] == [0, 2]
+
+
 def test_repeated_bytes(spark, docs, empty):
     more = docs.union(spark.createDataFrame([(30, "a" * 120, *[None] * 6), (31, "a" * 70 + "b", *[None] * 6)], SCHEMA))
     rows = [(r.doc_id, (r.text or "").encode()) for r in more.collect()]
