@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ripplelake.session import scratch
@@ -46,6 +46,33 @@ def spare_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Offsets of that many sorted runs are sent to every task; more are joined like any table.
+SENT_OFFSETS = 1_000_000
+
+
+def numbered(df: DataFrame, group: str, order: list[str], position: str, total: str, spread: bool = True) -> DataFrame:
+    """Dense positions from 0 within each group, and the size of the group, without a window over its rows.
+
+    ``group`` must not be null.  With ``spread`` the rows are dealt by ranges of (group, order), so a group of any size is shared by many
+    tasks and positions follow ``order``; without, rows stay where they are, and positions follow the order only within a
+    partition.  The sorted rows are stored with their partition and place, so all later steps see the same order.  What a
+    partition holds of a group is one run; the offsets are a row per run, as many as partitions and groups together at most where spread.
+    """
+    at, part, n = "_at", "_part", "_n"
+    dealt = df.repartitionByRange(group, *order) if spread else df
+    placed = dealt.sortWithinPartitions(group, *order).withColumn(at, F.monotonically_increasing_id())
+    placed = stored(placed.withColumn(part, F.shiftright(at, 33)), "placed")
+    runs = placed.groupBy(group, part).agg(F.count("*").alias(n), F.min(at).alias("_first"))
+    earlier = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        group, part, (F.coalesce(F.sum(n).over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum(n).over(Window.partitionBy(group)).alias(total),
+    )
+    runs = stored(runs, "runs")
+    runs = F.broadcast(runs) if runs.count() <= SENT_OFFSETS else runs
+    return placed.join(runs, [group, part]).withColumn(position, F.col(at) + F.col("_shift")).drop(at, part, "_shift")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of edges ``(a, b)``: rows ``(node, root)``, root being the smallest node reachable.
 
