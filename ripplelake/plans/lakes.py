@@ -98,7 +98,7 @@ def compacted(spark: SparkSession, sf_dir: str) -> Lake:
     deliveries = rows.withColumn("batch", F.concat(F.lit("part-"), F.col("event_id") % 3))
     again = rows.withColumn("batch", F.lit("part-again"))
     lake.replace(SILVER_LOG, with_day(deliveries.unionByName(again), "event_timestamp"))
-    maintain.compact(lake, [dt.date.fromisoformat(p.split("=")[1]) for p in lake.partitions(SILVER_LOG)])
+    maintain.compact(lake, SILVER_LOG)
     return lake
 
 

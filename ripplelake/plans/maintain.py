@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterable
-from functools import reduce
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplelake.functions import wire
@@ -15,10 +14,13 @@ from ripplelake.functions.scalars import readable_size
 from ripplelake.operators import merge
 from ripplelake.operators.report import AsOf, moment
 from ripplelake.plans import medallion as m
-from ripplelake.schema import BRONZE, GOLD, SILVER, SILVER_KEY, SILVER_LOG, TABLES, USER_STATS, Table
+from ripplelake.schema import (
+    BRONZE, GOLD, SILVER, SILVER_KEY, SILVER_LOG, SILVER_NEWEST, SUPERSEDED, TABLES, TOUCHED, USER_STATS, USER_TITLES, Table,
+)
 from ripplelake.session import scratch
-from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour
-from ripplelake.streaming.pipeline import clear, rebuild
+from ripplelake.sources.commits import File, State
+from ripplelake.sources.lake import PLACE, Lake, day_folder, with_day, with_hour
+from ripplelake.streaming.pipeline import DELETION, Pipeline, rebuild
 
 #: Days each table keeps its rows; override entries to change a table.
 RETENTION = {t.name: t.keep_days for t in TABLES.values() if t.keep_days is not None}
@@ -61,111 +63,177 @@ def expire(
 ) -> dict[str, int]:
     """Drop what is too old from every table; returns the number of day folders dropped per table.
 
-    Whole days go by deleting their folder.  Of the day the limit falls into, the partitions with old rows are
-    rewritten without them; ``exact=False`` leaves that day alone until it is wholly too old.
+    Whole days go by their folder.  Of the day the limit falls into, the old rows are marked as deleted; ``exact=False`` leaves
+    that day alone until it is wholly too old.
     """
     dropped = {}
     for name, days in {**RETENTION, **(retention or {})}.items():
         table = TABLES[name]
         limit = as_of.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
-        column = table.partition_names[0]
         # Remembered first: a rebuild must not take a half-expired day for a whole one.
         lake.expire_below(table, limit if exact else dt.datetime.combine(limit.date(), dt.time(), dt.timezone.utc))
-        old = [p for p in lake.partitions(table) if p < f"{column}={limit.date()}"]
-        lake.drop(table, old)
-        dropped[name] = len(old)
-        if not exact:
-            continue
-        boundary = F.col(column) == F.lit(limit.date())
-        if table is USER_STATS:
-            continue  # a partial row counts a whole day: it goes with its day
-        old_rows = F.col(table.age_column) < F.lit(limit).cast("timestamp")
-        rewrite(lake, table, lambda df, p=boundary & old_rows: df.where(p), lambda df, p=boundary & old_rows: df.where(~p))
+        dropped[name] = _drop_days_before(lake, table, limit)
+        if exact and table is not USER_STATS:  # a partial row of those counts a whole day: it goes with its day
+            _delete_older(lake, table, table.age_column, limit)
     return dropped
 
 
-def delete_where(lake: Lake, table: Table, predicate: Column) -> None:
-    """Delete matching rows for good.
+def _drop_days_before(lake: Lake, table: Table, limit: dt.datetime) -> int:
+    old = [p for p in lake.partitions(table) if p < f"{table.partition_names[0]}={limit.date()}"]
+    lake.drop(table, old)
+    return len(old)
+
+
+def _delete_older(lake: Lake, table: Table, column: str, limit: dt.datetime) -> None:
+    """Rows of the limit's day that are older than it."""
+    day = f"{table.partition_names[0]}={limit.date()}"
+    old = F.col(column) < F.lit(limit).cast("timestamp")
+    lake.delete(table, lambda df: df.where(old), lambda f: f.folder.split("/")[0] == day)
+
+
+def delete_ingested_before(lake: Lake, table: Table, limit: dt.datetime) -> None:
+    """Delete by ingestion time; days that lie wholly before ``limit`` are dropped unread."""
+    _drop_days_before(lake, table, limit)
+    _delete_older(lake, table, "ingested_at", limit)
+
+
+def delete_where(lake: Lake, table: Table, predicate: Column) -> int:
+    """Delete matching rows for good; returns how many of ``table``.
 
     Events deleted from silver go from bronze and the log as well, in all their deliveries, and gold is computed anew for
     their hours; otherwise the next refresh or replay would bring them back.  Gold itself is no target: it follows from silver.
+
+    Rows are marked, files are not rewritten; ``compact`` and ``clean`` remove the bytes.  The log knows where each delivery stands
+    in bronze, also of those that compaction has merged, so bronze is looked up by position and only rows found there are parsed.  The hours are
+    noted first: after a crash the next refresh computes them anew, and the deletion can be repeated.
     """
-    if table in GOLD:
+    if table in GOLD or table == USER_TITLES:
         raise ValueError(f"{table.name} follows from {SILVER.name}: delete there")
-    matching, others = (lambda df: df.where(predicate)), (lambda df: df.where(~F.coalesce(predicate, F.lit(False))))
     if table != SILVER:
-        rewrite(lake, table, matching, others)
-        return
+        return lake.delete(table, lambda df: df.where(predicate))
     aside = scratch(lake.spark, "deleted")
     lake.read(SILVER).where(predicate).select(*SILVER_KEY).write.parquet(aside)
-    names = [f"deleted_{c}" for c in SILVER_KEY]
-    gone = lake.spark.read.parquet(aside).toDF(*names)
-    same = reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(SILVER_KEY, names)])
-    raw = [F.col("_key")[c] == F.col(n) for c, n in zip(SILVER_KEY, names)]
-
-    def keyed(df: DataFrame) -> DataFrame:
-        key = F.struct(
-            wire.epoch_to_timestamp("timestamp").alias("event_timestamp"), wire.strict_text("wiki").alias("wiki"),
-            wire.unsigned("id").alias("event_id"),
-        )
-        return wire.parse_wire(df).withColumn("_key", key)
-
-    for target, shape, match in ((BRONZE, keyed, reduce(Column.__and__, raw)), (SILVER_LOG, lambda df: df, same)):
-        rewrite(
-            lake, target,
-            lambda df, shape=shape, match=match: shape(df).join(gone, match, "left_semi"),
-            lambda df, shape=shape, match=match: shape(df).join(gone, match, "left_anti"),
-        )
-    hours = with_hour(gone.select(F.col("deleted_event_timestamp").alias("ts")), "ts")
-    hours = hours.select("event_date", "event_hour").distinct().collect()
-    rewrite(lake, SILVER, matching, others)
-    clear(lake, hours)
-    rebuild(lake, hours)
-
-
-def rewrite(
-    lake: Lake, table: Table, matching: Callable[[DataFrame], DataFrame], others: Callable[[DataFrame], DataFrame]
-) -> None:
-    """Rewrite the partitions that hold matching rows with the other rows only."""
-    parts = lake.layout(table).partition_names
-    hit = matching(lake.read(table)).select(*parts).distinct().collect()
-    if not hit:
-        return
-    folders = ["/".join(f"{n}={row[n]}" for n in parts) for row in hit]
-    survivors = others(lake.read_partitions(table, folders)).select(*lake.layout(table).stored.fieldNames())
-    # A partition cannot be read while it is replaced: the survivors are first written to the shared folder.
-    aside = scratch(lake.spark, "survivors")
-    survivors.write.parquet(aside)
-    survivors = lake.spark.read.schema(survivors.schema).parquet(aside)
-    left = {tuple(r) for r in survivors.select(*parts).distinct().collect()}
-    lake.replace(table, survivors)
-    lake.drop(table, [f for f, row in zip(folders, hit) if tuple(row) not in left])
+    gone = lake.spark.read.parquet(aside)
+    noted = with_hour(gone, "event_timestamp").select("event_date", "event_hour").distinct()
+    noted = noted.withColumn("batch", F.lit(f"{DELETION}{uuid.uuid4().hex}")).select(*TOUCHED.stored.fieldNames())
+    lake.replace(TOUCHED, noted)
+    days = {day_folder(r[0]) for r in noted.select("event_date").distinct().collect()}  # days of the accepted period at most
+
+    def of_these_days(f: File) -> bool:
+        return f.folder.split("/")[0] in days
+
+    position = ["kafka_partition", "kafka_offset", "ingested_at"]
+    logged = [lake.read_partitions(t, days).select(*SILVER_KEY, *position) for t in (SILVER_LOG, SUPERSEDED)]
+    positions = scratch(lake.spark, "positions")
+    logged[0].unionByName(logged[1]).join(gone, list(SILVER_KEY), "left_semi").select(*position).distinct().write.parquet(positions)
+    at = lake.spark.read.parquet(positions)
+    ingested = {f"ingest_date={r[0]}" for r in at.select(F.to_date("ingested_at")).distinct().collect()}  # days bronze keeps at most
+
+    def deliveries(df: DataFrame) -> DataFrame:
+        found = df.join(at, position, "left_semi")
+        key = {"event_timestamp": wire.epoch_to_timestamp("timestamp"), "wiki": wire.strict_text("wiki"), "event_id": wire.unsigned("id")}
+        keyed = wire.parse_wire(found).select(*PLACE, *[c.alias(f"_{n}") for n, c in key.items()])  # topics may share a position
+        return keyed.join(gone.toDF(*[f"_{n}" for n in key]), [f"_{n}" for n in key], "left_semi")
+
+    lake.delete(BRONZE, deliveries, lambda f: f.folder.split("/")[0] in ingested)
+    for target in (SILVER_LOG, SUPERSEDED):
+        lake.delete(target, lambda df: df.join(gone, list(SILVER_KEY), "left_semi"), of_these_days)
+    count = lake.delete(SILVER, lambda df: df.join(gone, list(SILVER_KEY), "left_semi"), of_these_days)
+    Pipeline(lake).refresh_touched()
+    return count
 
 
-def delete_ingested_before(lake: Lake, table: Table, limit: dt.datetime) -> None:
-    """Delete by ingestion time; days that lie wholly before ``limit`` are dropped unread."""
-    lake.drop(table, [p for p in lake.partitions(table) if p < f"ingest_date={limit.date()}"])
-    day = F.col("ingest_date") == F.lit(limit.date())
-    old = day & (F.col("ingested_at") < F.lit(limit).cast("timestamp"))
-    rewrite(lake, table, lambda df: df.where(old), lambda df: df.where(~old))
+# Compaction, other sort orders, snapshots
 
 
-# Compaction, other sort orders, snapshots
+#: Bytes a compacted file should have; files below half of it are merged.
+FILE_BYTES = 512 << 20
 
 
-def compact(lake: Lake, days: Iterable[dt.date]) -> None:
-    """Merge the log of these days: latest version of every event, few files, sorted.
+def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, file_bytes: int = FILE_BYTES) -> int:
+    """Merge small files and files with deleted rows of these days (all by default); returns how many files were replaced.
 
-    The merged rows are written before the old ones are removed.  Stopped in between, a day holds some rows
-    twice, which readers of the log collapse anyway.
+    The log of silver also keeps only the latest version of every event; where the others stand in bronze is noted beside it.  Of the tables
+    written by batches the newest batch of each query stays as it is: a retry replaces it by its name.  Files are packed into bins by
+    their bytes, and each day is exchanged in one commit: stopped at any point, either the old files count or the new ones.
     """
-    folders = [day_folder(day) for day in days]
-    old = [f"{folder}/{batch}" for folder in folders for batch in lake.partitions(SILVER_LOG, folder)]
-    if not old:
-        return
-    latest = merge.keep_latest(lake.read_partitions(SILVER_LOG, old))
-    lake.replace(SILVER_LOG, latest.withColumn("batch", F.lit(f"merged-{uuid.uuid4().hex}")))
-    lake.drop(SILVER_LOG, old)
+    column, batched = table.partition_names[0], "batch" in table.partition_names
+    wanted = None if days is None else {f"{column}={day}" for day in days}
+    state = lake.log(table).state()
+    newest = _newest_batches(state) if batched and table != SILVER_LOG else set()  # the log bears a batch twice
+    by_day: dict[str, list[File]] = {}
+    for f in state.files():
+        day = f.folder.split("/")[0]
+        if (wanted is None or day in wanted) and not (batched and f.folder.split("/")[1].removeprefix("batch=") in newest):
+            by_day.setdefault(day, []).append(f)
+    replaced = 0
+    for day, files in sorted(by_day.items()):
+        if table == SILVER_LOG:
+            if len(files) > 1 or files[0].path in state.deleted:
+                _merge_log(lake, state, files)
+                replaced += len(files)
+            continue
+        bins = [b for home in _homes(files, batched) for b in _bins(home, state, file_bytes)]
+        chosen = [f for b in bins for f in b]
+        if chosen:
+            number = lake.spark.createDataFrame([(f.path, n) for n, b in enumerate(bins) for f in b], "_file string, bin int")
+            rows = lake.scan(table, state, chosen, place=True).join(number, "_file")
+            if batched:
+                rows = rows.withColumn("batch", F.concat(F.lit(f"merged-{uuid.uuid4().hex}-"), "bin"))
+            lake.exchange(table, chosen, rows.repartition(len(bins), "bin"), gather=False, name="compact")
+            replaced += len(chosen)
+    return replaced
+
+
+def _newest_batches(state: State) -> set[str]:
+    """The last batch of each query, by the numbers in their names."""
+    last: dict[str, str] = {}
+    for folder in state.folders:
+        batch = folder.split("/")[1].removeprefix("batch=")
+        query, _, number = batch.rpartition("-")
+        if number.isdigit() and len(number) == 10:
+            last[query] = max(last.get(query, ""), batch)
+    return set(last.values())
+
+
+def _homes(files: list[File], batched: bool) -> list[list[File]]:
+    """Files that may share one: of a partition, whatever batch they came with."""
+    homes: dict[str, list[File]] = {}
+    for f in files:
+        homes.setdefault(f.folder.split("/")[0] if batched else f.folder, []).append(f)
+    return list(homes.values())
+
+
+def _bins(files: list[File], state: State, file_bytes: int) -> list[list[File]]:
+    """Small and marked files packed first-fit, the largest first; a bin of one whole file is left out."""
+    some = sorted((f for f in files if 2 * f.bytes < file_bytes or f.path in state.deleted), key=lambda f: (-f.bytes, f.path))
+    bins: list[list[File]] = []
+    room: list[int] = []
+    for f in some:
+        at = next((i for i, left in enumerate(room) if f.bytes <= left), None)
+        if at is None:
+            bins.append([f])
+            room.append(file_bytes - f.bytes)
+        else:
+            bins[at].append(f)
+            room[at] -= f.bytes
+    return [b for b in bins if len(b) > 1 or b[0].path in state.deleted]
+
+
+def _merge_log(lake: Lake, state: State, files: list[File]) -> None:
+    """The latest version of every event of these files of the log; the others are noted by their place in bronze."""
+    order = Window.partitionBy(*SILVER_KEY).orderBy(*[F.desc(c) for c in SILVER_NEWEST])
+    name = f"merged-{uuid.uuid4().hex}"
+    rows = lake.scan(SILVER_LOG, state, files).withColumn("batch", F.lit(name))
+    older = rows.withColumn("version", F.row_number().over(order)).where("version > 1")
+    # Noted first: a place noted twice does no harm, a delivery that cannot be found does.
+    lake.replace(SUPERSEDED, older.select(*SUPERSEDED.stored.fieldNames()))
+    lake.exchange(SILVER_LOG, files, merge.keep_latest(rows), name="compact")
+
+
+def clean(lake: Lake, tables: Iterable[Table], before: dt.datetime) -> int:
+    """Delete files that no longer count since before a moment; older than every running reader and writer."""
+    return sum(lake.log(table).clean(int(before.timestamp() * 1000)) for table in tables)
 
 
 def resorted(df: DataFrame, path: str, sort_key: list[str], partition: str) -> None:
@@ -190,27 +258,34 @@ def snapshot(lake: Lake, folder: str, at: dt.datetime) -> str:
 
 
 def table_sizes(lake: Lake, tables: list[Table]) -> DataFrame:
-    """Rows, files and bytes per table; reads file footers only."""
-
-    def one(table: Table) -> DataFrame:
-        files = lake.read(table).groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count("*").alias("n"))
-        return files.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-            F.count("*").alias("files"),
-            F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
-        ).select(F.lit(table.name).alias("table"), "total_rows", "files", "bytes")
-
-    sizes = reduce(DataFrame.unionByName, [one(t) for t in tables])
+    """Rows, files and bytes per table, as their commit logs have them; no data file is opened."""
+    rows = []
+    for table in tables:
+        state = lake.log(table).state()
+        files = state.files()
+        rows.append((table.name, sum(f.rows for f in files) - sum(state.deleted.values()), len(files), sum(f.bytes for f in files)))
+    sizes = lake.spark.createDataFrame(rows, "table string, total_rows bigint, files bigint, bytes bigint")
     return sizes.withColumn("size", readable_size(F.col("bytes"))).orderBy(F.desc("bytes"), "table")
 
 
 def partition_counts(lake: Lake, tables: list[Table]) -> DataFrame:
-    """Number of day partitions per table."""
-    counts = [
-        lake.read(t).agg(F.count_distinct(t.partition_names[0]).alias("partitions"))
-        .select(F.lit(t.name).alias("table"), "partitions")
-        for t in tables
+    """Number of partitions per table in the unit the lake keeps it by; batches are no partitions of their own."""
+    rows = []
+    for table in tables:
+        depth = len([c for c in lake.layout(table).partition_names if c != "batch"])
+        folders = {"/".join(f.split("/")[:depth]) for f in lake.log(table).state().folders}
+        rows.append((table.name, len(folders)))
+    return lake.spark.createDataFrame(rows, "table string, partitions bigint")
+
+
+def file_bounds(lake: Lake, table: Table) -> DataFrame:
+    """One row per file: its partition, rows, bytes and the bounds of its sort columns."""
+    columns = [c for c in lake.layout(table).sort_key if c in table.columns.fieldNames()]
+    kinds = {f.name: f.dataType.simpleString() for f in table.columns.fields}
+    rows = [
+        (f.folder, f.rows, f.bytes, *[None if v is None else str(v) for c in columns for v in f.bounds.get(c, (None, None))])
+        for f in lake.log(table).state().files()
     ]
-    return reduce(DataFrame.unionByName, counts)
-
-
+    names = [f"{end}_{c}" for c in columns for end in ("low", "high")]
+    texts = lake.spark.createDataFrame(rows, ", ".join(["folder string, rows bigint, bytes bigint", *[f"{n} string" for n in names]]))
+    return texts.withColumns({f"{end}_{c}": F.col(f"{end}_{c}").cast(kinds[c]) for c in columns for end in ("low", "high")})

@@ -108,6 +108,18 @@ def hourly_stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def user_titles_hourly(rows: DataFrame) -> DataFrame:
+    """Partial rows of the daily table, in the shape of ``activity``: ``users_daily`` of them is that of the rows themselves."""
+    return rows.groupBy("hour", "wiki", "user", "title").agg(
+        F.max("user_is_bot").alias("user_is_bot"),
+        F.max("user_is_anonymous").alias("user_is_anonymous"),
+        F.sum("edits").alias("edits"),
+        F.try_sum("length_delta").alias("length_delta"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
+
+
 def users_daily(rows: DataFrame) -> DataFrame:
     """What does each user do on each site each day?"""
     return rows.groupBy("day", "wiki", "user").agg(

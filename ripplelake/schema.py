@@ -118,6 +118,18 @@ SILVER_LOG = Table(
     LATEST_ACCEPTED_DAYS + 1,
 )
 
+#: Where the deliveries stand in bronze that compaction has taken out of the log, so that a deletion still finds them.
+SUPERSEDED = Table(
+    "silver_superseded",
+    _columns(
+        "event_timestamp timestamp, wiki string, event_id bigint, ingested_at timestamp, kafka_partition bigint, kafka_offset bigint"
+    ),
+    BY_DAY_AND_BATCH,
+    SILVER_KEY,
+    "event_timestamp",
+    LATEST_ACCEPTED_DAYS + 1,
+)
+
 #: Hours whose silver and gold rows are older than their log; one entry per micro-batch.
 TOUCHED = Table("touched_hours", _columns("event_date date, event_hour int"), _columns("batch string"), ())
 
@@ -146,6 +158,19 @@ TOP_USERS = Table(
     365,
 )
 
+#: What the daily table is merged from: one row per hour, site, user and page, so that distinct pages add up over hours.
+USER_TITLES = Table(
+    "user_titles_hourly",
+    _columns(
+        "hour timestamp, wiki string, user string, title string, user_is_bot int, user_is_anonymous int, edits bigint, "
+        "length_delta bigint, first_at timestamp, last_at timestamp"
+    ),
+    BY_HOUR,
+    ("hour", "wiki", "user"),
+    "hour",
+    LATEST_ACCEPTED_DAYS + 1,
+)
+
 TOP_PAGES = Table(
     "gold_top_pages_hourly",
     _columns(
@@ -214,6 +239,6 @@ DEAD_LETTERS = Table(
 TABLES = {
     t.name: t
     for t in (
-        BRONZE, ERRORS, SILVER_LOG, TOUCHED, SILVER, *GOLD, TYPED_EVENTS, TYPED_ERRORS, USER_STATS, DEAD_LETTERS,
+        BRONZE, ERRORS, SILVER_LOG, SUPERSEDED, TOUCHED, SILVER, *GOLD, USER_TITLES, TYPED_EVENTS, TYPED_ERRORS, USER_STATS, DEAD_LETTERS,
     )
 }

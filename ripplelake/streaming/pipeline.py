@@ -17,13 +17,17 @@ from ripplelake.operators import merge, route
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
     BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG,
-    TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS, Table,
+    TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS, USER_TITLES, Table,
 )
 from ripplelake.sources import typed
 from ripplelake.sources.lake import Lake, day_folder, with_day, with_hour, with_ingest
 from ripplelake.sources.messages import stamped
 
 
+#: Marks of hours from which rows were deleted begin like this: there may be nothing left to replace them with.
+DELETION = "deletion-"
+
+
 def batch_name(df: DataFrame, batch_id: int) -> str:
     """Same for every try of a batch, different after the positions of a query were thrown away."""
     query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -98,6 +102,8 @@ class Pipeline:
         found = self.lake.read_partitions(TOUCHED, marks).select("event_date", "event_hour").distinct()
         # At most one row per hour of the accepted period, whatever the amount of data.
         hours = found.collect()
+        if any(mark.startswith(f"batch={DELETION}") for mark in marks):
+            clear(self.lake, hours)
         rebuild(self.lake, hours)
         self.lake.drop(TOUCHED, marks)
         return len(hours)
@@ -111,14 +117,14 @@ def _totals() -> list:
 def log_of(lake: Lake, hours: Sequence[Row]) -> DataFrame:
     """Log rows of these hours, or of their whole days where the lake is refreshed by day.
 
-    Only the folders of their days are listed.  The files are sorted by time, so the time range lets the reader
-    skip what lies outside without reading it.
+    Only files of their days whose bounds meet the hours are opened.
     """
     starts = [start_of(h) for h in hours]
-    log = log_of_days(lake, {day_folder(h["event_date"]) for h in hours})
+    days = {day_folder(h["event_date"]) for h in hours}
     if lake.grain == "day":
-        return log
+        return lake.read_partitions(SILVER_LOG, days)
     ts = F.col("event_timestamp")
+    log = lake.read_partitions(SILVER_LOG, days)
     return log.where(
         (ts >= min(starts))
         & (ts < max(starts) + dt.timedelta(hours=1))
@@ -126,11 +132,6 @@ def log_of(lake: Lake, hours: Sequence[Row]) -> DataFrame:
     )
 
 
-def log_of_days(lake: Lake, folders: set[str]) -> DataFrame:
-    kept = sorted(folders & set(lake.partitions(SILVER_LOG)))
-    return lake.read_partitions(SILVER_LOG, kept) if kept else lake.read(SILVER_LOG).where("false")
-
-
 def start_of(hour: Row) -> dt.datetime:
     return dt.datetime.combine(hour["event_date"], dt.time(hour["event_hour"]), dt.timezone.utc)
 
@@ -138,8 +139,9 @@ def start_of(hour: Row) -> dt.datetime:
 def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     """Recompute silver and gold of these hours from the log.
 
-    Events of one key share their timestamp, so duplicates never cross hours.  Only the daily table reads more
-    than the touched hours.  The gold tables do not depend on each other and are written side by side.
+    Events of one key share their timestamp, so duplicates never cross hours, and nothing but these hours is read of silver.  The daily
+    table is merged from partial rows per hour, of which only those of these hours are made anew.  Tables that do not depend on each
+    other are written side by side.
 
     Days whose log is no longer whole are left as they are: what is stored of them is all there is.  Gold keeps rows
     longer than silver, so where silver has given up a part of these days, gold is computed from the log.
@@ -154,17 +156,7 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     lake.replace(SILVER, with_hour(lake.unexpired(SILVER, latest), "event_timestamp"))
 
     first_day = min(start_of(h) for h in hours).replace(hour=0)
-    if lake.floor(SILVER) <= first_day:
-        silver = set(lake.partitions(SILVER))
-        stored = {f for f in folders if f.split("/")[0] in silver}
-        if lake.grain == "hour":
-            stored = {f"{d}/{h}" for d in silver & set(days) for h in lake.partitions(SILVER, d)} & stored
-        touched = lake.read_partitions(SILVER, sorted(stored)) if stored else lake.read(SILVER).where("false")
-        whole = sorted(silver & set(days))
-        whole_days = lake.read_partitions(SILVER, whole) if whole else lake.read(SILVER).where("false")
-    else:
-        touched, whole_days = latest, merge.keep_latest(log_of_days(lake, set(days)))
-    touched, whole_days = m.activity(touched), m.activity(whole_days)
+    touched = m.activity(lake.read_partitions(SILVER, folders) if lake.floor(SILVER) <= first_day else latest)
 
     def write(table: Table, rows: DataFrame) -> None:
         lake.replace(table, lake.unexpired(table, rows))
@@ -174,19 +166,21 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
         lambda: write(HOURLY_STATS, with_hour(m.hourly_stats(touched), "hour")),
         lambda: write(TOP_PAGES, with_hour(m.pages_hourly(touched), "hour")),
         lambda: write(LANGUAGES, with_hour(m.languages_hourly(touched), "hour")),
-        lambda: write(TOP_USERS, with_day(m.users_daily(whole_days), "day")),
+        lambda: write(USER_TITLES, with_hour(m.user_titles_hourly(touched), "hour")),
     )
+    parts = lake.read_partitions(USER_TITLES, days).withColumn("day", F.to_date("hour"))
+    write(TOP_USERS, with_day(m.users_daily(parts), "day"))
 
 
 def clear(lake: Lake, hours: Sequence[Row]) -> None:
     """Remove what is stored of these hours after all their rows went from the log; ``rebuild`` only replaces."""
-    left = with_hour(log_of_days(lake, {day_folder(h["event_date"]) for h in hours}), "event_timestamp")
+    left = with_hour(lake.read_partitions(SILVER_LOG, {day_folder(h["event_date"]) for h in hours}), "event_timestamp")
     held = left.select("event_date", "event_hour").distinct().collect()  # hours of the accepted period at most
     held_days = {day_folder(h["event_date"]) for h in held}
     gone = [h for h in hours if start_of(h) >= lake.whole_days_from()]
     folders = {lake.refresh_folder(h) for h in gone} - {lake.refresh_folder(h) for h in held}
     days = {day_folder(h["event_date"]) for h in gone} - held_days
-    for table in (SILVER, *GOLD):
+    for table in (SILVER, *GOLD, USER_TITLES):
         lake.drop(table, sorted(days if table is TOP_USERS else folders | days))
 
 

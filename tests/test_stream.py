@@ -12,7 +12,8 @@ from ripplelake.functions import wire
 from ripplelake.plans import maintain
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TOUCHED,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, SUPERSEDED, TOP_PAGES, TOP_USERS,
+    TOUCHED, USER_TITLES,
 )
 from ripplelake.sources import recent_changes
 from ripplelake.sources.lake import Lake
@@ -231,20 +232,25 @@ def test_replay_changes_nothing(filled, messages):
 
 
 def test_compaction_stopped_half_way(filled, messages, monkeypatch):
+    """Stopped before its commit it has changed nothing, whatever it has written."""
     latest = m.silver_of(m.bronze_of(messages))
     days = [dt.date.fromisoformat(f.split("=")[1]) for f in filled.partitions(SILVER_LOG)]
-    monkeypatch.setattr(filled, "drop", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
-    with pytest.raises(RuntimeError):
-        maintain.compact(filled, days[-1:])
-    monkeypatch.undo()
-    hours = latest.select(F.to_date("event_timestamp").alias("event_date"), F.hour("event_timestamp").alias("event_hour"))
-    rebuild(filled, hours.distinct().collect())
-    assert_equals_batch(filled, messages)
-    maintain.compact(filled, days)
+    before, bronze = filled.log(SILVER_LOG).state(), filled.read(BRONZE).count()
+    with monkeypatch.context() as patched:
+        patched.setattr(filled.log(SILVER_LOG), "commit", lambda make: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            maintain.compact(filled, SILVER_LOG, days[-1:])
+    assert filled.log(SILVER_LOG).state().where == before.where
+    maintain.compact(filled, SILVER_LOG, days)
     assert filled.read(SILVER_LOG).count() == latest.count()
     assert all(len(filled.partitions(SILVER_LOG, f"event_date={d}")) == 1 for d in days)
+    hours = latest.select(F.to_date("event_timestamp").alias("event_date"), F.hour("event_timestamp").alias("event_hour"))
     rebuild(filled, hours.distinct().collect())
     assert_equals_batch(filled, messages)
+    # The deliveries that went are still known by their place.
+    gone = m.silver_rows(m.bronze_of(messages)).select("kafka_offset").subtract(filled.read(SILVER_LOG).select("kafka_offset"))
+    assert gone.count() > 0 and gone.subtract(filled.read(SUPERSEDED).select("kafka_offset")).count() == 0
+    assert filled.read(BRONZE).count() == bronze
 
 
 def test_snapshot(filled, folder):
@@ -383,14 +389,24 @@ def test_shorter_silver_retention_holds(spark, folder, grain):
 
 
 @pytest.mark.parametrize("grain", ["day", "hour"])
-def test_deletes_last(spark, messages, folder, grain):
-    """What was deleted from silver stays away from every table through later batches and a replay."""
+def test_deletes_last(spark, messages, folder, grain, monkeypatch):
+    """What was deleted from silver stays away from every table through later batches, a compaction and a replay."""
     lake = Lake(spark, folder("gone"), grain=grain)
     pipeline = Pipeline(lake)
     pipeline.ingest(wire.with_error(messages), 0)
     silver = m.silver_of(m.bronze_of(messages)).where("user != 'Ann'").cache()
-    maintain.delete_where(lake, SILVER, F.col("user") == "Ann")
-    for again in (lambda: None, lambda: maintain.replay(lake)):
+    if grain == "day":
+        maintain.compact(lake, SILVER_LOG)  # now the log has one delivery of each event, bronze all
+    parsed = []
+    with monkeypatch.context() as patched:
+        patched.setattr(wire, "parse_wire", lambda df, parse=wire.parse_wire: (parsed.append(df.count()), parse(df))[1])
+        count = maintain.delete_where(lake, SILVER, F.col("user") == "Ann")
+    all_rows = m.silver_rows(m.bronze_of(messages)).where("user = 'Ann'")
+    assert count == m.silver_of(m.bronze_of(messages)).where("user = 'Ann'").count()
+    assert parsed == [all_rows.count()]  # of bronze, the deliveries of these events only
+    assert lake.read(BRONZE).count() == m.bronze_of(messages).count() - all_rows.count()
+    compacted = lambda: [maintain.compact(lake, t) for t in (BRONZE, SILVER_LOG, SILVER)]
+    for again in (lambda: None, compacted, lambda: maintain.replay(lake)):
         again()
         same(lake.read(SILVER), silver)
         for table, expected in gold(silver).items():
