@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,13 @@ from ripplelake.functions import wire
 from ripplelake.operators import route
 from ripplelake.plans import maintain
 from ripplelake.plans import medallion as m
+from ripplelake.operators.route import BrokenMessages
 from ripplelake.schema import BRONZE, ERRORS, SILVER, SILVER_LOG, TYPED_EVENTS
 from ripplelake.session import scratch, use_utc
-from ripplelake.sources import messages, recent_changes
+from ripplelake.sources import messages, recent_changes, typed
 from ripplelake.sources.lake import Lake, with_day, with_hour, with_ingest
 from ripplelake.streaming import monitor
-from ripplelake.streaming.native import live_hourly_stats
+from ripplelake.streaming.native import heartbeat, live_hourly_stats
 from ripplelake.streaming.pipeline import Pipeline, TypedPipeline
 
 BATCHES = 3
@@ -71,6 +73,73 @@ def live(spark: SparkSession, sf_dir: str) -> Live:
     return Live(lake, _run(Pipeline(lake).start(stream, f"{root}/checkpoint")))
 
 
+@once
+def live_hours(spark: SparkSession, sf_dir: str) -> Lake:
+    """The same in hours: the second batch comes into days that are full, and only its hours are read again."""
+    root = scratch(spark, "hours")
+    lake = Lake(spark, f"{root}/lake", grain="hour")
+    stream = inbox(spark, recent_changes.recent_changes(spark, sf_dir), f"{root}/inbox", 2)
+    _run(Pipeline(lake).start(stream, f"{root}/checkpoint"))
+    return lake
+
+
+@once
+def with_dead_letters(spark: SparkSession, sf_dir: str) -> Lake:
+    """Broken messages go to a table of their own."""
+    root = scratch(spark, "dead")
+    lake = Lake(spark, f"{root}/lake", grain="day")
+    stream = inbox(spark, recent_changes.recent_changes(spark, sf_dir), f"{root}/inbox", 2)
+    _run(Pipeline(lake, policy="dead_letters", refresh=False).start(stream, f"{root}/checkpoint"))
+    return lake
+
+
+@once
+def failing(spark: SparkSession, sf_dir: str) -> Lake:
+    """Broken messages end the stream; its one batch fails as a whole, twice."""
+    root = scratch(spark, "failing")
+    lake = Lake(spark, f"{root}/lake", grain="day")
+    stream = inbox(spark, recent_changes.recent_changes(spark, sf_dir), f"{root}/inbox", 1)
+    for _ in range(2):
+        query = Pipeline(lake, policy="fail").start(stream, f"{root}/checkpoint").trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            if BrokenMessages.__name__ not in str(e):
+                raise
+    return lake
+
+
+@once
+def deleted(spark: SparkSession, sf_dir: str) -> Lake:
+    """Bots are deleted from silver and, with all their deliveries, from what it is made of; the log was compacted before."""
+    lake = Lake(spark, scratch(spark, "deleted"), grain="day")
+    bronze = m.bronze_of(recent_changes.recent_changes(spark, sf_dir))
+    lake.replace(BRONZE, with_ingest(bronze, "landed"))
+    maintain.replay(lake)
+    maintain.replay(lake, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    maintain.compact(lake, SILVER_LOG)
+    maintain.delete_where(lake, SILVER, F.col("user").like("Bot%"))
+    maintain.replay(lake)
+    events = typed.typed_events(typed.typed_messages(recent_changes.typed_changes(spark, sf_dir)))
+    lake.replace(TYPED_EVENTS, with_day(events.withColumn("batch", F.lit("landed")), "timestamp"))
+    maintain.delete_where(lake, TYPED_EVENTS, F.col("title") == "")
+    maintain.delete_where(lake, TYPED_EVENTS, F.col("user").like("~%"))
+    return lake
+
+
+@once
+def compacted_bronze(spark: SparkSession, sf_dir: str) -> Lake:
+    """Bronze and errors in many small files, some rows of which are deleted, then merged by their bytes."""
+    lake = Lake(spark, scratch(spark, "merged"), grain="day")
+    checked = wire.with_error(recent_changes.recent_changes(spark, sf_dir))
+    for table, rows in ((BRONZE, route.healthy(checked)), (ERRORS, route.broken(checked))):
+        batch = F.format_string("q-%010d", F.col("kafka_offset") % 4)
+        lake.replace(table, with_ingest(rows, "").withColumn("batch", batch))
+        lake.delete(table, lambda df: df.where("kafka_partition = 1"))
+        maintain.compact(lake, table)
+    return lake
+
+
 @once
 def live_typed(spark: SparkSession, sf_dir: str) -> Live:
     root = scratch(spark, "typed")
@@ -111,10 +180,14 @@ def expired(spark: SparkSession, sf_dir: str) -> Lake:
     bronze = route.healthy(checked)
     lake.replace(SILVER, with_hour(m.silver_of(bronze), "event_timestamp"))
     lake.replace(BRONZE, with_ingest(bronze, "landed"))
-    maintain.expire(lake, now, {SILVER.name: 14})
+    events = typed.typed_events(typed.typed_messages(recent_changes.typed_changes(spark, sf_dir)))
+    lake.replace(TYPED_EVENTS, with_day(events.withColumn("batch", F.lit("landed")), "timestamp"))
+    maintain.set_retention(lake, TYPED_EVENTS, 10)
+    maintain.expire(Lake(spark, lake.root, "day"), now, {SILVER.name: 14})
     maintain.delete_ingested_before(lake, BRONZE, now - dt.timedelta(days=7))
     lake.replace(ERRORS, with_ingest(route.broken(checked), "landed"))
     lake.truncate(ERRORS)
+    lake.replace(ERRORS, with_ingest(route.broken(checked).where("kafka_partition = 0"), "after"))
     return lake
 
 
@@ -135,13 +208,17 @@ def resorted_path(spark: SparkSession, sf_dir: str) -> str:
 
 @once
 def native_path(spark: SparkSession, sf_dir: str) -> str:
-    """Results of the low-latency variant for silver rows that arrive together, so none is late."""
+    """Results of the low-latency variant for silver rows that arrive together, so none is late; a heartbeat then closes the last hours."""
     root = scratch(spark, "native")
     rows = m.silver_rows(m.bronze_of(recent_changes.recent_changes(spark, sf_dir)))
     rows.write.parquet(f"{root}/rows")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/rows")
-    writer = live_hourly_stats(stream).writeStream.format("parquet").outputMode("append")
-    _run(writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
+    stats = live_hourly_stats(stream)
+    for at in (None, dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)):
+        if at is not None:
+            heartbeat(spark, rows.schema, at).write.mode("append").parquet(f"{root}/rows")
+        writer = stats.writeStream.format("parquet").outputMode("append")
+        _run(writer.option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint"))
     return f"{root}/out"
 
 

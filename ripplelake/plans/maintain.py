@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from ripplelake.schema import (
     BRONZE, GOLD, SILVER, SILVER_KEY, SILVER_LOG, SILVER_NEWEST, SUPERSEDED, TABLES, TOUCHED, USER_STATS, USER_TITLES, Table,
 )
 from ripplelake.session import scratch
-from ripplelake.sources.commits import File, State
+from ripplelake.sources.commits import Change, File, State
 from ripplelake.sources.lake import PLACE, Lake, day_folder, with_day, with_hour
 from ripplelake.streaming.pipeline import DELETION, Pipeline, rebuild
 
@@ -67,8 +67,9 @@ def expire(
     that day alone until it is wholly too old.
     """
     dropped = {}
-    for name, days in {**RETENTION, **(retention or {})}.items():
+    for name in RETENTION:
         table = TABLES[name]
+        days = (retention or {}).get(name, keep_days(lake, table))
         limit = as_of.astimezone(dt.timezone.utc) - dt.timedelta(days=days)
         # Remembered first: a rebuild must not take a half-expired day for a whole one.
         lake.expire_below(table, limit if exact else dt.datetime.combine(limit.date(), dt.time(), dt.timezone.utc))
@@ -78,6 +79,17 @@ def expire(
     return dropped
 
 
+def set_retention(lake: Lake, table: Table, days: int) -> None:
+    """Change how long a stored table keeps its rows, from the next ``expire`` on and for every later session."""
+    if days < 1:
+        raise ValueError("a table keeps its rows for a day at least")
+    lake.log(table).commit(lambda state: Change(settings={"keep_days": days}, name="retention"))
+
+
+def keep_days(lake: Lake, table: Table) -> int:
+    return lake.log(table).state().settings.get("keep_days", RETENTION[table.name])
+
+
 def _drop_days_before(lake: Lake, table: Table, limit: dt.datetime) -> int:
     old = [p for p in lake.partitions(table) if p < f"{table.partition_names[0]}={limit.date()}"]
     lake.drop(table, old)
@@ -148,6 +160,8 @@ def delete_where(lake: Lake, table: Table, predicate: Column) -> int:
 
 #: Bytes a compacted file should have; files below half of it are merged.
 FILE_BYTES = 512 << 20
+#: Bytes rewritten in one job: enough for a whole cluster, and what is lost if it stops.
+GROUP_BYTES = 1 << 40
 
 
 def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, file_bytes: int = FILE_BYTES) -> int:
@@ -155,7 +169,8 @@ def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, fil
 
     The log of silver also keeps only the latest version of every event; where the others stand in bronze is noted beside it.  Of the tables
     written by batches the newest batch of each query stays as it is: a retry replaces it by its name.  Files are packed into bins by
-    their bytes, and each day is exchanged in one commit: stopped at any point, either the old files count or the new ones.
+    their bytes, and days are taken together up to ``GROUP_BYTES``, each group in one job and one commit: stopped at any point, either the
+    old files of a group count or the new ones.
     """
     column, batched = table.partition_names[0], "batch" in table.partition_names
     wanted = None if days is None else {f"{column}={day}" for day in days}
@@ -166,25 +181,40 @@ def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, fil
         day = f.folder.split("/")[0]
         if (wanted is None or day in wanted) and not (batched and f.folder.split("/")[1].removeprefix("batch=") in newest):
             by_day.setdefault(day, []).append(f)
+    packed: list[list[list[File]]] = []  # bins per day
+    for _, files in sorted(by_day.items()):
+        if table == SILVER_LOG:
+            bins = [files] if len(files) > 1 or files[0].path in state.deleted else []
+        else:
+            bins = [b for home in _homes(files, batched) for b in _bins(home, state, file_bytes)]
+        packed.append(bins)
     replaced = 0
-    for day, files in sorted(by_day.items()):
+    for bins in _groups(packed):
+        chosen = [f for b in bins for f in b]
+        replaced += len(chosen)
         if table == SILVER_LOG:
-            if len(files) > 1 or files[0].path in state.deleted:
-                _merge_log(lake, state, files)
-                replaced += len(files)
+            _merge_log(lake, state, chosen)
             continue
-        bins = [b for home in _homes(files, batched) for b in _bins(home, state, file_bytes)]
-        chosen = [f for b in bins for f in b]
-        if chosen:
-            number = lake.spark.createDataFrame([(f.path, n) for n, b in enumerate(bins) for f in b], "_file string, bin int")
-            rows = lake.scan(table, state, chosen, place=True).join(number, "_file")
-            if batched:
-                rows = rows.withColumn("batch", F.concat(F.lit(f"merged-{uuid.uuid4().hex}-"), "bin"))
-            lake.exchange(table, chosen, rows.repartition(len(bins), "bin"), gather=False, name="compact")
-            replaced += len(chosen)
+        number = lake.spark.createDataFrame([(f.path, n) for n, b in enumerate(bins) for f in b], "_file string, bin int")
+        rows = lake.scan(table, state, chosen, place=True).join(number, "_file")
+        if batched:
+            rows = rows.withColumn("batch", F.concat(F.lit(f"merged-{uuid.uuid4().hex}-"), "bin"))
+        lake.exchange(table, chosen, rows.repartition(len(bins), "bin"), gather=False, name="compact")
     return replaced
 
 
+def _groups(packed: list[list[list[File]]]) -> Iterator[list[list[File]]]:
+    """Bins of whole days until a group has its bytes."""
+    group: list[list[File]] = []
+    for bins in packed:
+        group += bins
+        if sum(f.bytes for b in group for f in b) >= GROUP_BYTES:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def _newest_batches(state: State) -> set[str]:
     """The last batch of each query, by the numbers in their names."""
     last: dict[str, str] = {}
@@ -278,6 +308,23 @@ def partition_counts(lake: Lake, tables: list[Table]) -> DataFrame:
     return lake.spark.createDataFrame(rows, "table string, partitions bigint")
 
 
+def out_of_order(lake: Lake, table: Table, rows: int = 256) -> DataFrame:
+    """Per partition: stretches of a file's rows whose sort key begins before that of the stretch before them ends.
+
+    Stretches are aggregated first, so what is put in order is a row per stretch, not per row.
+    """
+    state = lake.log(table).state()
+    layout = lake.layout(table)
+    key = F.struct(*layout.sort_key)
+    placed = lake.scan(table, state, state.files(), place=True)
+    parts = [*layout.partition_names, PLACE[0]]
+    stretches = placed.groupBy(*parts, F.expr(f"{PLACE[1]} div {rows}").alias("stretch")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    before = F.lag("high").over(Window.partitionBy(*parts).orderBy("stretch"))
+    return stretches.withColumn("before", before).groupBy(*layout.partition_names).agg(
+        F.count_if(F.col("before") > F.col("low")).alias("out_of_order")
+    )
+
+
 def file_bounds(lake: Lake, table: Table) -> DataFrame:
     """One row per file: its partition, rows, bytes and the bounds of its sort columns."""
     columns = [c for c in lake.layout(table).sort_key if c in table.columns.fieldNames()]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplelake.functions import wire
 from ripplelake.functions.scalars import is_anonymous, language_of
-from ripplelake.operators.merge import keep_latest, sum_merge
+from ripplelake.operators.merge import distinct_sketch, keep_latest, merge_sketches, sum_merge
 from ripplelake.operators.route import healthy
 from ripplelake.schema import COMMENT_CHARS, KEPT_TYPES, LATEST_ACCEPTED_DAYS, SILVER
 
@@ -154,6 +155,16 @@ def languages_hourly(rows: DataFrame) -> DataFrame:
     )
 
 
+def sketches_hourly(rows: DataFrame) -> DataFrame:
+    """Who edited what in each hour, as sets that merge: the only distinct counts that add up over hours and sites."""
+    return distinct_sketch(rows, ["hour", "wiki"], {"users_sketch": "user", "pages_sketch": "title"})
+
+
+def distinct_over(sketches: DataFrame, by: Sequence[str] = ("wiki",)) -> DataFrame:
+    """Approximate users and pages over whatever hours are given."""
+    return merge_sketches(sketches, by, {"approx_users": "users_sketch", "approx_pages": "pages_sketch"})
+
+
 def user_totals(events: DataFrame) -> DataFrame:
     """The per-user rollup of the older design."""
     return events.groupBy("user").agg(F.count("*").alias("edits"))

@@ -216,7 +216,8 @@ QUERIES: dict[str, str] = {
     "r2_keep_latest_gold_pages": "SELECT * FROM g3",
     "r3_sum_merge": "SELECT hour, wiki, language, total_edits, bot_edits, human_edits, anonymous_edits, minor_edits, "
     "total_length_delta FROM g1",
-    "r3_merged_sketches": "SELECT wiki, count(DISTINCT user) AS users, true AS within_5_percent FROM silver GROUP BY 1",
+    "r3_merged_sketches": "SELECT wiki, CASE WHEN event_timestamp < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS half, "
+    "count(DISTINCT user) AS approx_users, count(DISTINCT title) AS approx_pages FROM silver GROUP BY 1, 2",
     # 2.7 windows
     "w1_share_of_total": "SELECT bot, count(*) AS cnt, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS pct "
     "FROM wiki_events GROUP BY bot",
@@ -258,7 +259,7 @@ QUERIES: dict[str, str] = {
     "f13_f18_time_buckets": "SELECT event_id, event_timestamp, date_trunc('hour', event_timestamp) AS hour, "
     "date_trunc('minute', event_timestamp) AS minute, date_trunc('second', ingested_at) AS second, "
     "CAST(event_timestamp AS DATE) AS day FROM silver",
-    "f14_now": "SELECT count(*) AS past FROM silver",
+    "f14_now": "SELECT count(*) AS past FROM silver WHERE event_timestamp < TIMESTAMP '2024-01-16'",
     "f19_date_numbers": "SELECT event_id, CAST(strftime(event_timestamp, '%Y%m%d') AS INTEGER) AS yyyymmdd, "
     "CAST(strftime(event_timestamp, '%Y%m') AS INTEGER) AS yyyymm FROM silver",
     "f20_intervals": "SELECT event_id, event_timestamp + INTERVAL 7 DAY AS later, event_timestamp - INTERVAL 90 MINUTE AS earlier FROM silver",
@@ -332,7 +333,10 @@ _LAST_NOON = "TIMESTAMP '2024-01-30 12:00:00'"
 # Tables as the live path, a replay or a maintenance job leaves them.
 QUERIES |= {
     "s07_stream_counters": "SELECT count(*) AS messages_read, count(*) FILTER (error = '') AS sent, "
-    "count(*) FILTER (error <> '') AS skipped FROM messages",
+    "count(*) FILTER (error <> '') AS skipped, (SELECT count(*) FROM silver_log WHERE event_timestamp < ingested_at - INTERVAL 90 DAY) "
+    "AS late, count(*) FILTER (kafka_topic IS NULL) AS failed FROM messages",
+    "s10_failed_messages": "SELECT count(*) FILTER (kafka_topic IS NULL) AS sent, 2 * count(*) AS failed, "
+    "count(*) FILTER (kafka_topic IS NULL) AS batches FROM messages",
     "s16_bronze_sink": "SELECT * FROM bronze",
     "s17_errors_sink": "SELECT * FROM errors",
     "s18_silver_log_sink": "SELECT * FROM silver_log",
@@ -341,6 +345,10 @@ QUERIES |= {
     "s19_users_daily_sink": "SELECT * FROM g2",
     "s19_pages_hourly_sink": "SELECT * FROM g3",
     "s19_languages_hourly_sink": "SELECT * FROM g4",
+    "s19_wiki_hourly_stats_by_hour": "SELECT * FROM g1",
+    "s19_top_users_daily_by_hour": "SELECT * FROM g2",
+    "s19_top_pages_hourly_by_hour": "SELECT * FROM g3",
+    "s19_language_hourly_by_hour": "SELECT * FROM g4",
     "s20b_typed_sink": "SELECT * FROM wiki_events",
     "s20b_typed_errors_sink": "SELECT 'wiki-events' AS kafka_topic, kafka_partition, kafka_offset, "
     "error AS error_message, ingested_at FROM typed WHERE error <> ''",
@@ -349,20 +357,35 @@ QUERIES |= {
     "s21_snapshot": "SELECT * FROM silver",
     "t03_tumbling_windows": "SELECT date_trunc('hour', event_timestamp) AS hour, count(*) AS edits FROM silver GROUP BY 1",
     "t04_watermark_variant_exact": "SELECT hour, wiki, language, total_edits, bot_edits, human_edits, anonymous_edits, "
-    "total_length_delta FROM g1 "
-    "WHERE hour + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM silver) - INTERVAL 2 HOUR",
+    "total_length_delta FROM g1",
     "t09_backfilled_silver": "SELECT * FROM silver",
     "t10_backfilled_hourly_stats": "SELECT * FROM g1",
     "t10_backfilled_users_daily": "SELECT * FROM g2",
     "t11_replayed_pages_hourly": "SELECT * FROM g3",
     "t11_replayed_languages_hourly": "SELECT * FROM g4",
     "r4_compacted_log": "SELECT * FROM silver",
-    "o5_sorted_files": "SELECT count(*) FILTER (event_timestamp IS NULL) AS out_of_order FROM silver",
+    "r4_compacted_bronze": "SELECT * FROM bronze WHERE kafka_partition <> 1",
+    "r4_compacted_errors": "SELECT * FROM errors WHERE kafka_partition <> 1",
+    "o5_sorted_files": "SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS rows, min(event_timestamp) AS first, "
+    "max(event_timestamp) AS last, count(*) FILTER (event_timestamp IS NULL) AS out_of_order FROM silver GROUP BY 1",
+    "o5_key_range": "SELECT * FROM silver WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-12 05:30:00' AND TIMESTAMP '2024-01-12 17:30:00'",
     "o6b_resorted_table": "SELECT * FROM wiki_events",
     "m01_retained_rows": f"SELECT * FROM silver WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 14 DAY",
     "m01_expired_silver": f"SELECT * FROM silver WHERE event_timestamp >= {_LAST_NOON} - INTERVAL 14 DAY",
     "m02_deleted_bronze": f"SELECT * FROM bronze WHERE ingested_at >= {_LAST_NOON} - INTERVAL 7 DAY",
-    "m03_truncated_errors": "SELECT count(*) FILTER (kafka_topic IS NULL) AS total FROM errors",
+    "m02_deleted_silver": "SELECT * FROM silver WHERE user NOT LIKE 'Bot%'",
+    "m02_deleted_silver_in_bronze": "SELECT b.* FROM bronze b WHERE NOT EXISTS (SELECT 1 FROM silver_log l JOIN silver s "
+    "USING (event_timestamp, wiki, event_id) WHERE s.user LIKE 'Bot%' AND l.kafka_partition = b.kafka_partition "
+    "AND l.kafka_offset = b.kafka_offset)",
+    "m02_deleted_silver_in_gold": "SELECT * FROM g2 WHERE user NOT LIKE 'Bot%'",
+    "m02_deleted_typed": "SELECT * FROM wiki_events WHERE title <> '' AND user NOT LIKE '~%'",
+    "m03_truncated_errors": "SELECT * FROM errors WHERE kafka_partition = 0",
+    "m04_changed_retention": f"SELECT * FROM wiki_events WHERE timestamp >= {_LAST_NOON} - INTERVAL 10 DAY",
+    "m05_table_sizes": "SELECT \"table\", total_rows, total_rows > 0 AS has_files, true AS readable FROM (SELECT 'bronze_wiki_events' AS "
+    "\"table\", count(*) AS total_rows FROM bronze UNION ALL SELECT 'bronze_wiki_events_errors', count(*) FROM errors UNION ALL "
+    "SELECT 'silver_wiki_events', count(*) FROM silver UNION ALL SELECT 'gold_wiki_hourly_stats', count(*) FROM g1 UNION ALL "
+    "SELECT 'gold_top_users_daily', count(*) FROM g2 UNION ALL SELECT 'gold_top_pages_hourly', count(*) FROM g3 UNION ALL "
+    "SELECT 'gold_language_hourly', count(*) FROM g4)",
     "m05_table_rows": "SELECT 'bronze_wiki_events' AS \"table\", count(*) AS total_rows FROM bronze UNION ALL "
     "SELECT 'bronze_wiki_events_errors', count(*) FROM errors UNION ALL "
     "SELECT 'silver_wiki_events', count(*) FROM silver UNION ALL "

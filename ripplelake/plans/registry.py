@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,12 +17,13 @@ from ripplelake.plans import lakes, maintain
 from ripplelake.plans import medallion as m
 from ripplelake.plans.oracle import AS_OF, RATE_AS_OF
 from ripplelake.schema import (
-    BRONZE, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, TOP_PAGES, TOP_USERS, TYPED_ERRORS,
-    TYPED_EVENTS, USER_STATS, Table,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, SKETCH_BITS, SKETCHES, TOP_PAGES, TOP_USERS,
+    TYPED_ERRORS, TYPED_EVENTS, USER_STATS, Table,
 )
 from ripplelake.session import use_utc
 from ripplelake.sources import messages, recent_changes, typed
-from ripplelake.streaming import monitor
+from ripplelake.sources.lake import Lake
+from ripplelake.streaming.pipeline import ingest_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,10 +98,25 @@ class Inputs:
         """The tables as the live path leaves them."""
         return lakes.live(self.spark, self.sf_dir)
 
+    def kept(self, table: Table) -> DataFrame:
+        """A stored table with its partition columns, so that time ranges prune."""
+        return self.live.lake.read(table)
+
+    @cached_property
+    def kept_typed(self) -> DataFrame:
+        return lakes.live_typed(self.spark, self.sf_dir).lake.read(TYPED_EVENTS)
+
     def stored(self, *tables: Table) -> dict[str, DataFrame]:
         return {t.name: self.live.lake.read(t) for t in tables}
 
 
+def _past(silver: DataFrame) -> DataFrame:
+    """Rows before a fixed moment, told by the current time: all are moved by what has passed since that moment."""
+    since = F.unix_micros(F.current_timestamp()) - F.unix_micros(F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    moved = F.timestamp_micros(F.unix_micros("event_timestamp") + since)
+    return silver.where(moved < F.current_timestamp()).agg(F.count("*").alias("past"))
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Timestamps as zoneless UTC wall clock times, which is how other engines show them."""
     return df.select(
@@ -164,14 +181,22 @@ def _sum_merged(t: Inputs) -> DataFrame:
     return merge.sum_merge(parts, ["hour", "wiki", "language"], ADDITIVE_STATS)
 
 
-def _sketches_against_exact(t: Inputs) -> DataFrame:
-    """Users per site from merged hourly sketches, next to the exact count."""
+def _merged_sketches(t: Inputs) -> DataFrame:
+    """Users and pages per site and half of the month from the sketches stored with gold, against exact counts.
+
+    The estimates stand as numbers where the error bound is under half a user, else as the exact count if within it.
+    """
+    half = F.when(F.col("hour") < F.lit("2024-01-16").cast("timestamp"), 1).otherwise(2).alias("half")
     rows = m.activity(t.live.lake.read(SILVER))
-    hourly = merge.distinct_sketch(rows, ["hour", "wiki"], "user")
-    exact = rows.groupBy("wiki").agg(F.count_distinct("user").alias("users"))
-    both = merge.merge_sketches(hourly, ["wiki"]).join(exact, "wiki")
-    close = F.abs(F.col("approx_distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * 0.05)
-    return both.select("wiki", "users", close.alias("within_5_percent"))
+    exact = rows.groupBy("wiki", half).agg(F.count_distinct("user").alias("users"), F.count_distinct("title").alias("pages"))
+    stored = t.live.lake.read(SKETCHES).withColumn("half", half)
+    both = m.distinct_over(stored, ["wiki", "half"]).join(exact, ["wiki", "half"])
+
+    def settled(approx: str, name: str) -> Column:
+        bound = F.greatest(F.lit(0.5), F.col(name) * (3 * 0.83 / 2 ** (SKETCH_BITS / 2)))
+        return F.when(F.abs(F.col(approx) - F.col(name)) <= bound, F.col(name)).otherwise(F.col(approx)).cast("bigint").alias(approx)
+
+    return both.select("wiki", "half", settled("approx_users", "users"), settled("approx_pages", "pages"))
 
 
 def _with_stale_versions(df: DataFrame, version: str, measure: str) -> DataFrame:
@@ -207,9 +232,12 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "s08_raw_messages": lambda t: t.stamped.select("kafka_partition", "kafka_offset", "raw_message"),
     "s08b_typed_messages": lambda t: t.wiki_events,
     "s09_record_metadata": lambda t: t.checked.drop("raw_message"),
-    "s10_dead_letters": lambda t: t.errors,
+    "s10_dead_letters": lambda t: lakes.with_dead_letters(t.spark, t.sf_dir).read(DEAD_LETTERS).select(*ERRORS.columns.fieldNames()),
+    "s10_failed_messages": lambda t: ingest_totals(lakes.failing(t.spark, t.sf_dir)).select("sent", "failed", "batches"),
     "s11_broken_budget": lambda t: route.broken_budget(t.checked),
-    "s15_peek": lambda t: messages.peek(t.stamped.select("kafka_partition", "kafka_offset", "raw_message")),
+    "s15_peek": lambda t: messages.peek(
+        reduce(DataFrame.unionByName, [t.live.lake.peek(x).select("kafka_partition", "kafka_offset", "raw_message") for x in (BRONZE, ERRORS)])
+    ),
     # 2.2 projections and filters
     "p01_healthy_route": lambda t: t.bronze.select("kafka_partition", "kafka_offset", "kafka_key", "ingested_at"),
     "p02_error_route": lambda t: t.errors.drop("raw_message"),
@@ -219,8 +247,10 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "p05_flag_equality": lambda t: t.silver.where("user_is_bot = 0 AND user_is_anonymous = 0").select("event_id", "user"),
     "p06_prefix_exclusion": lambda t: t.wiki_events.where(~scalars.is_anonymous("user")).select("user", "timestamp"),
     "p07_positive_delta": lambda t: t.silver.where(F.col("length_delta") > 0).select("event_id", "length_delta"),
-    "p08_trailing_range": lambda t: report.trailing(t.stats, "hour", "24 HOURS", AS_OF),
-    "p09_hour_filter": lambda t: report.between_hours(t.pages, "2024-01-10 06:00:00", "2024-01-12 18:00:00"),
+    "p08_trailing_range": lambda t: report.trailing(t.kept(HOURLY_STATS), "hour", "24 HOURS", AS_OF).drop("event_date"),
+    "p09_hour_filter": lambda t: report.between_hours(
+        t.kept(TOP_PAGES), "2024-01-10 06:00:00", "2024-01-12 18:00:00"
+    ).drop("event_date"),
     "p10_total_alert": lambda t: c.total_edits_alert(t.silver, 1000),
     "p10_busy_hours_alert": lambda t: c.busy_hours_alert(t.stats, 10),
     "p11_preview": lambda t: route.preview(t.errors, 300),
@@ -259,7 +289,7 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
         _with_stale_versions(t.pages, "last_event_at", "edits"), ["hour", "wiki", "title"], ["last_event_at"]
     ),
     "r3_sum_merge": _sum_merged,
-    "r3_merged_sketches": _sketches_against_exact,
+    "r3_merged_sketches": _merged_sketches,
     # 2.7 windows
     "w1_share_of_total": lambda t: report.share_of_total(t.wiki_events, ["bot"]),
     "w1_share_of_users": lambda t: report.share_of_total(t.wiki_events, ["user"]),
@@ -303,7 +333,7 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
         scalars.start_of("second", "ingested_at").alias("second"),
         F.to_date("event_timestamp").alias("day"),
     ),
-    "f14_now": lambda t: t.silver.where(F.col("event_timestamp") < F.current_timestamp()).agg(F.count("*").alias("past")),
+    "f14_now": lambda t: _past(t.silver),
     "f19_date_numbers": lambda t: t.silver.select(
         "event_id",
         scalars.day_number("event_timestamp").alias("yyyymmdd"),
@@ -337,12 +367,12 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "q13_latest_changes": lambda t: c.latest_changes(t.silver),
     "q14_latest_errors": lambda t: c.latest_errors(t.errors),
     "q15_errors_by_type": lambda t: c.errors_by_type(route.broken(t.typed)),
-    "q16_error_trend": lambda t: c.error_trend(t.errors, AS_OF),
-    "q17_hourly_authors": lambda t: c.hourly_authors(t.stats, AS_OF),
-    "q18_hourly_edits": lambda t: c.hourly_edits(t.stats, AS_OF),
-    "q19_top_human_users_gold": lambda t: c.top_human_users_daily(t.users),
-    "q20_language_share": lambda t: c.language_share(t.languages, AS_OF),
-    "q21_top_pages": lambda t: c.top_pages(t.pages, AS_OF),
+    "q16_error_trend": lambda t: c.error_trend(t.kept(ERRORS), AS_OF),
+    "q17_hourly_authors": lambda t: c.hourly_authors(t.kept(HOURLY_STATS), AS_OF),
+    "q18_hourly_edits": lambda t: c.hourly_edits(t.kept(HOURLY_STATS), AS_OF),
+    "q19_top_human_users_gold": lambda t: c.top_human_users_daily(t.kept(TOP_USERS)),
+    "q20_language_share": lambda t: c.language_share(t.kept(LANGUAGES), AS_OF),
+    "q21_top_pages": lambda t: c.top_pages(t.kept(TOP_PAGES), AS_OF),
     "q22b_total_events": lambda t: c.total(t.wiki_events, "total_events"),
     "q23b_top_users": lambda t: c.top_users(t.wiki_events),
     "q24b_bot_share": lambda t: c.bot_share(t.wiki_events),
@@ -350,8 +380,8 @@ TABLE: dict[str, Callable[[Inputs], DataFrame]] = {
     "q26b_latest_minutes": lambda t: c.latest_minutes(t.wiki_events),
     "q27b_registered_users": lambda t: c.registered_users(t.wiki_events),
     "q28b_top_bots": lambda t: c.top_bots(t.wiki_events),
-    "q29b_ingestion_rate": lambda t: c.ingestion_rate(t.wiki_events, RATE_AS_OF),
-    "q30b_processing_lag": lambda t: c.processing_lag(t.wiki_events, RATE_AS_OF),
+    "q29b_ingestion_rate": lambda t: c.ingestion_rate(t.kept_typed, RATE_AS_OF),
+    "q30b_processing_lag": lambda t: c.processing_lag(t.kept_typed, RATE_AS_OF),
     "q31_gold_row_counts": lambda t: report.row_counts(t.stored(*GOLD)),
     "q32_layer_health": lambda t: report.row_counts(t.stored(BRONZE, SILVER, HOURLY_STATS, ERRORS)),
 }
@@ -362,12 +392,32 @@ def _stored(table: Table) -> Callable[[Inputs], DataFrame]:
     return lambda t: t.live.lake.read(table).select(*table.columns.fieldNames())
 
 
+def _by_hour(table: Table) -> Callable[[Inputs], DataFrame]:
+    return lambda t: lakes.live_hours(t.spark, t.sf_dir).read(table).select(*table.columns.fieldNames())
+
+
+def _deleted(table: Table) -> Callable[[Inputs], DataFrame]:
+    return lambda t: lakes.deleted(t.spark, t.sf_dir).read(table).select(*table.columns.fieldNames())
+
+
+def _merged(table: Table) -> Callable[[Inputs], DataFrame]:
+    return lambda t: lakes.compacted_bronze(t.spark, t.sf_dir).read(table).select(*table.columns.fieldNames())
+
+
 def _replayed(table: Table) -> Callable[[Inputs], DataFrame]:
     return lambda t: lakes.replayed(t.spark, t.sf_dir).read(table).select(*table.columns.fieldNames())
 
 
-def _progress(t: Inputs) -> DataFrame:
-    return monitor.progress(t.spark, t.live.reports)
+#: A range of time in the middle of a day, both ends included.
+RANGE = tuple(dt.datetime(2024, 1, 12, h, 30, tzinfo=dt.timezone.utc) for h in (5, 17))
+
+
+def _sorted_files(lake: Lake) -> DataFrame:
+    """Per day, what the bounds of its files say, and how often rows break the sort key, which is never."""
+    bounds = maintain.file_bounds(lake, SILVER).groupBy(F.substring_index("folder", "=", -1).cast("date").alias("event_date")).agg(
+        F.sum("rows").alias("rows"), F.min("low_event_timestamp").alias("first"), F.max("high_event_timestamp").alias("last")
+    )
+    return bounds.join(maintain.out_of_order(lake, SILVER), "event_date")
 
 
 def _sizes(t: Inputs) -> DataFrame:
@@ -376,7 +426,9 @@ def _sizes(t: Inputs) -> DataFrame:
 
 STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     # 2.1 sinks, 2.11 streaming: the tables after all micro-batches
-    "s07_stream_counters": lambda t: monitor.ingestion_status(_progress(t)).select("messages_read", "sent", "skipped"),
+    "s07_stream_counters": lambda t: ingest_totals(t.live.lake).select(
+        (F.col("sent") + F.col("skipped")).alias("messages_read"), "sent", "skipped", "late", "failed"
+    ),
     "s16_bronze_sink": _stored(BRONZE),
     "s17_errors_sink": _stored(ERRORS),
     "s18_silver_log_sink": _stored(SILVER_LOG),
@@ -385,6 +437,7 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "s19_users_daily_sink": _stored(TOP_USERS),
     "s19_pages_hourly_sink": _stored(TOP_PAGES),
     "s19_languages_hourly_sink": _stored(LANGUAGES),
+    **{f"s19_{t.name.removeprefix('gold_')}_by_hour": _by_hour(t) for t in GOLD},
     "s20b_typed_sink": lambda t: lakes.live_typed(t.spark, t.sf_dir).lake.read(TYPED_EVENTS).select(
         *TYPED_EVENTS.columns.fieldNames()
     ),
@@ -412,30 +465,30 @@ STORED: dict[str, Callable[[Inputs], DataFrame]] = {
     "t11_replayed_languages_hourly": _replayed(LANGUAGES),
     # 2.6, 2.8, 2.12 maintenance
     "r4_compacted_log": lambda t: lakes.compacted(t.spark, t.sf_dir).read(SILVER_LOG).select(*SILVER.columns.fieldNames()),
-    "o5_sorted_files": lambda t: _out_of_order(t.live.lake.read(SILVER)),
+    "r4_compacted_bronze": _merged(BRONZE),
+    "r4_compacted_errors": _merged(ERRORS),
+    "o5_sorted_files": lambda t: _sorted_files(t.live.lake),
+    "o5_key_range": lambda t: t.live.lake.read_range(SILVER, "event_timestamp", *RANGE).select(*SILVER.columns.fieldNames()),
     "o6b_resorted_table": lambda t: t.spark.read.parquet(lakes.resorted_path(t.spark, t.sf_dir)).select(
         *TYPED_EVENTS.columns.fieldNames()
     ),
     "m01_retained_rows": lambda t: maintain.retained(t.silver, SILVER, AS_OF, 14),
     "m01_expired_silver": lambda t: lakes.expired(t.spark, t.sf_dir).read(SILVER).select(*SILVER.columns.fieldNames()),
     "m02_deleted_bronze": lambda t: lakes.expired(t.spark, t.sf_dir).read(BRONZE).select(*BRONZE.columns.fieldNames()),
-    "m03_truncated_errors": lambda t: c.total(lakes.expired(t.spark, t.sf_dir).read(ERRORS)),
-    "m05_table_sizes": _sizes,
+    "m02_deleted_silver": _deleted(SILVER),
+    "m02_deleted_silver_in_bronze": _deleted(BRONZE),
+    "m02_deleted_silver_in_gold": _deleted(TOP_USERS),
+    "m02_deleted_typed": _deleted(TYPED_EVENTS),
+    "m03_truncated_errors": lambda t: lakes.expired(t.spark, t.sf_dir).read(ERRORS).select(*ERRORS.columns.fieldNames()),
+    "m04_changed_retention": lambda t: lakes.expired(t.spark, t.sf_dir).read(TYPED_EVENTS).select(*TYPED_EVENTS.columns.fieldNames()),
+    "m05_table_sizes": lambda t: _sizes(t).select(
+        "table", "total_rows", (F.col("files") > 0).alias("has_files"), F.col("size").rlike(r"^[0-9]+\.[0-9]{2} (B|[KMG]iB)$").alias("readable")
+    ),
     "m05_table_rows": lambda t: _sizes(t).select("table", "total_rows"),
     "m06_partition_counts": lambda t: maintain.partition_counts(t.live.lake, [SILVER, *GOLD]),
 }
 
 
-def _out_of_order(stored: DataFrame) -> DataFrame:
-    """Rows per file that break the sort key, which is none."""
-    key = F.struct(*SILVER.sort_key)
-    rows = stored.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("position"), key.alias("key")
-    )
-    previous = F.lag("key").over(Window.partitionBy("file").orderBy("position"))
-    return rows.withColumn("previous", previous).agg(F.count_if(F.col("previous") > F.col("key")).alias("out_of_order"))
-
-
 TABLE |= STORED
 
 

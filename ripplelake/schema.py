@@ -236,9 +236,44 @@ DEAD_LETTERS = Table(
     "dead_letter_queue", ERRORS.columns, BY_INGEST, ("kafka_topic", "kafka_partition", "kafka_offset"), "ingested_at", 30
 )
 
+#: What each batch of a stream took in; a batch that is tried again replaces its row.
+INGEST_TOTALS = Table(
+    "ingest_totals",
+    _columns("query string, sent bigint, skipped bigint, late bigint, ingested_at timestamp"),
+    BY_INGEST,
+    ("query", "ingested_at"),
+    "ingested_at",
+    365,
+)
+
+#: Tries of a batch that ended with an error, with the messages they failed to store.
+INGEST_FAILURES = Table(
+    "ingest_failures",
+    _columns("query string, failed bigint, error string, ingested_at timestamp"),
+    BY_INGEST,
+    ("query", "ingested_at"),
+    "ingested_at",
+    365,
+)
+
+#: Sets of users and pages per hour and site that merge over any range, as sketches of 2^SKETCH_BITS slots.
+SKETCHES = Table(
+    "gold_distinct_sketches_hourly",
+    T.StructType([
+        T.StructField("hour", T.TimestampType()), T.StructField("wiki", T.StringType()),
+        T.StructField("users_sketch", T.BinaryType()), T.StructField("pages_sketch", T.BinaryType()),
+    ]),
+    BY_HOUR,
+    ("hour", "wiki"),
+    "hour",
+    365,
+)
+SKETCH_BITS = 14
+
 TABLES = {
     t.name: t
     for t in (
         BRONZE, ERRORS, SILVER_LOG, SUPERSEDED, TOUCHED, SILVER, *GOLD, USER_TITLES, TYPED_EVENTS, TYPED_ERRORS, USER_STATS, DEAD_LETTERS,
+        INGEST_TOTALS, INGEST_FAILURES, SKETCHES,
     )
 }

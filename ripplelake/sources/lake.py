@@ -7,6 +7,7 @@ import threading
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import replace
+from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -95,6 +96,35 @@ class Lake:
             rows = rows if bound is None else rows.where(keep(F.lit(bound)))
         return rows
 
+    def peek(self, table: Table, n: int = 5) -> DataFrame:
+        """The ``n`` rows that are first by partition and offset.
+
+        Bounds of the files say which can hold them: of the first partition those with the lowest offsets, up to the offset at which the next file
+        begins; more only where these hold too few.  Neither the table nor a partition of it is sorted.
+        """
+        state, found = self.log(table).state(), []
+        files = state.files()
+        spans = {f.path: f.bounds.get("kafka_partition", (0, 0)) for f in files}
+        wanted, missing = min((s[0] for s in spans.values()), default=0), n
+        while missing > 0 and wanted <= max((s[1] for s in spans.values()), default=-1):
+            able = sorted((f for f in files if f.may_hold("kafka_partition", wanted, wanted)), key=lambda f: f.bounds["kafka_offset"][0])
+            take = 1
+            while able:
+                while take < len(able) and sum(f.rows for f in able[:take]) < missing:
+                    take += 1
+                rows = self.scan(table, state, able[:take]).where(F.col("kafka_partition") == wanted)
+                if take < len(able):
+                    rows = rows.where(F.col("kafka_offset") < able[take].bounds["kafka_offset"][0])
+                rows = rows.orderBy("kafka_offset").limit(missing)
+                count = rows.count()
+                if count == missing or take == len(able):
+                    found.append(rows)
+                    missing -= count
+                    break
+                take = min(2 * take, len(able))
+            wanted += 1
+        return reduce(DataFrame.unionByName, found) if found else self.scan(table, state, [])
+
     def scan(self, table: Table, state: State, files: list[File], place: bool = False) -> DataFrame:
         """Rows of these files that are not deleted, with their place on demand."""
         layout, log = self.layout(table), self.log(table)

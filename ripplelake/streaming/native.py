@@ -5,12 +5,33 @@ Unlike the recomputed gold tables it drops rows later than ``delay`` and estimat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ripplelake.schema import SILVER_KEY, SILVER_NEWEST
 
 
+#: Type of the rows that only say how late it is.
+HEARTBEAT = "heartbeat"
+
+
+def heartbeat(spark: SparkSession, schema: T.StructType, at: dt.datetime) -> DataFrame:
+    """A row that tells a quiet stream the time, so that hours before ``at`` less the delay are closed; it is not counted itself."""
+    row = {"event_type": HEARTBEAT, "event_timestamp": at}
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    return spark.createDataFrame([tuple(row.get(f.name) for f in schema.fields)], nullable)
+
+
+def dropped_late(reports: list[str]) -> int:
+    """Rows that came after their hour was closed, from the reports of a query's batches."""
+    operators = [o for r in reports for o in json.loads(r).get("stateOperators", [])[-1:]]
+    return sum(o.get("numRowsDroppedByWatermark", 0) for o in operators)
+
+
 def live_hourly_stats(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
     """``rows`` is a stream of accepted deliveries; results come out once an hour is closed.
 
@@ -19,7 +40,10 @@ def live_hourly_stats(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
     """
     kept = F.struct("language", "user", "title", "user_is_bot", "user_is_anonymous", "length_delta")
     latest = F.max_by(kept, F.struct(*SILVER_NEWEST)).alias("event")
-    once = rows.withWatermark("event_timestamp", delay).groupBy(*SILVER_KEY).agg(latest)
+    marked = rows.withWatermark("event_timestamp", delay)
+    # A condition on the time itself stays above the watermark, which heartbeats are there to move.
+    events = marked.where((F.col("event_type") != HEARTBEAT) | F.col("event_timestamp").isNull())
+    once = events.groupBy(*SILVER_KEY).agg(latest)
     flat = once.select("event_timestamp", "wiki", "event.*")
     stats = flat.groupBy(F.window("event_timestamp", "1 hour"), "wiki", "language").agg(
         F.count("*").alias("total_edits"),

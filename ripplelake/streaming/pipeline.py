@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -16,7 +18,7 @@ from ripplelake.functions import wire
 from ripplelake.operators import merge, route
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, INGEST_FAILURES, INGEST_TOTALS, LANGUAGES, SILVER, SILVER_LOG, SKETCHES,
     TOP_PAGES, TOP_USERS, TOUCHED, TYPED_ERRORS, TYPED_EVENTS, USER_STATS, USER_TITLES, Table,
 )
 from ripplelake.sources import typed
@@ -34,6 +36,19 @@ def batch_name(df: DataFrame, batch_id: int) -> str:
     return f"{query or 'batch'}-{batch_id:010d}"
 
 
+def query_of(name: str) -> str:
+    return name.rpartition("-")[0]
+
+
+def ingest_totals(lake: Lake) -> DataFrame:
+    """Messages sent, skipped, too late and failed per query, over all batches of its life; from stored rows, one per batch."""
+    taken = lake.read(INGEST_TOTALS).select("query", "sent", "skipped", "late", F.lit(0).cast("bigint").alias("failed"), F.lit(1).alias("n"))
+    failed = lake.read(INGEST_FAILURES).select("query", *[F.lit(0).cast("bigint").alias(c) for c in ("sent", "skipped", "late")], "failed", F.lit(0).alias("n"))
+    return taken.unionByName(failed).groupBy("query").agg(
+        *[F.sum(c).alias(c) for c in ("sent", "skipped", "late", "failed")], F.sum("n").alias("batches")
+    )
+
+
 class Pipeline:
     """Ingests message batches into a lake.
 
@@ -61,6 +76,25 @@ class Pipeline:
 
     def ingest(self, checked: DataFrame, batch_id: int) -> None:
         """Write one batch.  Safe to repeat: every table write replaces the partitions of this batch."""
+        try:
+            self._ingest(checked, batch_id)
+        except Exception as e:
+            self._note_failure(checked, batch_id, e)
+            raise
+        if self.refresh:
+            self.refresh_touched()
+
+    def _note_failure(self, checked: DataFrame, batch_id: int, error: Exception) -> None:
+        """Every try that ended with an error counts the messages it did not store.  Failing to note it must not hide the error."""
+        name = batch_name(checked, batch_id)
+        text = f"{type(error).__name__}: {error}"[:300]
+        with suppress(Exception):
+            row = checked.agg(F.count("*").alias("failed"), F.max("ingested_at").alias("ingested_at")).select(
+                F.lit(query_of(name)).alias("query"), "failed", F.lit(text).alias("error"), "ingested_at"
+            )
+            self.lake.replace(INGEST_FAILURES, with_ingest(row.where("failed > 0"), f"{name}-{uuid.uuid4().hex}"))
+
+    def _ingest(self, checked: DataFrame, batch_id: int) -> None:
         name = batch_name(checked, batch_id)
         parsed = wire.parse_wire(checked).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -75,20 +109,23 @@ class Pipeline:
             errors = route.broken(parsed).unionByName(route.broken(late))
             fresh = rows.where(in_time).withColumn("batch", F.lit(name))
             bronze = good.select(*BRONZE.columns.fieldNames())
+            taken = parsed.agg(*_totals(), F.max("ingested_at").alias("ingested_at")).where("sent + skipped > 0")
+            totals = taken.select(
+                F.lit(query_of(name)).alias("query"), "sent", "skipped", late.agg(F.count("*")).scalar().alias("late"), "ingested_at"
+            )
             side_by_side(
                 self.lake.spark,
                 # One day, or two around midnight: the raw texts are written where they were read.
                 lambda: self.lake.replace(BRONZE, with_ingest(bronze, name), gather=False),
                 lambda: self.lake.replace(self.errors, with_ingest(errors, name)),
                 lambda: self.lake.replace(SILVER_LOG, with_day(fresh, "event_timestamp")),
+                lambda: self.lake.replace(INGEST_TOTALS, with_ingest(totals, name)),
             )
             # Marked last: a refresh running elsewhere must not take up a mark before its rows are there.
             hours = with_hour(fresh.select("event_timestamp", "batch"), "event_timestamp")
             self.lake.replace(TOUCHED, hours.select(*TOUCHED.stored.fieldNames()).distinct())
         finally:
             parsed.unpersist()
-        if self.refresh:
-            self.refresh_touched()
 
     def refresh_touched(self) -> int:
         """Bring silver and gold up to date with the log; returns the number of hours rebuilt.
@@ -166,6 +203,7 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
         lambda: write(HOURLY_STATS, with_hour(m.hourly_stats(touched), "hour")),
         lambda: write(TOP_PAGES, with_hour(m.pages_hourly(touched), "hour")),
         lambda: write(LANGUAGES, with_hour(m.languages_hourly(touched), "hour")),
+        lambda: write(SKETCHES, with_hour(m.sketches_hourly(touched), "hour")),
         lambda: write(USER_TITLES, with_hour(m.user_titles_hourly(touched), "hour")),
     )
     parts = lake.read_partitions(USER_TITLES, days).withColumn("day", F.to_date("hour"))
@@ -180,7 +218,7 @@ def clear(lake: Lake, hours: Sequence[Row]) -> None:
     gone = [h for h in hours if start_of(h) >= lake.whole_days_from()]
     folders = {lake.refresh_folder(h) for h in gone} - {lake.refresh_folder(h) for h in held}
     days = {day_folder(h["event_date"]) for h in gone} - held_days
-    for table in (SILVER, *GOLD, USER_TITLES):
+    for table in (SILVER, *GOLD, SKETCHES, USER_TITLES):
         lake.drop(table, sorted(days if table is TOP_USERS else folders | days))
 
 

@@ -79,8 +79,8 @@ def test_sum_merge_refuses_distinct_counts(spark):
 
 def test_sketches_merge(spark):
     rows = spark.range(20000).select((F.col("id") % 2).alias("part"), F.expr("id % 3").alias("k"), (F.col("id") % 5000).alias("u"))
-    parts = merge.distinct_sketch(rows, ["k", "part"], "u")
-    merged = merge.merge_sketches(parts, ["k"]).collect()
+    parts = merge.distinct_sketch(rows, ["k", "part"], {"sketch": "u"})
+    merged = merge.merge_sketches(parts, ["k"], {"approx_distinct": "sketch"}).collect()
     exact = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count_distinct("u").alias("n")).collect()}
     assert all(abs(r["approx_distinct"] - exact[r["k"]]) <= 0.05 * exact[r["k"]] for r in merged)
 

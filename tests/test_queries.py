@@ -8,7 +8,7 @@ import __spark_entry__ as entry_point
 from ripplelake.plans import oracle, registry
 
 QUERIES, SQL = registry.queries(), oracle.oracle_sql()
-ROWS_ONLY = {"m05_table_sizes", "t04_watermark_variant"}
+ROWS_ONLY = {"t04_watermark_variant"}
 
 SLOW_STEPS = ["BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
