@@ -183,7 +183,8 @@ def rebuild(lake: Lake, hours: Sequence[Row]) -> None:
     Days whose log is no longer whole are left as they are: what is stored of them is all there is.  Gold keeps rows
     longer than silver, so where silver has given up a part of these days, gold is computed from the log.
     """
-    hours = [h for h in hours if start_of(h) >= lake.whole_days_from()]
+    whole = lake.whole_days_from()
+    hours = [h for h in hours if start_of(h) >= whole]
     if not hours:
         return
     folders = sorted({lake.refresh_folder(h) for h in hours})
@@ -215,7 +216,8 @@ def clear(lake: Lake, hours: Sequence[Row]) -> None:
     left = with_hour(lake.read_partitions(SILVER_LOG, {day_folder(h["event_date"]) for h in hours}), "event_timestamp")
     held = left.select("event_date", "event_hour").distinct().collect()  # hours of the accepted period at most
     held_days = {day_folder(h["event_date"]) for h in held}
-    gone = [h for h in hours if start_of(h) >= lake.whole_days_from()]
+    whole = lake.whole_days_from()
+    gone = [h for h in hours if start_of(h) >= whole]
     folders = {lake.refresh_folder(h) for h in gone} - {lake.refresh_folder(h) for h in held}
     days = {day_folder(h["event_date"]) for h in gone} - held_days
     for table in (SILVER, *GOLD, SKETCHES, USER_TITLES):
