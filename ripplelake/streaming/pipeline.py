@@ -109,10 +109,7 @@ class Pipeline:
             errors = route.broken(parsed).unionByName(route.broken(late))
             fresh = rows.where(in_time).withColumn("batch", F.lit(name))
             bronze = good.select(*BRONZE.columns.fieldNames())
-            taken = parsed.agg(*_totals(), F.max("ingested_at").alias("ingested_at")).where("sent + skipped > 0")
-            totals = taken.select(
-                F.lit(query_of(name)).alias("query"), "sent", "skipped", late.agg(F.count("*")).scalar().alias("late"), "ingested_at"
-            )
+            totals = self.totals(parsed, late, name)
             side_by_side(
                 self.lake.spark,
                 # One day, or two around midnight: the raw texts are written where they were read.
@@ -127,6 +124,14 @@ class Pipeline:
         finally:
             parsed.unpersist()
 
+    @staticmethod
+    def totals(checked: DataFrame, late: DataFrame, name: str) -> DataFrame:
+        """What a batch took in, as the row that is stored for it."""
+        taken = checked.agg(*_totals(), F.max("ingested_at").alias("ingested_at")).where("sent + skipped > 0")
+        return taken.select(
+            F.lit(query_of(name)).alias("query"), "sent", "skipped", late.agg(F.count("*")).scalar().alias("late"), "ingested_at"
+        )
+
     def refresh_touched(self) -> int:
         """Bring silver and gold up to date with the log; returns the number of hours rebuilt.
 

@@ -34,6 +34,17 @@ def test_top_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan_of(catalogue.top_human_users(registry.Inputs(spark, SMALL).silver))
 
 
+@pytest.mark.parametrize("name, column", [
+    ("p08_trailing_range", "event_date"), ("p09_hour_filter", "event_date"), ("q16_error_trend", "ingest_date"),
+    ("q17_hourly_authors", "event_date"), ("q18_hourly_edits", "event_date"), ("q20_language_share", "event_date"),
+    ("q21_top_pages", "event_date"),
+])
+def test_dashboards_prune_days(spark, name, column):
+    plan = plan_of(registry.queries()[name](spark, SMALL))
+    pruned = plan[plan.index("PartitionFilters: [") :].split("], ")[0]
+    assert f"{column}#" in pruned and (">=" in pruned)
+
+
 @pytest.fixture(scope="module")
 def stored(spark):
     return lakes.replayed(spark, SMALL)

@@ -30,14 +30,13 @@ def one(spark, **changes):
 def test_full_event(spark):
     r = one(spark).asDict()
     assert r == {
-        "event_id": 1234567890, "event_uuid": "a1b2c3d4-e5f6-7890-abcd-ef1234567890", "event_type": "edit",
-        "namespace": 0, "title": "Python (programming language)", "page_id": 23862, "user": "TestUser",
-        "user_is_bot": 0, "user_is_anonymous": 0, "wiki": "enwiki", "language": "en", "domain": "en.wikipedia.org",
-        "comment": "Fixed typo in intro section", "is_minor": 1, "is_patrolled": 0, "length_old": 5000,
-        "length_new": 5050, "length_delta": 50, "revision_old": 123456, "revision_new": 123457,
+        "event_id": 70011, "event_uuid": "event-70011", "event_type": "edit", "namespace": 4, "title": "Harbour lights",
+        "page_id": 512, "user": "Ann", "user_is_bot": 0, "user_is_anonymous": 0, "wiki": "dewiki", "language": "de",
+        "domain": "de.example.org", "comment": "two sources more", "is_minor": 1, "is_patrolled": 0, "length_old": 900,
+        "length_new": 860, "length_delta": -40, "revision_old": 41, "revision_new": 42,
         "event_timestamp": r["event_timestamp"], "ingested_at": r["ingested_at"], "kafka_partition": 0, "kafka_offset": 0,
     }
-    assert r["event_timestamp"].astimezone(dt.timezone.utc) == dt.datetime(2024, 10, 7, 12, 40, tzinfo=dt.timezone.utc)
+    assert r["event_timestamp"].astimezone(dt.timezone.utc) == dt.datetime(2024, 10, 7, 13, 20, tzinfo=dt.timezone.utc)
 
 
 def test_schema(spark):
@@ -136,7 +135,7 @@ def test_offset_breaks_ties(spark):
 
 
 def test_other_timestamp_or_site_is_another_row(spark):
-    found = m.silver_of(m.bronze_of(stamped(spark, [FULL, {**FULL, "timestamp": 1728304801}, {**FULL, "wiki": "dewiki"}])))
+    found = m.silver_of(m.bronze_of(stamped(spark, [FULL, {**FULL, "timestamp": 1728307201}, {**FULL, "wiki": "enwiki"}])))
     assert found.count() == 3
 
 

@@ -1,6 +1,7 @@
 """However the messages arrive, the stored tables equal the batch result."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -8,18 +9,20 @@ from conftest import FULL, SMALL, stamped
 from pyspark.sql import functions as F
 
 from ripplelake.operators.route import BrokenMessages
+from ripplelake import session
 from ripplelake.functions import wire
 from ripplelake.plans import maintain
 from ripplelake.plans import medallion as m
 from ripplelake.schema import (
-    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, LANGUAGES, SILVER, SILVER_LOG, SUPERSEDED, TOP_PAGES, TOP_USERS,
-    TOUCHED, USER_TITLES,
+    BRONZE, DEAD_LETTERS, ERRORS, GOLD, HOURLY_STATS, INGEST_FAILURES, INGEST_TOTALS, LANGUAGES, SILVER, SILVER_LOG, SUPERSEDED, TOP_PAGES, TOP_USERS,
+    TOUCHED,
 )
 from ripplelake.sources import recent_changes
-from ripplelake.sources.lake import Lake
+
+from ripplelake.sources.lake import Lake, with_ingest
 from ripplelake.streaming import monitor
-from ripplelake.streaming.native import live_hourly_stats
-from ripplelake.streaming.pipeline import Pipeline, rebuild
+from ripplelake.streaming.native import dropped_late, heartbeat, live_hourly_stats
+from ripplelake.streaming.pipeline import Pipeline, batch_name, ingest_totals, rebuild
 
 START = 1728302400  # 2024-10-07 12:00:00
 
@@ -415,13 +418,122 @@ def test_deletes_last(spark, messages, folder, grain, monkeypatch):
         maintain.delete_where(lake, TOP_USERS, F.lit(True))
 
 
-def test_totals_of_many_batches(spark):
-    log = monitor.ProgressLog(keep=10)
-    for batch in [*range(150), 149, 3]:
-        seen = {"ingest": {"sent": batch, "skipped": 1}}
-        log.add(
-            '{"id": "q", "name": "ingest", "batchId": %d, "timestamp": "2024-10-07T12:00:00.000Z", "numInputRows": %d, '
-            '"observedMetrics": %s}' % (batch, batch + 1, str(seen).replace("'", '"'))
-        )
-    row = log.totals(spark).first()
-    assert (row["batches"], row["messages_read"], row["sent"], row["skipped"]) == (150, 11325, 11175, 150)
+def test_totals_of_many_batches(spark, folder):
+    """More batches than Spark reports, a restart and a second try of one: the stored rows give exact totals, whatever Spark still reports."""
+    lake = Lake(spark, folder("totals"), grain="day")
+    inbox, checkpoint = folder("inbox"), folder("cp")
+    rows = [json.dumps(e) for e in edits(*[(i, i) for i in range(200)])] + ["{broken"] * 10
+    texts = spark.createDataFrame([(n % 105, t, n) for n, t in enumerate(rows)], "file int, raw_message string, n int")
+    empty = stamped(spark, [FULL])
+    envelope = texts.select(
+        "raw_message", F.lit("t").alias("kafka_topic"), F.lit(0).cast("bigint").alias("kafka_partition"), F.col("n").cast("bigint").alias("kafka_offset"),
+        F.lit(NOON).cast("timestamp").alias("kafka_timestamp"), F.lit("").alias("kafka_key"), F.lit(NOON).cast("timestamp").alias("ingested_at"), "file",
+    )
+    envelope.repartition(105, "file").sortWithinPartitions("file").drop("file").write.option("maxRecordsPerFile", 2).parquet(inbox)
+    source = spark.readStream.schema(empty.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+
+    class Counting(Pipeline):  # only the counters of each batch
+        def _ingest(self, checked, batch_id):
+            if batch_id == 40 and not stopped:
+                stopped.append(batch_id)
+                raise RuntimeError("lost")
+            self.take_in(checked, batch_id)
+
+        def take_in(self, checked, batch_id):
+            name = batch_name(checked, batch_id)
+            self.lake.replace(INGEST_TOTALS, with_ingest(self.totals(checked, checked.where("false"), name), name), gather=False)
+
+    stopped = []
+    pipeline = Counting(lake, refresh=False)
+    with pytest.raises(Exception):
+        run(pipeline, source, checkpoint)
+    query = run(pipeline, source, checkpoint)
+    row = ingest_totals(lake).first()
+    assert (row["sent"], row["skipped"], row["late"]) == (200, 10, 0)
+    assert row["batches"] == len(lake.partitions(INGEST_TOTALS, "ingest_date=2024-10-07")) >= 105
+    assert row["failed"] > 0 and stopped == [40]
+    assert sum(p["numInputRows"] for p in query.recentProgress) < 210  # what Spark remembers is not all
+
+
+def test_failed_messages_are_counted(spark, messages, folder):
+    lake = Lake(spark, folder("failed"), grain="day")
+    checked = wire.with_error(messages)
+    for _ in range(2):
+        with pytest.raises(BrokenMessages):
+            Pipeline(lake, policy="fail").ingest(checked, 7)
+    Pipeline(lake, refresh=False).ingest(checked, 7)
+    row = ingest_totals(lake).first()
+    n = messages.count()
+    assert (row["query"], row["sent"], row["skipped"], row["failed"], row["batches"]) == ("batch", n - 3, 3, 2 * n, 1)
+    assert lake.read(INGEST_FAILURES).first()["error"].startswith("BrokenMessages")
+
+
+# Peeking, rate limits, positions, late rows
+
+
+def test_peek_opens_few_files(spark, folder, monkeypatch):
+    lake = Lake(spark, folder("peek"), grain="day")
+    offsets = list(range(400))
+    random.Random(2).shuffle(offsets)
+    every = spark.range(2000).select(
+        F.lit("x").alias("raw_message"), F.lit("t").alias("kafka_topic"), F.expr("IF(id < 3, 0L, 1 + id % 4)").alias("kafka_partition"),
+        F.col("id").alias("kafka_offset"), F.lit(NOON).cast("timestamp").alias("kafka_timestamp"), F.lit("").alias("kafka_key"),
+        F.lit(NOON).cast("timestamp").alias("ingested_at"),
+    )
+    batch = F.format_string("q-%010d", F.expr("kafka_offset div 100"))
+    lake.replace(BRONZE, with_ingest(every, "").withColumn("batch", batch))
+    assert len(lake.log(BRONZE).state().files()) >= 20
+    opened, scan = [], lake.scan
+    monkeypatch.setattr(lake, "scan", lambda t, s, files, place=False: (opened.append(len(files)), scan(t, s, files, place))[1])
+    found = lake.peek(BRONZE, 5)
+    assert [(r.kafka_partition, r.kafka_offset) for r in found.orderBy("kafka_partition", "kafka_offset").collect()] == [
+        (0, 0), (0, 1), (0, 2), (1, 4), (1, 8)
+    ]
+    assert sum(opened) <= 6  # of twenty
+    assert "Exchange rangepartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert Lake(spark, folder("none")).peek(BRONZE).count() == 0
+    assert lake.peek(BRONZE, 3000).count() == 2000
+
+
+def test_rate_limit_and_positions(spark, folder):
+    """Batches stay below the limit; the group that has read everything goes on from there, another one reads all again."""
+    inbox, group = folder("inbox"), folder("group")
+    made = stamped(spark, [FULL] * 12)
+    made.repartition(6).write.parquet(inbox)
+
+    def read(checkpoint, limit):
+        source = spark.readStream.schema(made.schema).option("maxFilesPerTrigger", limit).parquet(inbox)
+        sizes = []
+        query = source.writeStream.foreachBatch(lambda df, n: sizes.append(df.count())).option("checkpointLocation", checkpoint)
+        query.trigger(availableNow=True).start().awaitTermination()
+        return sizes
+
+    seen = read(group, 2)
+    assert sum(seen) == 12 and max(seen) <= 4 and len(seen) == 3
+    assert read(group, 2) == []
+    made.limit(1).coalesce(1).write.mode("append").parquet(inbox)
+    assert read(group, 2) == [1]
+    assert sum(read(folder("other"), 4)) == 13
+
+
+def test_heartbeats_close_hours_and_late_rows_are_counted(spark, folder):
+    rows = m.silver_rows(m.bronze_of(stamped(spark, edits(*[(i, 60 * i) for i in range(300)]))))
+    path, out, checkpoint = folder("rows"), folder("out"), folder("cp")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, session.CLUSTER[provider])
+    reports = []
+    try:
+        last = dt.datetime(2030, 1, 1, tzinfo=dt.timezone.utc)
+        late = rows.where("event_id < 5").withColumn("event_id", F.col("event_id") + 1000)
+        for n, part in enumerate((rows, heartbeat(spark, rows.schema, last), late)):
+            part.coalesce(1).write.mode("append").parquet(path)
+            stream = live_hourly_stats(spark.readStream.schema(rows.schema).parquet(path))
+            writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+            query = writer.trigger(availableNow=True).start()
+            query.awaitTermination()
+            reports += monitor.reports_of(query)
+            closed = spark.read.schema("hour timestamp, total_edits bigint").parquet(out).agg(F.sum("total_edits")).first()[0] or 0
+            assert closed < 300 if n == 0 else closed == 300
+    finally:
+        spark.conf.unset(provider)
+    assert dropped_late(reports) == 5
