@@ -8,7 +8,7 @@ The fit sees a bounded sample of the labelled rows: at most ``sample_rows`` of e
 their doc_id, so it does not depend on the partitioning.  It runs in one task over their features only (a few MB at any size of
 the corpus).  Scoring covers all rows.
 
-Nulls: a null text has no feature and gets the score of an empty text.  Rows of ``labels`` with a null doc_id or label are not
+Nulls: a null text has no feature and gets the score of an empty text; a row without a doc_id is not held out, and not learned from.  Rows of ``labels`` with a null doc_id or label are not
 used.  Empty tables: without labels every score is 0.5; without documents no row.  Repeated rows are scored alike.
 """
 
@@ -83,7 +83,7 @@ def fit(rows: list[tuple[int, np.ndarray]], places: int = PLACES, rounds: int =
 
 
 def held_out(doc_id) -> F.Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:

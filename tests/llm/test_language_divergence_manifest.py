@@ -13,7 +13,7 @@ from conftest import SMALL
 from oracle_check import connect, difference
 
 import __spark_entry__ as entry_point
-from ripplelake.llm import divergence, language, manifest
+from ripplelake.llm import divergence, language, manifest, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree string, pos int, id int, n int, term string, value int"
 
@@ -273,3 +273,10 @@ def test_places_in_the_log():
             for level, row in enumerate(nodes):
                 for i, node in enumerate(row):
                     assert log[manifest.place(level, i, n, height)] == node
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    docs = table(spark, [(i, "a b", "en", "s", 1) for i in (None, 1, 2, 3, None)])
+    marks = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    found = collections.Counter((r.doc_id, r.held_out) for r in toxicity.report(docs, marks).collect())
+    assert found == {(None, False): 2, **{(i, zlib.crc32(str(i).encode()) % 3 == 1): 1 for i in (1, 2, 3)}}
