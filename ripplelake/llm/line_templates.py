@@ -100,7 +100,8 @@ def drops(docs: DataFrame, least: int, spare_copies: bool) -> DataFrame:
     is_first = F.col("h") == F.col("first.h")
     if not spare_copies:
         is_first &= F.col("doc_id") == F.col("first.doc_id")
-    hits = lines.join(recurring, ["key", "whole"]).where(~is_first).select("doc_id", "h", "at")
+    # Both sides are tables of the corpus, not small ones: neither join is left to a guess at their size.
+    hits = lines.join(recurring.hint("merge"), ["key", "whole"]).where(~is_first).select("doc_id", "h", "at")
     return stored(hits.groupBy("doc_id", "h").agg(F.collect_set("at").alias("at")), "drops")
 
 
@@ -110,7 +111,7 @@ def dedup(docs: DataFrame, least: int = 10, spare_copies: bool = True, dropped:
     names = [spare_name(docs, n) for n in ("gone_id", "gone_h", "gone_at")]
     gone = gone.toDF(*names)
     match = (F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)) == F.col(names[0])) & (F.xxhash64("text") == F.col(names[1]))
-    joined = docs.join(gone, match, "left")
+    joined = docs.join(gone.hint("merge"), match, "left")
     at = F.col(names[2])
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(at, i)), "\n")
     out = joined.withColumn("text", F.when(at.isNull(), F.col("text")).otherwise(kept))
