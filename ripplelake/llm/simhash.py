@@ -168,6 +168,19 @@ def _forest(most: int):
     return compare
 
 
+#: Microseconds of comparing that a task should have.
+TASK = 5_000_000
+
+
+def _compared(rows: DataFrame, key: list[str], cost: DataFrame, most: int) -> DataFrame:
+    """The links within each set, the sets dealt over as many tasks as their comparisons need (``cost``: one sum, in microseconds).
+
+    Bytes say nothing here: a set of n rows takes n * n comparisons, so the planner must not merge these partitions by size.
+    """
+    tasks = min(1 + int(cost.first()[0] or 0) // TASK, 100_000)
+    return rows.repartition(tasks, *key).groupBy(*key).applyInPandas(_forest(most), "a long, b long")
+
+
 def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints whose components are those of all links."""
     n, both = bit_statistics(distinct)
@@ -190,8 +203,9 @@ def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
     for _ in range(4):
         sizes = members.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
         sizes = stored(sizes, "sizes")
+        cost = sizes.where(F.col("n") <= block).agg(F.sum(F.expr("1000 + 5 * n + n * n / 1000")))
         small = members.join(sizes.where(F.col("n") <= block), ["mask", "value"])
-        found = small.groupBy("mask", "value").applyInPandas(_forest(most), "a long, b long")
+        found = _compared(small, ["mask", "value"], cost, most)
         out = found if out is None else out.union(found)
         large = sizes.where(F.col("n") > block).select("mask", "value")
         if large.isEmpty():
@@ -221,7 +235,8 @@ def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("fp", "mask", "value", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     )
-    return out.union(paired.groupBy("mask", "value", "lo", "hi").applyInPandas(_forest(most), "a long, b long"))
+    cost = sizes.agg(F.sum(blocks * (blocks + 1) / 2 * (1000 + 10 * block + block * block / 250)))
+    return out.union(_compared(paired, ["mask", "value", "lo", "hi"], cost, most))
 
 
 def _named(prints: DataFrame, most: int) -> DataFrame:
