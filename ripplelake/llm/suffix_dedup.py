@@ -1,6 +1,6 @@
-"""Exact removal of repeated byte strings by distributed prefix doubling.
+"""Exact removal of repeated byte strings: names of growing length at winnowed anchors, settled by grouping.
 
-A position's rank names the bytes that follow it.  Ranks of 2h bytes are made of the ranks at the position and h places on, so
+A position's rank names the bytes that follow it (ranks are hashes made within a task, not places in a sorted order).  Ranks of 2h bytes are made of the ranks at the position and h places on, so
 offsets grow 1, 2, 4, 8, 16, 24, 25, 37 and 50.  A position whose rank is unique is settled: no longer string that starts there can
 repeat.  Spark decides which ranks are unique; only positions that are not settled go on.  Three things keep the rows few:
 
@@ -15,12 +15,11 @@ repeat.  Spark decides which ranks are unique; only positions that are not settl
 The remaining byte ranges are exact: ranks that decide are 64-bit names in pairs.
 
 Nulls: a null text is empty and nothing is removed; a null doc_id comes after all others.  An empty table gives no row.  Rows with the same
-doc_id do not remove each other's bytes.  Other columns are not read.
+doc_id do not remove each other's bytes; what goes from a row is found again by its id and a 64-bit hash of its text.  Other columns are not read.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -187,11 +186,7 @@ def _known(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _spot(text: str | None) -> int:
-    return zlib.crc32((text or "").encode()) << 31
-
-
-SEGMENTS = "g long, s long, doc long, spot long, own int"
+SEGMENTS = "g long, s long, doc long, h long, at int, own int"
 
 
 def _segments(sent):
@@ -201,23 +196,23 @@ def _segments(sent):
         bitmap, digest = sent.value, xxhash.xxh64_intdigest
         for part in parts:
             out = []
-            for doc, text in zip(part["doc"].tolist(), part["text"]):
+            for doc, h, text in zip(part["doc"].tolist(), part["h"].tolist(), part["text"]):
                 data = _bytes(text)
-                raw, spot = data.tobytes(), _spot(text)
+                raw = data.tobytes()
                 for found in anchors(data):
                     g, a, b = found.open(bitmap)
                     s = np.fromiter((digest(raw[i : j + LENGTH]) for i, j in zip(a.tolist(), b.tolist())), np.uint64, len(a))
-                    out.append((g, s, np.full(len(a), doc), spot + a, b - a + 1))
-            g, s, doc, spot, own = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 5
+                    out.append((g, s, np.full(len(a), doc), np.full(len(a), h), a, b - a + 1))
+            g, s, doc, h, at, own = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 6
             yield pd.DataFrame(
                 {"g": g.astype(np.uint64).view(np.int64), "s": s.astype(np.uint64).view(np.int64), "doc": doc.astype(np.int64),
-                 "spot": spot.astype(np.int64), "own": own.astype(np.int32)}
+                 "h": h.astype(np.int64), "at": at.astype(np.int32), "own": own.astype(np.int32)}
             )
 
     return segments
 
 
-STRINGS = "left long, right long, doc long, spot long"
+STRINGS = "left long, right long, doc long, h long, at int"
 
 
 def _place(g: np.ndarray, s: np.ndarray, doc: int) -> np.ndarray:
@@ -254,16 +249,15 @@ def _strings(candidates, again):
         bitmap = again.value
         for part in parts:
             out = []
-            for doc, text in zip(part["doc"].tolist(), part["text"]):
-                spot = _spot(text)
+            for doc, h, text in zip(part["doc"].tolist(), part["h"].tolist(), part["text"]):
                 for left, right, at in candidates(doc, text):
                     keep = _known(bitmap, left ^ right)
                     at = at[keep]
-                    out.append((left[keep], right[keep], np.full(len(at), doc), spot + at))
-            left, right, doc, spot = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 4
+                    out.append((left[keep], right[keep], np.full(len(at), doc), np.full(len(at), h), at))
+            left, right, doc, h, at = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 5
             yield pd.DataFrame(
                 {"left": left.astype(np.uint64).view(np.int64), "right": right.astype(np.uint64).view(np.int64),
-                 "doc": doc.astype(np.int64), "spot": spot.astype(np.int64)}
+                 "doc": doc.astype(np.int64), "h": h.astype(np.int64), "at": at.astype(np.int32)}
             )
 
     return strings
@@ -309,7 +303,7 @@ def _remove(with_bytes: bool):
                 raw = (text or "").encode()
                 gone = np.zeros(len(raw) + 1, np.int32)
                 if spots is not None:
-                    at = np.asarray(spots, np.int64) & (2**31 - 1)
+                    at = np.asarray(spots, np.int64)
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + np.asarray(owns, np.int64) - 1 + LENGTH, -1)
                 mask = np.cumsum(gone)[:-1] > 0
@@ -324,7 +318,8 @@ def _remove(with_bytes: bool):
 def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, digest of what is kept, and (if asked for) the kept bytes."""
     sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), text_of().alias("text"))
+    doc, h = F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), F.xxhash64(text_of()).alias("h")
+    rows = docs.select(doc, h, text_of().alias("text"))
     # Length 37: which ranks beside anchors are not unique.
     shared = sc.broadcast(_repeated(rows, _beside_anchors))
     # The segments of those anchors; one that an earlier document has is gone.
@@ -341,17 +336,12 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     again = sc.broadcast(_repeated(rows, lambda doc, text: [left ^ right for left, right, _ in candidates(doc, text)]))
     strings = stored(rows.mapInPandas(_strings(candidates, again), STRINGS), "strings")
     single = _later(strings, _firsts(strings, ["left", "right"], shared_only=True), ["left", "right"])
-    every = gone.select("doc", "spot", "own").union(single.select("doc", "spot", F.lit(1).alias("own")))
-    lists = stored(
-        every.groupBy("doc", F.shiftright("spot", 31).alias("crc")).agg(F.collect_list(F.struct("spot", "own")).alias("gone")), "gone"
-    )
-    whole = docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("doc"), F.crc32(text_of().cast("binary")).alias("crc"),
-        text_of().alias("text"),
-    )
-    joined = whole.join(lists, ["doc", "crc"], "left")
+    every = gone.select("doc", "h", "at", "own").union(single.select("doc", "h", "at", F.lit(1).alias("own")))
+    lists = stored(every.groupBy("doc", "h").agg(F.collect_list(F.struct("at", "own")).alias("gone")), "gone")
+    whole = docs.select("doc_id", doc, h, text_of().alias("text"))
+    joined = whole.join(lists, ["doc", "h"], "left")
     return joined.select(
-        "doc_id", "text", F.col("gone.spot").alias("spots"), F.col("gone.own").alias("owns")
+        "doc_id", "text", F.col("gone.at").alias("spots"), F.col("gone.own").alias("owns")
     ).mapInPandas(_remove(with_bytes), OUT)
 
 
