@@ -2,7 +2,9 @@
 
 An ARC file starts with a ``filedesc:`` record whose block names the version.  Each record is a header line, which
 version 1 has as ``url ip date type length`` and version 2 as ``url ip date type status checksum location offset filename
-length``, then as many bytes as the line declares, then a line feed.  The converter walks the file by these lengths and makes
+length``, then as many bytes as the line declares, then a line feed.  A field list that the first record declares goes before these.
+A content type may hold blanks.  The converter walks the file by the lengths; a record whose header or length is broken is set aside
+(``broken_arc`` lists file, offset and reason), and the walk goes on at the next line that looks like a header.  It makes
 the WARC fields: a UUID of the name kind from file, offset and URL, the date in ISO form, the record type, and SHA-1 digests of block and payload.  Equal
 payloads become one response (the one with the smallest id) and revisits that refer to it.
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -70,28 +73,81 @@ def write_arc(pages: DataFrame, per_file: int = PER_FILE) -> str:
     return path
 
 
-def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """``(offset, header fields, block)`` of each record; raises ValueError where lengths and lines disagree."""
+HEADER = re.compile(rb"\n(?=[A-Za-z][A-Za-z0-9+.-]*:[^ \n]* [^ \n]+ \d{8,17} [^\n]* \d+\r?\n)")
+
+
+def _fields(line: str, names: list[str]) -> dict[str, str]:
+    """The fields of a header line.  Only the content type may hold blanks, so what follows it is counted from the end."""
+    values, kind = line.split(" "), names.index("Content-type")
+    spare = len(values) - len(names)
+    if spare < 0 or not (values[-1].isascii() and values[-1].isdigit()):
+        raise ValueError(f"header of {len(values)} fields, {len(names)} declared")
+    return dict(zip(names, [*values[:kind], " ".join(values[kind : kind + spare + 1]), *values[kind + spare + 1 :]]))
+
+
+def _declared(block: bytes) -> list[str] | None:
+    """The field list in the block of a ``filedesc`` record, if it has one that can be used."""
+    lines = block.decode("utf-8", "replace").splitlines()
+    names = lines[1].split() if len(lines) > 1 else []
+    needed = {"URL", "IP-address", "Archive-date", "Content-type", "Archive-length"}
+    return names if needed <= set(names) and names[0] == "URL" and names[-1] == "Archive-length" else None
+
+
+def arc_records(content: bytes, aside: list[tuple[int, str]] | None = None) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """``(offset, header fields, block)`` of each record.
+
+    Where lengths and lines disagree it raises ValueError; with ``aside``, it notes offset and reason there and goes on at
+    the next line that looks like a header.
+    """
     at, names = 0, V1.split()
     while at < len(content):
-        end = content.find(b"\n", at)
-        if end < 0:
-            raise ValueError(f"no header line at {at}")
-        values = content[at:end].decode("utf-8", "replace").strip("\r").split(" ")
-        if values[0].startswith("filedesc:"):
-            names = (V1 if len(values) == len(V1.split()) else V2).split()
-        if len(values) != len(names) or not values[-1].isdigit():
-            raise ValueError(f"header of {len(values)} fields at {at}, {len(names)} declared")
-        length = int(values[-1])
-        block = content[end + 1 : end + 1 + length]
-        if len(block) != length:
-            raise ValueError(f"record at {at} is cut short")
-        yield at, dict(zip(names, values)), block
-        at = end + 1 + length
+        try:
+            end = content.find(b"\n", at)
+            if end < 0:
+                raise ValueError("no header line")
+            line = content[at:end].decode("utf-8", "replace").strip("\r")
+            described = line.startswith("filedesc:")
+            if described:
+                names = (V1 if len(line.split(" ")) < len(V2.split()) else V2).split()
+            fields = _fields(line, names)
+            stop = end + 1 + int(fields["Archive-length"])
+            if stop > len(content):
+                raise ValueError("record is cut short")
+        except ValueError as why:
+            if aside is None:
+                raise ValueError(f"{why} at {at}") from None
+            aside.append((at, str(why)))
+            later = HEADER.search(content, at)
+            at = later.end() if later else len(content)
+            continue
+        block = content[end + 1 : stop]
+        if described:
+            names = _declared(block) or names
+        yield at, fields, block
+        at = stop
         while content[at : at + 1] == b"\n":
             at += 1
 
 
+def _unpacked(name: str, content: bytes, aside: list[tuple[int, str]]) -> bytes:
+    """The bytes of a file; of a damaged gzip file those before the damage, which is noted."""
+    if not name.endswith(".gz"):
+        return content
+    out = []
+    while content:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            out.append(member.decompress(content))
+        except zlib.error as why:
+            aside.append((sum(map(len, out)), f"gzip: {why}"))
+            break
+        if not member.eof:
+            aside.append((sum(map(len, out)), "gzip: cut short"))
+            break
+        content = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
 RECORDS = (
     "record_id string, url string, date string, ip string, number long, payload_digest string, block_digest string, "
     "payload_bytes long, block binary"
@@ -111,17 +167,19 @@ def _split(block: bytes) -> tuple[bytes, bytes]:
     return (head + mark, payload) if mark else (b"", block)
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Archive files; names that start with a dot or an underscore are Spark's own."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of ARC files with the fields that WARC needs; the ``filedesc`` records are left out."""
+    """The records of ARC files with the fields that WARC needs; the ``filedesc`` records and broken ones are left out."""
 
     def convert(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
-
         for part in parts:
             for name, content in zip(part["path"], part["content"]):
-                rows = []
-                content = bytes(content)
-                for at, fields, block in arc_records(gzip.decompress(content) if name.endswith(".gz") else content):
+                rows, aside = [], []
+                for at, fields, block in arc_records(_unpacked(name, bytes(content), aside), aside):
                     if fields["URL"].startswith("filedesc:"):
                         continue
                     head, payload = _split(block)
@@ -137,8 +195,21 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                         rows = []
                 yield _frame(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(convert, RECORDS)
+    return _files(spark, path).mapInPandas(convert, RECORDS)
+
+
+def broken_arc(spark: SparkSession, path: str) -> DataFrame:
+    """What ``read_arc`` leaves out: ``path, offset, reason``, offsets in the unpacked file."""
+
+    def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for name, content in zip(part["path"], part["content"]):
+                aside: list[tuple[int, str]] = []
+                for _ in arc_records(_unpacked(name, bytes(content), aside), aside):
+                    pass
+                yield pd.DataFrame([(name, *one) for one in aside], columns=["path", "offset", "reason"]).astype({"offset": "int64"})
+
+    return _files(spark, path).mapInPandas(walk, "path string, offset long, reason string")
 
 
 def _frame(rows: list[tuple], names: str = RECORDS) -> pd.DataFrame:

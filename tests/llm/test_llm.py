@@ -132,6 +132,33 @@ def test_arc_lengths_are_checked():
         list(arc.arc_records(b"http://x 0.0.0.0 text/html 5\nshort"))
 
 
+def test_broken_records_are_set_aside(spark, tmp_path):
+    """Blanks in a content type, a declared field list, a record cut short, a broken header, a gzip file that ends early."""
+    import gzip
+
+    def header(url, kind, n, more=""):
+        return f"{url} 1.2.3.4 20010203040506 {kind} {more}{n}\n".encode()
+
+    one = header("http://a/", "text/html; charset=utf-8", 5) + b"hello\n"
+    names = "URL IP-address Archive-date Content-type Checksum Archive-length"
+    desc = f"1 0 Own\n{names}\n".encode()
+    own = header("filedesc://own.arc", "text/plain", len(desc)) + desc + header("http://b/", "image/x y", 2, "abc ") + b"hi\n"
+    broken = header("http://c/", "text/html", 3) + b"abc\nno header here\n" + header("http://d/", "text/html", 1) + b"d\n"
+    cut = one + header("http://e/", "text/html", 500) + b"short\n" + header("http://f/", "text/html", 1) + b"f\n"
+    files = {"a.arc": one, "b.arc": own, "c.arc": broken, "d.arc": cut, "e.arc.gz": gzip.compress(one) + gzip.compress(cut)[:-20], "f.arc": b""}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    found = collections.Counter((r.url, r.payload_bytes) for r in arc.read_arc(spark, str(tmp_path)).collect())
+    for one_of in ("http://b/", 2), ("http://c/", 3), ("http://d/", 1):
+        assert found[one_of] == 1
+    assert found["http://a/", 5] >= 3 and found["http://f/", 1] >= 1 and len(found) == 5
+    aside = sorted((r.path.rsplit("/", 1)[1], r.offset, r.reason.split(":")[0]) for r in arc.broken_arc(spark, str(tmp_path)).collect())
+    assert aside[:2] == [("c.arc", len(header("http://c/", "text/html", 3)) + 4, "header of 3 fields, 5 declared"),
+                         ("d.arc", len(one), "record is cut short")]
+    assert any(f == "e.arc.gz" and why == "gzip" for f, _, why in aside)
+    assert {r.record_type for r in arc.read_warc(spark, arc.convert(spark, str(tmp_path))).collect()} == {"response", "revisit"}
+
+
 def ids_of(texts):
     from tokenizers import Tokenizer
 
@@ -211,6 +238,21 @@ def test_repeated_bytes(spark, docs, empty):
     assert suffix_dedup.report(empty).count() == 0
 
 
+def test_texts_with_one_id_or_none_keep_their_own_bytes(spark):
+    """Two texts without an id whose CRC-32 is equal: only the one that an earlier document has goes."""
+    made, seen = random.Random(11), {}
+    while True:
+        text = "".join(made.choices("abcdefgh", k=80))
+        other = seen.setdefault(zlib.crc32(text.encode()), text)
+        if other != text:
+            break
+    rows = [(1, text), (None, text), (None, other), (2, other[::-1]), (2, text), (2, prose(30))]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = collections.Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.report(table).collect())
+    last = len(rows[-1][1])
+    assert out == collections.Counter([(1, 80, 0), (None, 80, 80), (None, 80, 0), (2, 80, 0), (2, 80, 80), (2, last, 0)])
+
+
 def fingerprint(text):
     import xxhash
 
