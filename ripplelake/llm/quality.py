@@ -5,8 +5,9 @@ selectivity (share rejected) are measured on a bounded sample; the cascade then
 rejections per cost first and stops at the first that rejects.  The order changes the time, never the verdict.
 
 Nulls: a null text has no word, so it fails ``too_few_words``; a null in any other column is carried along.  An empty table
-gives no row.  Repeated rows are judged one by one, alike.  Columns of the input keep their names: ``with_cascade`` adds
-columns under the names given and picks spare names for its own work.
+gives no row.  Repeated rows are judged one by one, alike.  A text of any length is judged whole: its words, their hashes and those
+of its windows are held for one row at a time; only where a window repeats are the windows themselves (eight times the text).  Columns of
+the input keep their names: ``with_cascade`` adds columns under the names given and picks spare names for its own work.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplelake.llm.common import SEPARATORS, WORD, spare_name
+from ripplelake.llm.common import SEPARATORS, WORD, spare_name, stored
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -142,6 +143,8 @@ class Measured:
 
 
 WORK = ("words", "hashes", "windows")
+#: The sample is small at any size of the table; it is stored in so many files.
+SAMPLE_FILES = 8
 
 
 def _ready(docs: DataFrame, names: tuple[str, ...] = WORK) -> DataFrame:
@@ -155,24 +158,25 @@ def _ready(docs: DataFrame, names: tuple[str, ...] = WORK) -> DataFrame:
     return out
 
 
-def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000, share: float = 0.05) -> list[Measured]:
+def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 2000) -> list[Measured]:
     """The rules in the order in which the cascade tries them, with what was measured.
 
-    The sample (at most ``sample_rows`` rows) only sets the order.  Each rule runs over it twice, the second run is timed.
+    The sample only sets the order.  Each row has the same chance to be drawn, so that about ``sample_rows`` are (all of a smaller
+    table); the texts drawn are stored before any feature is made of them, then their features.  Each rule runs over these
+    twice, the second run is timed; reading what the rule needs is part of its cost.
     """
-    sample = _ready(docs.select("text").sample(share, seed=7).limit(sample_rows)).persist()
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    drawn = stored(docs.select("text").sample(share, seed=7).repartition(SAMPLE_FILES), "sample")
+    sample = stored(_ready(drawn), "sample-features")
     features = Features(F.col("text"), *map(F.col, WORK))
-    try:
-        rows = max(sample.count(), 1)
-        found = []
-        for rule in rules:
-            probe = sample.agg(F.count_if(rule.rejects(features)).alias("n"))
-            probe.first()
-            began = time.perf_counter()
-            n = probe.first()[0]
-            found.append(Measured(rule, n / rows, (time.perf_counter() - began) / rows))
-    finally:
-        sample.unpersist()
+    rows = max(sample.count(), 1)
+    found = []
+    for rule in rules:
+        probe = sample.agg(F.count_if(rule.rejects(features)).alias("n"))
+        probe.first()
+        began = time.perf_counter()
+        n = probe.first()[0]
+        found.append(Measured(rule, n / rows, (time.perf_counter() - began) / rows))
     return sorted(found, key=lambda m: (-m.worth, m.seconds, m.rule.name))
 
 
