@@ -141,29 +141,52 @@ def _masked(fp: Column, bits: list[int]) -> Column:
     return fp.bitwiseAND(F.lit(_signed(bits)))
 
 
-def _forest(most: int):
-    """Compares the members of one set (or of two blocks of it) and yields the links that join them: a spanning forest."""
-
-    def compare(batch: pd.DataFrame) -> pd.DataFrame:
-        fps = batch["fp"].drop_duplicates().to_numpy()
-        root = list(range(len(fps)))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        a, b = [], []
-        for i in range(len(fps) - 1):
-            near = np.flatnonzero(np.bitwise_count((fps[i + 1 :] ^ fps[i]).view(np.uint64)) <= most) + i + 1
-            for j in near.tolist():
-                x, y = find(i), find(j)
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    a.append(fps[i])
-                    b.append(fps[j])
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+def _forest(fps: np.ndarray, ends: np.ndarray, most: int) -> pd.DataFrame:
+    """Compares the members of sets that lie one after the other and returns the links that join them: a spanning forest.
+
+    ``ends[i]`` is where the set of member i ends.  All sets are compared at once: each member with its next one, then with the
+    one after that, and so on; members drop out where their set ends.  ``root`` is flat before each step, so a step looks one by one only
+    at links between members that no earlier step has joined.
+    """
+    root = np.arange(len(fps))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    a, b = [], []
+    at, apart = np.arange(len(fps)), 0
+    while len(at):
+        apart += 1
+        at = at[at + apart < ends[at]]
+        near = at[np.bitwise_count((fps[at] ^ fps[at + apart]).view(np.uint64)) <= most]
+        near = near[root[near] != root[near + apart]]
+        for i in near.tolist():
+            x, y = find(i), find(i + apart)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                a.append(fps[i])
+                b.append(fps[i + apart])
+        while len(near) and (root[root] != root).any():
+            root = root[root]
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _sets(key: list[str], most: int):
+    """Cuts rows sorted by the key into whole sets.  A batch may end within a set, which is then carried over; a set has two blocks at most."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carried = None
+        for batch in batches:
+            rows = batch if carried is None else pd.concat([carried, batch], ignore_index=True)
+            names = rows[key].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]).any(1)])
+            last = starts[-1]
+            carried = rows.iloc[last:]
+            yield _forest(rows["fp"].to_numpy()[:last], np.repeat(starts[1:], np.diff(starts)), most)
+        if carried is not None:
+            yield _forest(carried["fp"].to_numpy(), np.full(len(carried), len(carried)), most)
 
     return compare
 
@@ -172,13 +195,19 @@ def _forest(most: int):
 TASK = 5_000_000
 
 
+def _cost(n: Column) -> Column:
+    """Microseconds that the comparisons within a set of n rows take."""
+    return 5 * n + n * n / 100
+
+
 def _compared(rows: DataFrame, key: list[str], cost: DataFrame, most: int) -> DataFrame:
     """The links within each set, the sets dealt over as many tasks as their comparisons need (``cost``: one sum, in microseconds).
 
     Bytes say nothing here: a set of n rows takes n * n comparisons, so the planner must not merge these partitions by size.
     """
     tasks = min(1 + int(cost.first()[0] or 0) // TASK, 100_000)
-    return rows.repartition(tasks, *key).groupBy(*key).applyInPandas(_forest(most), "a long, b long")
+    dealt = rows.repartition(tasks, *key).sortWithinPartitions(*key).select("fp", *key)
+    return dealt.mapInPandas(_sets(key, most), "a long, b long")
 
 
 def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
@@ -203,7 +232,7 @@ def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
     for _ in range(4):
         sizes = members.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
         sizes = stored(sizes, "sizes")
-        cost = sizes.where(F.col("n") <= block).agg(F.sum(F.expr("1000 + 5 * n + n * n / 1000")))
+        cost = sizes.where(F.col("n") <= block).agg(F.sum(_cost(F.col("n"))))
         small = members.join(sizes.where(F.col("n") <= block), ["mask", "value"])
         found = _compared(small, ["mask", "value"], cost, most)
         out = found if out is None else out.union(found)
@@ -235,7 +264,7 @@ def links(distinct: DataFrame, most: int = 2, block: int = BLOCK) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("fp", "mask", "value", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     )
-    cost = sizes.agg(F.sum(blocks * (blocks + 1) / 2 * (1000 + 10 * block + block * block / 250)))
+    cost = sizes.agg(F.sum(blocks * (blocks + 1) / 2 * _cost(F.lit(2 * block))))
     return out.union(_compared(paired, ["mask", "value", "lo", "hi"], cost, most))
 
 
