@@ -4,9 +4,8 @@ Equal texts form one group, which is never split.  Groups are ordered by the dig
 contiguous ranges of that order.  The smallest feasible capacity is found by binary search: a capacity is feasible
 if filling one shard after the other, each as far as it goes, needs no more shards than there are.
 
-The driver never sees the groups.  It has the total of each of 65,536 digest ranges (a fixed number), and fetches the groups of a
-range only where a cut falls into it; that is a 1/65,536 of the groups at a time, except where one range holds one huge group,
-which is one row.
+The driver never sees the groups, only sums over ranges of digests: at first of 65,536 ranges, and where a cut may lie within a range, of the 256
+ranges of its next two digits, until every cut lies between two ranges.  What it holds grows with the shards and the logarithm of the groups.
 
 Nulls: a null text counts as an empty one.  An empty table gives no row.  Repeated rows are rows of the same group.
 Columns other than ``doc_id`` and ``text`` are not read.
@@ -14,104 +13,96 @@ Columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplelake.llm.common import stored, text_of
 
-DIGITS = 4
-RANGES = 16**DIGITS
+#: Digits that name a range at first, and digits that a refinement adds.
+DIGITS, MORE = 4, 2
+#: Ranges a shard that may be refined in one job.
+AT_ONCE = 64
 
 
 class Sizes:
-    """Prefix sums over the ordered groups; ranges are fetched when a search needs them."""
+    """Sums over consecutive ranges of the ordered groups.  A range is all groups whose digests begin with its name."""
 
     def __init__(self, groups: DataFrame):
         self.groups = groups
-        self.total = [0] * RANGES
-        self.largest = 0
-        rows = groups.groupBy(F.substring("digest", 1, DIGITS).alias("r")).agg(F.sum("size"), F.max("size")).collect()
-        for r, total, largest in rows:
-            self.total[int(r, 16)], self.largest = total, max(self.largest, largest)
-        self.before = [0, *accumulate(self.total)]
-        self.fetched: dict[int, tuple[list[str], list[int]]] = {}
-
-    def fetch(self, ranges: set[int]) -> None:
-        """Reads the groups of these ranges in one job."""
-        names = [f"{r:0{DIGITS}x}" for r in sorted(ranges - set(self.fetched))]
-        found: dict[int, list[tuple[str, int]]] = {int(name, 16): [] for name in names}
-        if names:
-            for digest, size in self.groups.where(F.substring("digest", 1, DIGITS).isin(names)).collect():
-                found[int(digest[:DIGITS], 16)].append((digest, size))
-        for r, rows in found.items():
-            rows.sort()
-            self.fetched[r] = [d for d, _ in rows], [0, *accumulate(n for _, n in rows)]
-
-    def inside(self, r: int) -> tuple[list[str], list[int]]:
-        self.fetch({r})
-        return self.fetched[r]
-
-    def whole(self, most: int) -> int:
-        """Like ``reach``, but in whole ranges: never further, and without a job."""
-        return self.before[bisect_right(self.before, most) - 1]
-
-    def between(self, low: int, high: int) -> set[int]:
-        """The ranges that hold prefix sums from low to high."""
-        first = bisect_right(self.before, low) - 1
-        last = min(bisect_right(self.before, high), RANGES)
-        return {r for r in range(first, last) if self.total[r]}
-
-    def reach(self, most: int) -> int:
-        """The largest prefix sum of whole groups that is at most this."""
-        if most >= self.before[-1]:
-            return self.before[-1]
-        r = bisect_right(self.before, most) - 1
-        sums = self.inside(r)[1]
-        return self.before[r] + sums[bisect_right(sums, most - self.before[r]) - 1]
-
-    def last_digest(self, prefix: int) -> str:
-        """The last group within this prefix sum."""
-        r = bisect_right(self.before, prefix - 1) - 1
-        digests, sums = self.inside(r)
-        return digests[sums.index(prefix - self.before[r]) - 1]
-
-
-def greedy(sizes: Sizes, capacity: int, shards: int) -> list[int] | None:
-    """Where each shard ends, filled as far as the capacity allows; None where the shards don't suffice."""
-    ends, at, total = [], 0, sizes.before[-1]
-    for _ in range(shards):
-        at = sizes.reach(at + capacity)
-        ends.append(at)
-        if at == total:
-            return ends
-    return None
+        self.ranges: list[tuple[str, int, int]] = []  # name, sum of sizes, number of groups
+        self.largest = groups.agg(F.max("size")).first()[0] or 0
+        self._add(F.substring("digest", 1, DIGITS))
+
+    def _add(self, name: Column) -> None:
+        named = self.groups.withColumn("name", name).where("name is not null")
+        found = named.groupBy("name").agg(F.sum("size").alias("total"), F.count("*").alias("n")).collect()
+        self.ranges = sorted([*self.ranges, *map(tuple, found)])
+        self.before = [0, *accumulate(total for _, total, _ in self.ranges)]
+
+    def refine(self, which: set[int]) -> None:
+        """Puts the ranges of the next digits in the place of these, in one job."""
+        names: dict[int, list[str]] = {}
+        for r in which:
+            names.setdefault(len(self.ranges[r][0]), []).append(self.ranges[r][0])
+        self.ranges = [x for r, x in enumerate(self.ranges) if r not in which]
+        self._add(F.coalesce(*[
+            F.when(F.substring("digest", 1, n).isin(some), F.substring("digest", 1, n + MORE)) for n, some in names.items()
+        ]))
+
+    def at(self, prefix: int) -> int:
+        """The range in which this prefix sum lies, or which begins there."""
+        return bisect_right(self.before, prefix) - 1
+
+    def several(self, ranges) -> set[int]:
+        """Those of the ranges that can be refined."""
+        return {r for r in ranges if r < len(self.ranges) and self.ranges[r][2] > 1}
+
+    def ends(self, capacity: int, shards: int, whole: bool) -> list[int]:
+        """Where each shard ends, filled one after the other as far as the capacity allows.
+
+        A range of several groups goes into a shard whole, or else is cut at any byte: the ends that whole groups give lie between the two.
+        """
+        out, at, total = [], 0, self.before[-1]
+        for _ in range(shards):
+            at = min(at + capacity, total)
+            r = self.at(at)
+            if whole or not self.several([r]):
+                at = self.before[r]
+            out.append(at)
+            if at == total:
+                break
+        return out
 
 
 def minimax(sizes: Sizes, shards: int) -> tuple[int, list[int]]:
     """The smallest feasible capacity and the ends it gives.
 
-    Whole ranges give an upper bound and, for every cut, the few ranges in which it can lie.  These are read
-    in one job; the search then runs on the driver.
+    A capacity that is feasible with whole ranges is feasible; one that is not even with ranges cut anywhere is not.  Binary search finds
+    the borders of both; while they differ, the ranges in which a cut may lie are refined.
     """
     total = sizes.before[-1]
-    low = max(sizes.largest, -(-total // shards))
-    high = low + max(sizes.total, default=0) + 1
-    earliest, ranges = 0, set()
-    for k in range(1, shards + 1):
-        earliest = sizes.whole(min(earliest + low, total))
-        ranges |= sizes.between(earliest, min(k * high, total))
-    if len(ranges) <= 64 * shards:  # else a few huge groups decide: read as the search asks
-        sizes.fetch(ranges)
-    while low < high:
-        middle = (low + high) // 2
-        if greedy(sizes, middle, shards) is None:
-            low = middle + 1
-        else:
-            high = middle
-    return low, greedy(sizes, low, shards) or []
+    low, high = max(sizes.largest, -(-total // shards)), total
+
+    def least(whole: bool) -> int:
+        span = range(low, high)
+        return low + bisect_left(span, True, key=lambda c: sizes.ends(c, shards, whole)[-1] == total)
+
+    while True:
+        low = least(whole=False)
+        high = least(whole=True)
+        first, last = sizes.ends(low, shards, whole=True), sizes.ends(low, shards, whole=False)
+        if first == last:
+            return low, first
+        furthest = sizes.ends(high, shards, whole=False)
+        unsure: set[int] = set()
+        for a, b in zip(first, furthest):
+            unsure |= sizes.several(range(sizes.at(a), sizes.at(b) + 1))
+        if len(unsure) > AT_ONCE * shards:  # a few huge groups decide: only where cuts lie now, of which one at least is refined
+            unsure = sizes.several(map(sizes.at, [*first, *last, *furthest]))
+        sizes.refine(unsure)
 
 
 def assign(docs: DataFrame, shards: int = 8, partitions: int | None = None) -> DataFrame:
@@ -126,11 +117,10 @@ def assign(docs: DataFrame, shards: int = 8, partitions: int | None = None) -> D
     rows = stored(rows, "sizes")
     groups = stored(rows.groupBy("digest").agg(F.sum("size").alias("size")), "groups")
     sizes = Sizes(groups)
-    ends = minimax(sizes, shards)[1] if sizes.before[-1] else []
-    cuts = [sizes.last_digest(end) for end in ends[:-1]]
+    ends = minimax(sizes, shards)[1]
     shard = F.lit(0)
-    for cut in cuts:
-        shard = shard + (F.col("digest") > cut).cast("int")
+    for end in ends[:-1]:  # the next shard begins with the range that begins here
+        shard = shard + (F.col("digest") >= sizes.ranges[sizes.at(end)][0]).cast("int")
     # Slots: rows in range order get their place from the partition's offset, so no window holds a whole shard.
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (

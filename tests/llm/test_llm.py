@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SMALL
 from oracle_check import connect, difference
@@ -336,6 +337,59 @@ def test_thresholds_follow_the_pigeonhole():
         assert sum(simhash.allocate(2000, both, groups, 2)[1]) == 2 - parts + 1
 
 
+def test_sets_cut_by_batches_lose_nothing():
+    """Sets that go on in the next batch, or in the next three, are compared whole; links are a forest of near members."""
+    rng = random.Random(3)
+    rows = []
+    for value, n in enumerate([1, 2, 5, 1, 40, 3, 90, 1]):
+        base = rng.getrandbits(62)
+        rows += [(base ^ (1 << rng.randrange(9)) ^ (1 << rng.randrange(60)), 1 + value // 4, value) for _ in range(n)]
+    frame = pd.DataFrame(rows, columns=["fp", "mask", "value"])
+
+    def parts(links, members):
+        left = {m: {m} for m in members}
+        for a, b in links:
+            if left[a] is not left[b]:
+                joined = left[a] | left[b]
+                left.update(dict.fromkeys(joined, joined))
+        return {frozenset(s) for s in left.values()}
+
+    for size in (1, 7, 30, len(frame)):
+        batches = [frame.iloc[i : i + size].reset_index(drop=True) for i in range(0, len(frame), size)]
+        out = pd.concat(list(simhash._sets(["mask", "value"], 2)(iter(batches))))
+        found = list(zip(out["a"].tolist(), out["b"].tolist()))
+        assert len(found) < len(frame) and all((a ^ b).bit_count() <= 2 for a, b in found)
+        for _, members in frame.groupby("value"):
+            fps = members["fp"].tolist()
+            plain = [(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 2]
+            assert parts([x for x in found if x[0] in fps], fps) == parts(plain, fps)
+    assert list(simhash._sets(["mask", "value"], 2)(iter([]))) == []
+
+
+def test_ranges_are_refined_until_the_cuts_are_exact(spark):
+    """Digests that share their first digits, equal sizes, one group with a third of all bytes: the ends of a plain greedy search."""
+    rng = random.Random(9)
+    for huge in (0, 900):
+        groups = {"abcd" + rng.choice(["0000", "00ff", f"{rng.randrange(16**4):04x}"]) + f"{rng.randrange(16**8):08x}": rng.choice([1, 7, 7, 30])
+                  for _ in range(150)}
+        groups |= {f"{rng.randrange(16**16):016x}": rng.randrange(1, 40) for _ in range(20)}
+        if huge:
+            groups["abcd00ff" + "8" * 8] = huge
+        table = spark.createDataFrame(list(groups.items()), "digest string, size long").coalesce(2).persist()
+        ordered = [groups[d] for d in sorted(groups)]
+        for shards in (1, 2, 5, 8):
+            def plain(capacity):
+                ends, at, room = [], 0, capacity
+                for size in ordered:
+                    if size > room:
+                        ends, room = [*ends, at], capacity
+                    at, room = at + size, room - size
+                return [*ends, at]
+
+            best = next(c for c in range(max(ordered), sum(ordered) + 1) if len(plain(c)) <= shards)
+            assert sharding.minimax(sharding.Sizes(table), shards) == (best, plain(best))
+
+
 def test_minimax_shards(docs, empty):
     out = sharding.assign(docs, shards=3).collect()
     rows = [((r.text or "").encode(), r.doc_id) for r in docs.collect()]
