@@ -39,14 +39,21 @@ def once(build):
     return lookup
 
 
+#: Messages of a landed file: more messages make more files, not longer tasks.
+FILE_MESSAGES = 100_000
+
+
 def inbox(spark: SparkSession, delivered: DataFrame, folder: str, batches: int = BATCHES) -> DataFrame:
     """Land messages as files and read them as a stream of ``batches`` micro-batches.
 
     The files hold messages of all times in no order, so every batch after the first brings late rows and
-    second deliveries for hours that are already stored.
+    second deliveries for hours that are already stored.  Messages are dealt by a hash: dealt in turn, Spark would
+    sort all their texts first, so that a task tried again deals them alike.
     """
-    files = batches * max(2, spark.sparkContext.defaultParallelism // 2)
-    delivered.repartition(files).write.parquet(folder)
+    cores = spark.sparkContext.defaultParallelism
+    rounds = -(-delivered.count() // (batches * FILE_MESSAGES * cores))
+    per_batch = max(2, cores // 2) if rounds < 2 else rounds * cores
+    delivered.repartition(batches * per_batch, "kafka_offset", "ingested_at", "raw_message").write.parquet(folder)
     landed = len(spark.read.schema(delivered.schema).parquet(folder).inputFiles())
     per_batch = -(-landed // batches)
     return spark.readStream.schema(delivered.schema).option("maxFilesPerTrigger", per_batch).parquet(folder)
@@ -64,6 +71,13 @@ def _run(writer) -> list[str]:
     return monitor.reports_of(query)
 
 
+def _stored(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows that are read several times, made once."""
+    path = scratch(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @once
 def live(spark: SparkSession, sf_dir: str) -> Live:
     """Messages through the live path; silver and gold are refreshed after every batch."""
@@ -131,7 +145,7 @@ def deleted(spark: SparkSession, sf_dir: str) -> Lake:
 def compacted_bronze(spark: SparkSession, sf_dir: str) -> Lake:
     """Bronze and errors in many small files, some rows of which are deleted, then merged by their bytes."""
     lake = Lake(spark, scratch(spark, "merged"), grain="day")
-    checked = wire.with_error(recent_changes.recent_changes(spark, sf_dir))
+    checked = _stored(spark, wire.with_error(recent_changes.recent_changes(spark, sf_dir)), "checked")
     for table, rows in ((BRONZE, route.healthy(checked)), (ERRORS, route.broken(checked))):
         batch = F.format_string("q-%010d", F.col("kafka_offset") % 4)
         lake.replace(table, with_ingest(rows, "").withColumn("batch", batch))
@@ -176,7 +190,7 @@ def expired(spark: SparkSession, sf_dir: str) -> Lake:
     """Silver kept for 14 days, errors ingested in the last 7 days, at noon of the last day."""
     lake = Lake(spark, scratch(spark, "expired"), grain="day")
     now = dt.datetime(2024, 1, 30, 12, tzinfo=dt.timezone.utc)
-    checked = wire.with_error(recent_changes.recent_changes(spark, sf_dir))
+    checked = _stored(spark, wire.with_error(recent_changes.recent_changes(spark, sf_dir)), "checked")
     bronze = route.healthy(checked)
     lake.replace(SILVER, with_hour(m.silver_of(bronze), "event_timestamp"))
     lake.replace(BRONZE, with_ingest(bronze, "landed"))

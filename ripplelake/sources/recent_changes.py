@@ -63,8 +63,24 @@ DOCUMENT = {
 }
 
 
+#: Rows that one task makes messages of.
+TASK_ROWS = 100_000
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The rows over as many tasks as their number needs.
+
+    A message is many times longer than its row, and a file is read by no more tasks than it has row groups, so a table of one
+    would be made into messages, parsed and sorted by a single task.  Dealt by all columns: rows without a key are spread as well.
+    """
+    tasks = -(-rows.count() // TASK_ROWS)
+    if tasks < 2:
+        return rows
+    return rows.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism), *rows.columns)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_k(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return with_k(dealt(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def with_k(events: DataFrame) -> DataFrame:

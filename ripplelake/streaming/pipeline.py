@@ -102,6 +102,9 @@ class Pipeline:
                 route.enforce_budget(parsed, 0)
             elif self.budget is not None:
                 route.enforce_budget(parsed, self.budget)
+            else:
+                # Parsed and kept here: jobs that start side by side would each parse on their own what no executor holds yet.
+                parsed.count()
             good = parsed.where("_error = ''")
             rows = m.accepted(good, ("kafka_topic", "kafka_partition", "kafka_offset", "raw_message"))
             in_time = m.in_time(self.lake.whole_days_from())
