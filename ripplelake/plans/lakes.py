@@ -39,7 +39,7 @@ def once(build):
     return lookup
 
 
-#: Messages of a landed file: more messages make more files, not longer tasks.
+#: Messages of a landed file, up to twice as many where a batch has few: more messages make more files, not longer tasks.
 FILE_MESSAGES = 100_000
 
 
