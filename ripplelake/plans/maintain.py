@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from ripplelake.sources.commits import Change, File, State
 from ripplelake.sources.lake import PLACE, Lake, day_folder, with_day, with_hour
 from ripplelake.streaming.pipeline import DELETION, Pipeline, rebuild
 
+#: How Spark cuts and packs files into tasks.
+SPLIT, OPEN_COST = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+
 #: Days each table keeps its rows; override entries to change a table.
 RETENTION = {t.name: t.keep_days for t in TABLES.values() if t.keep_days is not None}
 
@@ -162,14 +166,19 @@ def delete_where(lake: Lake, table: Table, predicate: Column) -> int:
 FILE_BYTES = 512 << 20
 #: Bytes rewritten in one job: enough for a whole cluster, and what is lost if it stops.
 GROUP_BYTES = 1 << 40
+#: Rows of a bin at most, and those that a task reads of the log: bytes of files say little of the memory that rows need, as
+#: long texts may compress to almost nothing.
+FILE_ROWS, TASK_ROWS = 500_000, 200_000
 
 
-def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, file_bytes: int = FILE_BYTES) -> int:
+def compact(
+    lake: Lake, table: Table, days: Iterable[dt.date] | None = None, file_bytes: int = FILE_BYTES, file_rows: int = FILE_ROWS
+) -> int:
     """Merge small files and files with deleted rows of these days (all by default); returns how many files were replaced.
 
     The log of silver also keeps only the latest version of every event; where the others stand in bronze is noted beside it.  Of the tables
     written by batches the newest batch of each query stays as it is: a retry replaces it by its name.  Files are packed into bins by
-    their bytes, and days are taken together up to ``GROUP_BYTES``, each group in one job and one commit: stopped at any point, either the
+    their bytes and rows, a task each, and days are taken together up to ``GROUP_BYTES``, each group in one job and one commit: stopped at any point, either the
     old files of a group count or the new ones.
     """
     column, batched = table.partition_names[0], "batch" in table.partition_names
@@ -186,7 +195,7 @@ def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, fil
         if table == SILVER_LOG:
             bins = [files] if len(files) > 1 or files[0].path in state.deleted else []
         else:
-            bins = [b for home in _homes(files, batched) for b in _bins(home, state, file_bytes)]
+            bins = [b for home in _homes(files, batched) for b in _bins(home, state, file_bytes, file_rows)]
         packed.append(bins)
     replaced = 0
     for bins in _groups(packed):
@@ -199,7 +208,7 @@ def compact(lake: Lake, table: Table, days: Iterable[dt.date] | None = None, fil
         rows = lake.scan(table, state, chosen, place=True).join(number, "_file")
         if batched:
             rows = rows.withColumn("batch", F.concat(F.lit(f"merged-{uuid.uuid4().hex}-"), "bin"))
-        lake.exchange(table, chosen, rows.repartition(len(bins), "bin"), gather=False, name="compact")
+        lake.exchange(table, chosen, rows.repartitionById(len(bins), F.col("bin")), gather=False, name="compact")
     return replaced
 
 
@@ -234,19 +243,23 @@ def _homes(files: list[File], batched: bool) -> list[list[File]]:
     return list(homes.values())
 
 
-def _bins(files: list[File], state: State, file_bytes: int) -> list[list[File]]:
+def _bins(files: list[File], state: State, file_bytes: int, file_rows: int) -> list[list[File]]:
     """Small and marked files packed first-fit, the largest first; a bin of one whole file is left out."""
-    some = sorted((f for f in files if 2 * f.bytes < file_bytes or f.path in state.deleted), key=lambda f: (-f.bytes, f.path))
+
+    def small(f: File) -> bool:
+        return 2 * f.bytes < file_bytes and 2 * f.rows < file_rows
+
+    some = sorted((f for f in files if small(f) or f.path in state.deleted), key=lambda f: (-f.bytes, f.path))
     bins: list[list[File]] = []
-    room: list[int] = []
+    room: list[tuple[int, int]] = []
     for f in some:
-        at = next((i for i, left in enumerate(room) if f.bytes <= left), None)
+        at = next((i for i, (size, rows) in enumerate(room) if f.bytes <= size and f.rows <= rows), None)
         if at is None:
             bins.append([f])
-            room.append(file_bytes - f.bytes)
+            room.append((file_bytes - f.bytes, file_rows - f.rows))
         else:
             bins[at].append(f)
-            room[at] -= f.bytes
+            room[at] = (room[at][0] - f.bytes, room[at][1] - f.rows)
     return [b for b in bins if len(b) > 1 or b[0].path in state.deleted]
 
 
@@ -256,9 +269,26 @@ def _merge_log(lake: Lake, state: State, files: list[File]) -> None:
     name = f"merged-{uuid.uuid4().hex}"
     rows = lake.scan(SILVER_LOG, state, files).withColumn("batch", F.lit(name))
     older = rows.withColumn("version", F.row_number().over(order)).where("version > 1")
-    # Noted first: a place noted twice does no harm, a delivery that cannot be found does.
-    lake.replace(SUPERSEDED, older.select(*SUPERSEDED.stored.fieldNames()))
-    lake.exchange(SILVER_LOG, files, merge.keep_latest(rows), name="compact")
+    with _read_by_rows(lake, files):
+        # Noted first: a place noted twice does no harm, a delivery that cannot be found does.
+        lake.replace(SUPERSEDED, older.select(*SUPERSEDED.stored.fieldNames()))
+        lake.exchange(SILVER_LOG, files, merge.keep_latest(rows), name="compact")
+
+
+@contextmanager
+def _read_by_rows(lake: Lake, files: list[File]) -> Iterator[None]:
+    """Jobs that read these files take about ``TASK_ROWS`` of them per task: the first step of ``keep_latest`` sorts what a task reads."""
+    rows, conf = sum(f.rows for f in files), lake.spark.conf
+    share = sum(f.bytes for f in files) * TASK_ROWS // max(rows, 1)
+    changed = {SPLIT: min(max(share, 1 << 20), 128 << 20), OPEN_COST: 1 << 20}
+    before = {key: conf.get(key) for key in changed}
+    for key, value in changed.items():
+        conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def clean(lake: Lake, tables: Iterable[Table], before: dt.datetime) -> int:
