@@ -33,26 +33,33 @@ MASKS = ("111011001011", "110100110111", "111111110000", "101101110101")
 SHORT, SHORT_MASKS = 24, ("10001111", "101100101")
 SHARE, COVER, LEAST, RUN = 0.8, 0.6, 8, 50
 BLOCK = 5_000
+#: Tokens that are hashed at once: texts are short, and one by one the calls cost more than the work.
+TOGETHER = 16_384
 TOKEN = re.compile(r"[^\W_]+")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+class _Known(dict):
+    """Token to hash; one that is asked for the first time is hashed."""
+
+    def __missing__(self, token: str) -> int:
+        import xxhash
+
+        found = self[token] = xxhash.xxh64_intdigest(token)
+        return found
+
+
 class Hashes:
     """Tokens to hashes, remembered."""
 
     def __init__(self, remember: int = 500_000):
-        self.known, self.remember = {}, remember
+        self.known, self.remember = _Known(), remember
 
     def __call__(self, text: str | None) -> np.ndarray:
-        import xxhash
-
         tokens = TOKEN.findall((text or "").lower())
         if len(self.known) > self.remember:
             self.known.clear()
-        known = self.known
-        for t in [t for t in set(tokens) if t not in known]:
-            known[t] = xxhash.xxh64_intdigest(t)
-        return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+        return np.fromiter(map(self.known.__getitem__, tokens), np.uint64, len(tokens))
 
 
 def seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
@@ -90,29 +97,37 @@ class Index:
         self.bitmap = np.zeros(1 << 22, bool)
         self.bitmap[self.hashes >> np.uint64(42)] = True
 
-    def hits(self, tokens: np.ndarray) -> set[tuple[int, int]]:
-        """``(item, offset of the item's start in the text)``."""
-        out = set()
+    def hits(self, texts: list[np.ndarray]) -> list[set[tuple[int, int]]]:
+        """``(item, offset of the item's start in the text)`` per text; the texts are hashed as one, without the places that span two."""
+        out: list[set[tuple[int, int]]] = [set() for _ in texts]
+        ends = np.cumsum([len(t) for t in texts])
+        joined = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
         for mask in self.masks:
-            found = seeds(tokens, mask)
+            found = seeds(joined, mask)
             maybe = np.flatnonzero(self.bitmap[found >> np.uint64(42)])
             left = np.searchsorted(self.hashes, found[maybe], "left")
             right = np.searchsorted(self.hashes, found[maybe], "right")
-            for place, a, b in zip(maybe.tolist(), left.tolist(), right.tolist()):
+            known = left < right
+            maybe, left, right = maybe[known], left[known], right[known]
+            text = np.searchsorted(ends, maybe, "right")
+            inside = maybe + len(mask) <= ends[text]
+            at = maybe - (ends[text] - np.array([len(t) for t in texts], np.int64)[text])
+            for t, place, a, b in zip(*(x[inside].tolist() for x in (text, at, left, right))):
                 for item, start in self.spots[a:b].tolist():
-                    out.add((item, place - start))
+                    out[t].add((item, place - start))
         for size, members in self.short.items():
             for item in members:
                 wanted = self.items[item][1]
-                for place in np.flatnonzero(tokens[: len(tokens) - size + 1] == wanted[0]).tolist():
-                    if np.array_equal(tokens[place : place + size], wanted):
-                        out.add((item, place))
+                for tokens, some in zip(texts, out):
+                    for place in np.flatnonzero(tokens[: len(tokens) - size + 1] == wanted[0]).tolist():
+                        if np.array_equal(tokens[place : place + size], wanted):
+                            some.add((item, place))
         return out
 
-    def overlaps(self, tokens: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
+    def overlaps(self, tokens: np.ndarray, hits: set[tuple[int, int]] | None = None) -> dict[int, tuple[int, int, int, int]]:
         """For each item that overlaps enough: start in the text, tokens, tokens that agree, start in the item."""
         stretches = defaultdict(list)
-        for item, offset in sorted(self.hits(tokens)):
+        for item, offset in sorted(self.hits([tokens])[0] if hits is None else hits):
             wanted = self.items[item][1]
             first, last = max(0, -offset), min(len(wanted), len(tokens) - offset)
             same = wanted[first:last] == tokens[first + offset : last + offset]
@@ -184,17 +199,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataF
     return out
 
 
+def _together(texts: Iterator[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Texts in lists of about ``TOGETHER`` tokens, each with the number of its first."""
+    first, some, size = 0, [], 0
+    for tokens in texts:
+        some.append(tokens)
+        size += len(tokens)
+        if size >= TOGETHER:
+            yield first, some
+            first, some, size = first + len(some), [], 0
+    if some:
+        yield first, some
+
+
 def _scan(sent):
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, hashes = Index(sent.value), Hashes()
         names = [f.split()[0] for f in OUT.split(", ")]
         for part in parts:
             rows = []
-            for doc_id, absent, text, h in zip(part["doc_id"].tolist(), part["absent"].tolist(), part["text"], part["h"].tolist()):
-                tokens = hashes(text)
-                for item, (start, n, agree, _) in index.overlaps(tokens).items():
-                    item_id, wanted = index.items[item]
-                    rows.append((None if absent else doc_id, item_id, start, n, agree, len(wanted), h))
+            for a, texts in _together(map(hashes, part["text"])):
+                ids, absents, hs = (part[c].iloc[a : a + len(texts)].tolist() for c in ("doc_id", "absent", "h"))
+                for doc_id, absent, h, tokens, hits in zip(ids, absents, hs, texts, index.hits(texts)):
+                    for item, (start, n, agree, _) in (index.overlaps(tokens, hits) if hits else {}).items():
+                        item_id, wanted = index.items[item]
+                        rows.append((None if absent else doc_id, item_id, start, n, agree, len(wanted), h))
             yield pd.DataFrame(rows, columns=names).assign(doc_id=pd.array([r[0] for r in rows], "Int64"))
 
     return scan
