@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from ripplelake.llm.common import spare_name, stored
 
 DEPTH, CONSTANT = 2, 5
+#: Rows that a worker holds before it passes them on; a batch of texts makes fifty times as many as it has.
+ROWS = 32_768
 #: Words from which a line that two documents have cannot be chance.
 LONG = 50
 VARIABLE = re.compile(rb"[^ ]*[0-9][^ ]*")
@@ -66,8 +68,14 @@ LINES = "h long, doc_id long, at int, key long, whole boolean"
 
 
 def _lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame(
+            {"h": np.array(h, np.int64), "doc_id": np.array(ids, np.int64), "at": np.array(at, np.int32),
+             "key": np.array(keys, np.uint64).view(np.int64), "whole": np.array(exact, bool)}
+        )
+
+    h, ids, at, keys, exact = [], [], [], [], []
     for part in parts:
-        h, ids, at, keys, exact = [], [], [], [], []
         for one, doc_id, text in zip(part["h"].tolist(), part["doc_id"].tolist(), part["text"]):
             if text is None:
                 continue
@@ -79,10 +87,10 @@ def _lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     at.append(i)
                     keys.append(key)
                 exact += [False] * len(general) + [True] * len(whole)
-        yield pd.DataFrame(
-            {"h": np.array(h, np.int64), "doc_id": np.array(ids, np.int64), "at": np.array(at, np.int32),
-             "key": np.array(keys, np.uint64).view(np.int64), "whole": np.array(exact, bool)}
-        )
+                if len(keys) >= ROWS:
+                    yield frame()
+                    h, ids, at, keys, exact = [], [], [], [], []
+    yield frame()
 
 
 def drops(docs: DataFrame, least: int, spare_copies: bool) -> DataFrame:
