@@ -33,6 +33,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` has made, once all that is made of it is stored itself."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def text_of(column: str = "text") -> Column:
     """A null text counts as an empty one."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripplelake.llm.common import stored, text_of
+from ripplelake.llm.common import discard, stored, text_of
 
 LENGTH, NAMED = 50, 24
 RUN = LENGTH - NAMED + 1
@@ -325,18 +325,21 @@ def removals(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     # The segments of those anchors; one that an earlier document has is gone.
     segments = stored(rows.mapInPandas(_segments(shared), SEGMENTS), "segments")
     firsts = _firsts(segments, ["g", "s"])
-    gone = _later(segments, firsts, ["g", "s"])
+    gone = stored(_later(segments, firsts, ["g", "s"]).select("doc", "h", "at", "own"), "gone")
     # Anchors with different segments in different documents: their 50-byte strings, by pairs of ranks.
     mixed = firsts.groupBy("g").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("final").alias("b")).where("n > 1 AND a < b")
     places = firsts.join(mixed.select("g"), "g").select(
         *_bits_of(F.col("g"), F.shiftrightunsigned("s", 64 - BITMAP + PARTS).bitwiseXOR(F.col("first")))
     )
     differing = sc.broadcast(_marked(places))
+    # The rows that go are stored: their segments would only stand beside the strings.
+    discard(segments)
+    discard(firsts)
     candidates = _candidates(shared, differing)
     again = sc.broadcast(_repeated(rows, lambda doc, text: [left ^ right for left, right, _ in candidates(doc, text)]))
     strings = stored(rows.mapInPandas(_strings(candidates, again), STRINGS), "strings")
     single = _later(strings, _firsts(strings, ["left", "right"], shared_only=True), ["left", "right"])
-    every = gone.select("doc", "h", "at", "own").union(single.select("doc", "h", "at", F.lit(1).alias("own")))
+    every = gone.union(single.select("doc", "h", "at", F.lit(1).alias("own")))
     lists = stored(every.groupBy("doc", "h").agg(F.collect_list(F.struct("at", "own")).alias("gone")), "gone")
     whole = docs.select("doc_id", doc, h, text_of().alias("text"))
     joined = whole.join(lists, ["doc", "h"], "left")
