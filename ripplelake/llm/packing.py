@@ -30,6 +30,8 @@ WINDOW, END = 2048, 1
 #: Units that one index holds.
 SHARD = 2048
 K1, B = 1.2, 0.75
+#: A term is common in an index where more than one of so many units has it.
+COMMON = 8
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
@@ -66,14 +68,29 @@ def _cut(path: str, window: int):
     return cut
 
 
+def _terms(units: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of all units, by unit and ascending: whose they are, which, and how often each occurs."""
+    keys = np.concatenate(units).astype(np.uint64) if units else np.zeros(0, np.uint64)
+    keys |= np.repeat(np.arange(len(units), dtype=np.uint64) << np.uint64(32), [len(u) for u in units])
+    keys.sort()
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(starts, append=len(keys))
+    return (keys[starts] >> np.uint64(32)).astype(np.int64), (keys[starts] & np.uint64(2**32 - 1)).astype(np.int64), counts
+
+
+def _some(ids: pd.Series, most: int = 512) -> Iterator[list[np.ndarray]]:
+    """Units, so many at a time."""
+    for at in range(0, len(ids), most):
+        yield [np.frombuffer(raw, "<u4") for raw in ids.iloc[at : at + most]]
+
+
 def _frequencies(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(0, np.int64)
     for part in parts:
-        for raw in part["ids"]:
-            terms = np.unique(np.frombuffer(raw, "<u4"))
-            if len(terms) and terms[-1] >= len(total):
-                total = np.append(total, np.zeros(int(terms[-1]) + 1 - len(total), np.int64))
-            total[terms] += 1
+        for units in _some(part["ids"]):
+            found = np.bincount(_terms(units)[1], minlength=len(total))
+            found[: len(total)] += total
+            total = found
     at = np.flatnonzero(total)
     yield pd.DataFrame({"term": at.astype(np.int64), "n": total[at]})
 
@@ -86,24 +103,30 @@ class Weights:
         self.idf = np.zeros(int(terms.max()) + 1 if len(terms) else 1, np.float32)
         self.idf[terms] = np.log(1 + (n - counts + 0.5) / (counts + 0.5))
 
-    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct terms and their impacts."""
-        terms, tf = np.unique(ids, return_counts=True)
+    def of(self, units: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct terms of all units: whose they are, which, and their impacts."""
+        owner, terms, tf = _terms(units)
         tf = tf.astype(np.float32)
-        return terms, self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / self.mean))
+        sizes = np.array([len(u) for u in units], np.int64)
+        norm = (K1 * (1 - B + B * sizes / self.mean)).astype(np.float32)
+        return owner, terms, self.idf[terms] * tf * np.float32(K1 + 1) / (tf + norm[owner])
 
 
 def _route(sent):
     def route(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = Weights(*sent.value)
         for part in parts:
-            first, second = [], []
-            for raw in part["ids"]:
-                terms, impact = weights.of(np.frombuffer(raw, "<u4"))
-                best = terms[np.argsort(-impact, kind="stable")[:2]]
-                first.append(int(best[0]))
-                second.append(int(best[-1]))
-            yield part.assign(first=np.array(first, np.int64), second=np.array(second, np.int64))
+            best: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            for units in _some(part["ids"]):
+                owner, terms, impact = weights.of(units)
+                starts = np.searchsorted(owner, np.arange(len(units)))
+                for one in best:  # the weightiest, then the next; the smaller of equals
+                    top = np.flatnonzero(impact == np.maximum.reduceat(impact, starts)[owner])
+                    top = top[np.append(True, owner[top[1:]] != owner[top[:-1]])]
+                    one.append(terms[top])
+                    alone = np.diff(starts, append=len(owner)) == 1
+                    impact[top[~alone]] = -1
+            yield part.assign(first=np.concatenate(best[0]), second=np.concatenate(best[1]))
 
     return route
 
@@ -135,24 +158,32 @@ class Packer:
         self.made, self.open, self.room = self.made + 1, [], self.window
 
     def shard(self, units: list[tuple]) -> None:
-        found = [self.weights.of(u[2]) for u in units]
-        owner = np.repeat(np.arange(len(units)), [len(t) for t, _ in found])
-        terms, impacts = (np.concatenate(x) for x in zip(*found))
+        owner, terms, impacts = self.weights.of([u[2] for u in units])
+        begins = np.searchsorted(owner, np.arange(len(units) + 1))
+        mine = terms
         order = np.argsort(terms, kind="stable")
         terms, owner, impacts = terms[order], owner[order], impacts[order]
         starts = np.searchsorted(terms, np.arange(len(self.weights.idf) + 1))
+        # Terms that many units have are scored for all seeds at once (not in far larger indexes: a score per pair), the others term by term.
+        # Impacts are of single precision, so that their sums in double precision do not depend on the order.
+        many = (np.diff(starts) > max(len(units) // COMMON, 8)) & (len(units) <= 2 * SHARD)
+        common = np.flatnonzero(many)
+        table = np.zeros((len(common), len(units)))
+        spots = np.flatnonzero(many[terms])
+        table[np.searchsorted(common, terms[spots]), owner[spots]] = impacts[spots]
+        shared = (table > 0).T.astype(np.float64) @ table
         unused = np.ones(len(units), bool)
         at = 0
 
         def neighbours(seed: int) -> np.ndarray:
-            """Unused units by their score over all terms of the seed, best first."""
-            mine, _ = found[seed]
-            a, n = starts[mine], starts[mine + 1] - starts[mine]
+            """Scores of the unused units over all terms of the seed."""
+            its = mine[begins[seed] : begins[seed + 1]]
+            its = its[~many[its]]
+            a, n = starts[its], starts[its + 1] - starts[its]
             spots = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-            scores = np.bincount(owner[spots], impacts[spots], len(units))
+            scores = shared[seed] + np.bincount(owner[spots], impacts[spots], len(units))
             scores[~unused] = 0
-            hits = np.flatnonzero(scores)
-            return hits[np.argsort(-scores[hits], kind="stable")]
+            return scores
 
         while at < len(units):
             if not unused[at]:
@@ -163,9 +194,9 @@ class Packer:
             while left:  # a unit longer than the room goes on in the next window
                 left = self.put(left)
             while self.open:
-                hits = neighbours(seed)
-                for i in hits.tolist():
-                    unused[i] = False
+                scores, hits = neighbours(seed), 0
+                while scores[i := int(scores.argmax())] > 0:  # best first, the first of equals
+                    unused[i], scores[i], hits = False, 0, hits + 1
                     left = self.put(units[i])
                     seed = i
                     if left or not self.open:
@@ -174,7 +205,7 @@ class Packer:
                     while left:
                         left = self.put(left)
                     continue  # the remainder seeds the next window
-                if not len(hits):
+                if not hits:
                     break  # nothing related: the next unit in route order goes on in the open window
 
     def finish(self) -> None:

@@ -15,8 +15,8 @@ Other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,10 +27,18 @@ from ripplelake.llm.common import stored, text_of
 
 #: White space as the vocabularies' splitting pattern knows it (Unicode property White_Space); fixed values.
 SPACE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+#: The same in UTF-8: single bytes, and longer ones by their first byte and as numbers.
+_SINGLE = np.isin(np.arange(256), [ord(c) for c in SPACE if ord(c) < 128])
+_LONGER = np.array([int.from_bytes(c.encode(), "big") << 8 * (3 - len(c.encode())) for c in SPACE if ord(c) >= 128])
+_LEADS = np.isin(np.arange(256), _LONGER >> 16)
 
 #: Pieces of one generation that an encoder remembers; the generation before is kept too, so frequent pieces stay known.
-REMEMBER = 600_000
+REMEMBER = 900_000
+#: Pieces of so many bytes are looked up all at once, by their bytes as two numbers.
+SHORT = 16
+#: Pieces that the library is asked for in one row.
+TOGETHER = 1000
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -39,6 +47,96 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts laid end to end: with each text, and with white space after another character."""
+    n = int(ends[-1]) if len(ends) else 0
+    space = _SINGLE[data]
+    if n and data.max() >= 0xC2:
+        lead = np.flatnonzero(_LEADS[data])
+        two = data[lead] == 0xC2
+        code = data[lead].astype(np.int64) << 16 | data[lead + 1].astype(np.int64) << 8 | np.where(two, 0, data[lead + 2])
+        some = np.isin(code, _LONGER)
+        lead, two = lead[some], two[some]
+        space[lead] = space[lead + 1] = True
+        space[lead[~two] + 2] = True
+    begin = np.zeros(n, bool)
+    begin[1:] = space[1:n] & ~space[: n - 1] if n else False
+    begins = np.append(0, ends[:-1])
+    begin[begins[begins < n]] = True
+    return np.flatnonzero(begin)
+
+
+class Known:
+    """Ids of pieces.  A short piece is found by its very bytes, as two numbers and its length, in an open table; a long one by a dictionary."""
+
+    def __init__(self, places: int = 1 << 16):
+        self.pieces, self.used, self.ids = 0, 0, np.zeros(1 << 16, np.uint32)
+        self.long: dict[bytes, tuple[int, int]] = {}
+        self._empty(places)
+
+    def _empty(self, places: int) -> None:
+        self.first, self.second = np.zeros(places, np.uint64), np.zeros(places, np.uint64)
+        self.length, self.n, self.at = np.zeros(places, np.uint8), np.zeros(places, np.uint8), np.zeros(places, np.int32)
+
+    def _place(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        x = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        return (x >> np.uint64(65 - len(self.length).bit_length())).astype(np.int64)
+
+    def find(self, first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The place of each short piece, or -1."""
+        out = self._place(first, second)
+        held = self.length[out]
+        miss = np.flatnonzero((held != length) | (self.first[out] != first) | (self.second[out] != second))
+        place = out[miss]
+        out[miss] = -1
+        going = self.length[place] != 0
+        while going.any():
+            miss, place = miss[going], (place[going] + 1) % len(self.length)
+            same = (self.length[place] == length[miss]) & (self.first[place] == first[miss]) & (self.second[place] == second[miss])
+            out[miss[same]] = place[same]
+            going = ~same & (self.length[place] != 0)
+        return out
+
+    def _keep(self, ids: np.ndarray) -> int:
+        at = self.used
+        while at + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros_like(self.ids))
+        self.ids[at : at + len(ids)] = ids
+        self.used += len(ids)
+        return at
+
+    def add(self, first: np.ndarray, second: np.ndarray, length: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
+        """Short pieces that are different and not known yet, with the number of their ids and those ids, one after the other."""
+        at = self._keep(ids) + np.cumsum(n) - n
+        self.pieces += len(n)
+        if 2 * self.pieces > len(self.length):
+            had = np.flatnonzero(self.length)
+            fields = [(x[had], y) for x, y in zip((self.first, self.second, self.length, self.n, self.at), (first, second, length, n, at))]
+            first, second, length, n, at = (np.concatenate(x) for x in fields)
+            self._empty(1 << (2 * self.pieces).bit_length())
+        place, todo = self._place(first, second), np.arange(len(n))
+        while len(todo):
+            free = todo[self.length[place[todo]] == 0]
+            _, one = np.unique(place[free], return_index=True)
+            some = free[one]
+            where = place[some]
+            self.first[where], self.second[where], self.length[where] = first[some], second[some], length[some]
+            self.n[where], self.at[where] = n[some], at[some]
+            left = np.ones(len(n), bool)
+            left[some] = False
+            todo = todo[left[todo]]
+            place[todo] = (place[todo] + 1) % len(self.length)
+
+    def add_long(self, piece: bytes, ids: np.ndarray) -> None:
+        self.long[piece] = (self._keep(ids), len(ids))
+
+    @property
+    def full(self) -> bool:
+        return self.pieces + len(self.long) > REMEMBER or self.used > 8 * REMEMBER
+
+
 class Encoder:
     """Ids as the library gives them for the vocabulary file, by pieces, which are remembered."""
 
@@ -51,46 +149,114 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        """The pieces of each text, all known afterwards."""
-        pieces = [PIECE.findall(t) for t in texts]
-        if len(self.known) > REMEMBER:
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
-        new = []
-        for piece in {p for ps in pieces for p in ps if p not in known}:
-            if piece in before:
-                known[piece] = before[piece]
-            else:
-                new.append(piece)
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[piece] = np.array(e.ids, "<u4").tobytes()
-        return pieces
+        self.known, self.before = Known(), Known(2)
+        # Bytes of each token: a character of the byte-level alphabet stands for one.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        added = {k: len(t.content.encode()) for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.sizes = np.zeros(max([*vocabulary.values(), *added], default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.sizes[list(added)] = list(added.values())
+
+    def _each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and the number of each."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found))), np.array([len(x) for x in found], np.int64)
+
+    def _ask(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same.  What begins with white space and ends with another character is no different where it stands in a row of such pieces;
+        there the bytes of the tokens tell the pieces apart."""
+        ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), TOGETHER):
+            some = pieces[at : at + TOGETHER]
+            row = [k for k, p in enumerate(some) if p[0] == 32 and 32 < p[-1] < 127]
+            rest = [k for k, p in enumerate(some) if not (p[0] == 32 and 32 < p[-1] < 127)]
+            ids_of, n_of = self._each([b"".join(some[k] for k in row)])
+            ends = np.cumsum(self.sizes[ids_of])
+            upto = np.cumsum([len(some[k]) for k in row])
+            last = np.searchsorted(ends, upto)
+            if not len(row) or not len(ends) or last[-1] != len(ends) - 1 or (ends[last] != upto).any():
+                row, rest = [], list(range(len(some)))
+                ids_of, last = ids_of[:0], last[:0]
+            others, n_others = self._each([some[k] for k in rest])
+            n_of = np.zeros(len(some), np.int64)
+            n_of[row], n_of[rest] = np.diff(last, prepend=-1), n_others
+            both = np.zeros(int(n_of.sum()), np.uint32)
+            in_row = np.zeros(len(some), bool)
+            in_row[row] = True
+            in_row = np.repeat(in_row, n_of)
+            both[in_row], both[~in_row] = ids_of, others
+            ids.append(both)
+            n.append(n_of)
+        return np.concatenate(ids), np.concatenate(n)
+
+    def _learn(self, raw: bytes, start: np.ndarray, first: np.ndarray, second: np.ndarray, length: np.ndarray) -> None:
+        """Short pieces that are not known: those of the generation before, and new ones."""
+        order = np.lexsort((length, second, first))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([x[order[1:]] != x[order[:-1]] for x in (first, second, length)], axis=0)
+        start, first, second, length = (x[order[new]] for x in (start, first, second, length))
+        place = self.before.find(first, second, length)
+        was = place >= 0
+        n = np.zeros(len(place), np.int64)
+        n[was] = self.before.n[place[was]]
+        asked, n_asked = self._ask([raw[a:b] for a, b in zip(start[~was].tolist(), (start + length)[~was].tolist())])
+        n[~was] = n_asked
+        ids = np.zeros(int(n.sum()), np.uint32)
+        from_before = np.repeat(was, n)
+        ids[from_before] = self.before.ids[_ranges(self.before.at[place[was]], n[was])]
+        ids[~from_before] = asked
+        self.known.add(first, second, length, n, ids)
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of the texts, where each text ends, where its pieces start, and where the ids of each piece are and how many; all known afterwards."""
+        if self.known.full:
+            self.known, self.before = Known(len(self.known.length)), self.known
+        known, each = self.known, [t.encode() for t in texts]
+        raw = b"".join([*each, bytes(SHORT)])
+        ends = np.cumsum([len(x) for x in each], dtype=np.int64)
+        data = np.frombuffer(raw, np.uint8)
+        start = _piece_starts(data, ends)
+        length = np.diff(start, append=len(raw) - SHORT)
+        words = np.ndarray((len(raw) - 7,), "<u8", data, strides=(1,))
+        first = words[start] & _MASKS[np.minimum(length, 8)]
+        second = words[start + 8] & _MASKS[np.clip(length - 8, 0, 8)]
+        place = known.find(first, second, length)
+        miss = np.flatnonzero((place < 0) & (length <= SHORT))
+        if len(miss):
+            fields = first[miss], second[miss], length[miss]
+            self._learn(raw, start[miss], *fields)
+            place = known.find(first, second, length)  # the table may have grown
+        at, n = known.at[place].astype(np.int64), known.n[place].astype(np.int64)
+        long = np.flatnonzero(length > SHORT)
+        if len(long):
+            pieces = [raw[a:b] for a, b in zip(start[long].tolist(), (start + length)[long].tolist())]
+            new = [p for p in dict.fromkeys(pieces) if p not in known.long]
+            ids, counts = self._ask(new)
+            for piece, some in zip(new, np.split(ids, np.cumsum(counts)[:-1])):
+                known.add_long(piece, some)
+            at[long], n[long] = np.array([known.long[p] for p in pieces], np.int64).T
+        return data, ends, start, at, n
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = self.learn(texts)  # may start a new generation
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ps)), "<u4") for ps in pieces]
+        _, ends, start, at, n = self._pieces(texts)  # may start a new generation
+        ids = self.known.ids[_ranges(at, n)]
+        upto = np.append(0, np.cumsum(n))[np.searchsorted(start, ends)].tolist()
+        return [ids[a:b] for a, b in zip([0, *upto[:-1]], upto)]
 
     def count(self, texts: list[str]) -> list[int]:
-        pieces = self.learn(texts)
-        get = self.known.__getitem__
-        return [sum(map(len, map(get, ps))) // 4 for ps in pieces]
+        _, ends, start, _, n = self._pieces(texts)
+        return np.diff(np.append(0, np.cumsum(n))[np.searchsorted(start, ends)], prepend=0).tolist()
 
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Where each piece starts, and the tokens before it (with the total at the end)."""
-        pieces = self.learn([text])[0]
-        starts = np.zeros(len(pieces), np.int64)
-        if pieces:
-            np.cumsum([len(p) for p in pieces[:-1]], out=starts[1:])
-        before = np.zeros(len(pieces) + 1, np.int64)
-        np.cumsum([len(self.known[p]) // 4 for p in pieces], out=before[1:])
-        return starts, before
+        """Where each piece starts (in characters), and the tokens before it (with the total at the end)."""
+        data, _, start, _, n = self._pieces([text])
+        chars = np.cumsum((data & 0xC0) != 0x80)
+        return chars[start] - 1, np.append(0, np.cumsum(n))
+
+
+def _ranges(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    return np.repeat(at - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
 def _encoder(path: str) -> Encoder:
@@ -105,7 +271,7 @@ def _encoder(path: str) -> Encoder:
     return made[path]
 
 
-def batches(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
+def batches(texts: list[str], most: int = 500_000) -> Iterator[list[str]]:
     """Texts in order, in lists of about so many characters."""
     some, size = [], 0
     for t in texts:
