@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplelake.llm.common import stored, text_of
-from ripplelake.llm.tokens import _encoder, batches, vocabulary
+from ripplelake.llm.tokens import _encoder, batches, id_type, vocabulary
 
 WINDOW, END = 2048, 1
 #: Units that one index holds.
@@ -41,8 +41,8 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _cut(path: str, window: int):
-    """Full windows as finished pieces; the remainder with its ids."""
+def _cut(path: str, window: int, kind: str):
+    """Full windows as finished pieces; the remainder with its ids, as numbers of the given kind."""
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -61,7 +61,7 @@ def _cut(path: str, window: int):
                         made += 1
                     if n % window:
                         rest = ids[n - n % window :]
-                        rows.append((doc_id, n - len(rest), len(rest), None, n, None, None, rest.astype("<u4").tobytes()))
+                        rows.append((doc_id, n - len(rest), len(rest), None, n, None, None, rest.astype(kind).tobytes()))
                 frame = pd.DataFrame(rows, columns=[*NAMES, "ids"])
                 yield frame.astype({c: "Int64" for c in NAMES})
 
@@ -70,24 +70,26 @@ def _cut(path: str, window: int):
 
 def _terms(units: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct terms of all units, by unit and ascending: whose they are, which, and how often each occurs."""
-    keys = np.concatenate(units).astype(np.uint64) if units else np.zeros(0, np.uint64)
-    keys |= np.repeat(np.arange(len(units), dtype=np.uint64) << np.uint64(32), [len(u) for u in units])
+    ids = np.concatenate(units) if units else np.zeros(0, np.uint16)
+    number, bits = (np.uint32, 16) if ids.dtype.itemsize == 2 and len(units) <= 1 << 16 else (np.uint64, 32)
+    keys = ids.astype(number)
+    keys |= np.repeat(np.arange(len(units), dtype=number) << number(bits), [len(u) for u in units])
     keys.sort()
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    counts = np.diff(starts, append=len(keys))
-    return (keys[starts] >> np.uint64(32)).astype(np.int64), (keys[starts] & np.uint64(2**32 - 1)).astype(np.int64), counts
+    counts, keys = np.diff(starts, append=len(keys)), keys[starts]
+    return (keys >> number(bits)).astype(np.int64), (keys & number((1 << bits) - 1)).astype(np.int64), counts
 
 
-def _some(ids: pd.Series, most: int = 512) -> Iterator[list[np.ndarray]]:
+def _some(ids: pd.Series, kind: str, most: int = 512) -> Iterator[list[np.ndarray]]:
     """Units, so many at a time."""
     for at in range(0, len(ids), most):
-        yield [np.frombuffer(raw, "<u4") for raw in ids.iloc[at : at + most]]
+        yield [np.frombuffer(raw, kind) for raw in ids.iloc[at : at + most]]
 
 
-def _frequencies(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _frequencies(parts: Iterator[pd.DataFrame], kind: str = "<u4") -> Iterator[pd.DataFrame]:
     total = np.zeros(0, np.int64)
     for part in parts:
-        for units in _some(part["ids"]):
+        for units in _some(part["ids"], kind):
             found = np.bincount(_terms(units)[1], minlength=len(total))
             found[: len(total)] += total
             total = found
@@ -112,12 +114,12 @@ class Weights:
         return owner, terms, self.idf[terms] * tf * np.float32(K1 + 1) / (tf + norm[owner])
 
 
-def _route(sent):
+def _route(sent, kind: str = "<u4"):
     def route(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = Weights(*sent.value)
         for part in parts:
             best: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-            for units in _some(part["ids"]):
+            for units in _some(part["ids"], kind):
                 owner, terms, impact = weights.of(units)
                 starts = np.searchsorted(owner, np.arange(len(units)))
                 for one in best:  # the weightiest, then the next; the smaller of equals
@@ -231,14 +233,14 @@ class Packer:
         return frame
 
 
-def _pack(sent, window: int, shard: int):
+def _pack(sent, window: int, shard: int, kind: str = "<u4"):
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         packer, units = Packer(Weights(*sent.value), window, TaskContext.get().partitionId()), []
         for part in parts:
             for doc_id, start, n, raw in zip(part["doc_id"].tolist(), part["start"].tolist(), part["doc_tokens"].tolist(), part["ids"]):
-                units.append((None if pd.isna(doc_id) else int(doc_id), start, np.frombuffer(raw, "<u4"), n))
+                units.append((None if pd.isna(doc_id) else int(doc_id), start, np.frombuffer(raw, kind), n))
                 if len(units) == shard:
                     packer.shard(units)
                     units = []
@@ -254,20 +256,21 @@ def _pack(sent, window: int, shard: int):
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     path = path or vocabulary()
+    kind = id_type(path)
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_of().alias("text"))
-    cut = stored(rows.mapInPandas(_cut(path, window), PIECES + ", ids binary"), "units")
+    cut = stored(rows.mapInPandas(_cut(path, window, kind), PIECES + ", ids binary"), "units")
     units = cut.where("ids IS NOT NULL")
     n, total = units.agg(F.count("*"), F.sum("length")).first()
-    counted = units.select("ids").mapInPandas(_frequencies, "term long, n long")
+    counted = units.select("ids").mapInPandas(lambda parts: _frequencies(parts, kind), "term long, n long")
     terms = counted.groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row per token id
     sent = spark.sparkContext.broadcast(
         (n, (total or 0) / max(n, 1), np.array([t.term for t in terms], np.int64), np.array([t.n for t in terms], np.int64))
     )
     kept = units.select("doc_id", "start", "doc_tokens", "ids")
-    routed = kept.mapInPandas(_route(sent), "doc_id long, start long, doc_tokens long, ids binary, first long, second long")
+    routed = kept.mapInPandas(_route(sent, kind), "doc_id long, start long, doc_tokens long, ids binary, first long, second long")
     shards = max(1, -(-n // shard))
     dealt = routed.repartitionByRange(shards, "first", "second", "doc_id", "start")
     dealt = dealt.sortWithinPartitions("first", "second", "doc_id", "start")
-    packed = dealt.drop("first", "second").mapInPandas(_pack(sent, window, shard), PIECES)
+    packed = dealt.drop("first", "second").mapInPandas(_pack(sent, window, shard, kind), PIECES)
     return cut.where("ids IS NULL").select(*NAMES).union(packed)

@@ -5,6 +5,10 @@ is not white space into white space, whatever surrounds it, and merges never cro
 after another character always starts a token, and what follows does not depend on what came before: a proven stable boundary.
 ``Encoder`` uses it to remember the ids of whole pieces (white space and the word after it).
 
+With the byte-level pattern of GPT-2, a run of letters also ends before any other character, and what follows does not depend on it either.  So
+a piece ends before ASCII punctuation after a letter too (not before characters of added tokens), and a space and letters are one unit of merging, for
+which the model is asked directly, without the splitting.
+
 Overlap resynchronisation: documents of more than ``chunk`` characters are cut into chunks that overlap.  Each is encoded
 on its own, with the offsets of its stable boundaries.  Neighbours are spliced at the first boundary in the overlap that both have; where
 there is none, the overlap of that document is doubled and it is encoded again, until one chunk is the whole document.
@@ -15,8 +19,12 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import codecs
+import re
+import string
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -47,8 +55,35 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Where pieces begin in texts laid end to end: with each text, and with white space after another character."""
+#: Letters are told from other characters below this code point: one or two bytes in UTF-8.
+LETTERS = 0x800
+
+
+def _alphabet() -> str:
+    """The characters that stand for the 256 bytes in byte-level vocabularies."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in same else next(others)) for b in range(256))
+
+
+_ALPHABET = _alphabet()
+
+
+def _plain(tokenizer) -> bool:
+    """Whether it is byte-level with the pattern of GPT-2 and nothing else that looks across a cut."""
+    from tokenizers import models, pre_tokenizers
+
+    first, model = tokenizer.pre_tokenizer, tokenizer.model
+    return (
+        tokenizer.normalizer is None
+        and isinstance(first, pre_tokenizers.ByteLevel) and first.use_regex and not first.add_prefix_space
+        and isinstance(model, models.BPE) and not (model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix)
+        and not any(t.single_word or t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values())
+    )
+
+
+def _piece_starts(data: np.ndarray, ends: np.ndarray, letters: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts laid end to end: with each text, with white space after another character, and with a byte of ``breaks`` after a letter."""
     n = int(ends[-1]) if len(ends) else 0
     space = _SINGLE[data]
     if n and data.max() >= 0xC2:
@@ -61,6 +96,11 @@ def _piece_starts(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         space[lead[~two] + 2] = True
     begin = np.zeros(n, bool)
     begin[1:] = space[1:n] & ~space[: n - 1] if n else False
+    broken = np.flatnonzero(breaks[data[:n]])
+    broken = broken[broken > 1]  # at 1 a letter of two bytes has no room
+    one, two = data[broken - 2].astype(np.int64), data[broken - 1].astype(np.int64)
+    code = np.where(two < 0x80, two, np.where((one >= 0xC2) & (one < 0xE0), (one & 0x1F) << 6 | two & 0x3F, 0))
+    begin[broken[letters[code]]] = True
     begins = np.append(0, ends[:-1])
     begin[begins[begins < n]] = True
     return np.flatnonzero(begin)
@@ -75,29 +115,35 @@ class Known:
         self._empty(places)
 
     def _empty(self, places: int) -> None:
-        self.first, self.second = np.zeros(places, np.uint64), np.zeros(places, np.uint64)
-        self.length, self.n, self.at = np.zeros(places, np.uint8), np.zeros(places, np.uint8), np.zeros(places, np.int32)
+        # Rows of the bytes as two numbers, and where the ids are << 16 | how many << 8 | the length: one place in memory for a look.
+        self.rows = np.zeros((places, 3), np.uint64)
 
     def _place(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         x = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
         x ^= x >> np.uint64(29)
         x *= np.uint64(0x9E3779B97F4A7C15)
-        return (x >> np.uint64(65 - len(self.length).bit_length())).astype(np.int64)
-
-    def find(self, first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """The place of each short piece, or -1."""
-        out = self._place(first, second)
-        held = self.length[out]
-        miss = np.flatnonzero((held != length) | (self.first[out] != first) | (self.second[out] != second))
-        place = out[miss]
-        out[miss] = -1
-        going = self.length[place] != 0
-        while going.any():
-            miss, place = miss[going], (place[going] + 1) % len(self.length)
-            same = (self.length[place] == length[miss]) & (self.first[place] == first[miss]) & (self.second[place] == second[miss])
-            out[miss[same]] = place[same]
-            going = ~same & (self.length[place] != 0)
-        return out
+        return (x >> np.uint64(65 - len(self.rows).bit_length())).astype(np.int64)
+
+    def find(self, first: np.ndarray, second: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each short piece are and how many; -1 and 0 for one that is not known."""
+        place, length = self._place(first, second), length.astype(np.uint64)
+        held = self.rows.take(place, axis=0)
+        out = held[:, 2]
+        size = out & np.uint64(255)
+        miss = np.flatnonzero((size != length) | (held[:, 0] != first) | (held[:, 1] != second))
+        going = size[miss] != 0
+        out[miss] = 0
+        miss, place = miss[going], place[miss[going]]
+        while len(miss):
+            place = (place + 1) % len(self.rows)
+            held = self.rows.take(place, axis=0)
+            size = held[:, 2] & np.uint64(255)
+            same = (size == length[miss]) & (held[:, 0] == first[miss]) & (held[:, 1] == second[miss])
+            out[miss[same]] = held[same, 2]
+            going = ~same & (size != 0)
+            miss, place = miss[going], place[going]
+        out = out.astype(np.int64)
+        return np.where(out == 0, -1, out >> 16), out >> 8 & 255
 
     def _keep(self, ids: np.ndarray) -> int:
         at = self.used
@@ -110,24 +156,21 @@ class Known:
     def add(self, first: np.ndarray, second: np.ndarray, length: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
         """Short pieces that are different and not known yet, with the number of their ids and those ids, one after the other."""
         at = self._keep(ids) + np.cumsum(n) - n
+        rows = np.column_stack([first, second, (at << 16 | n << 8 | length).astype(np.uint64)])
         self.pieces += len(n)
-        if 2 * self.pieces > len(self.length):
-            had = np.flatnonzero(self.length)
-            fields = [(x[had], y) for x, y in zip((self.first, self.second, self.length, self.n, self.at), (first, second, length, n, at))]
-            first, second, length, n, at = (np.concatenate(x) for x in fields)
+        if 2 * self.pieces > len(self.rows):
+            rows = np.concatenate([self.rows[self.rows[:, 2] != 0], rows])
             self._empty(1 << (2 * self.pieces).bit_length())
-        place, todo = self._place(first, second), np.arange(len(n))
+        place, todo = self._place(rows[:, 0], rows[:, 1]), np.arange(len(rows))
         while len(todo):
-            free = todo[self.length[place[todo]] == 0]
+            free = todo[self.rows[place[todo], 2] == 0]
             _, one = np.unique(place[free], return_index=True)
             some = free[one]
-            where = place[some]
-            self.first[where], self.second[where], self.length[where] = first[some], second[some], length[some]
-            self.n[where], self.at[where] = n[some], at[some]
-            left = np.ones(len(n), bool)
+            self.rows[place[some]] = rows[some]
+            left = np.ones(len(rows), bool)
             left[some] = False
             todo = todo[left[todo]]
-            place[todo] = (place[todo] + 1) % len(self.length)
+            place[todo] = (place[todo] + 1) % len(self.rows)
 
     def add_long(self, piece: bytes, ids: np.ndarray) -> None:
         self.long[piece] = (self._keep(ids), len(ids))
@@ -156,6 +199,17 @@ class Encoder:
         self.sizes = np.zeros(max([*vocabulary.values(), *added], default=0) + 1, np.int64)
         self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.sizes[list(added)] = list(added.values())
+        # Which characters are letters is what the splitting says: between two letters only a letter splits nothing off.
+        self.letters, self.breaks, self.word, self.model = np.zeros(LETTERS, bool), np.zeros(256, bool), None, self.tokenizer.model
+        if _plain(self.tokenizer):
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.letters[:] = [len(split(f"a{chr(c)}a")) == 1 for c in range(LETTERS)]
+            contents = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+            self.breaks[[ord(c) for c in string.punctuation if c not in contents]] = True
+            known = "".join(re.escape(chr(c)) for c in np.flatnonzero(self.letters).tolist())
+            # No added token may hide in a word: each has a character that words have not.
+            if all(re.search(f"[^ {known}]", t.content) for t in self.tokenizer.get_added_tokens_decoder().values()):
+                self.word = re.compile(f" ?[{known}]+").fullmatch
 
     def _each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, one after the other, and the number of each."""
@@ -163,6 +217,23 @@ class Encoder:
         return np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found))), np.array([len(x) for x in found], np.int64)
 
     def _ask(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same; what is a space and letters is asked of the model."""
+        word, model, encode = self.word, self.model.tokenize, codecs.charmap_decode
+        plain = np.array([word is not None and word(p.decode()) is not None for p in pieces], bool)
+        ids, n, tell, number = [], [], plain.tolist(), attrgetter("id")
+        for p, is_word in zip(pieces, tell):
+            if is_word:
+                found = model(encode(p, "strict", _ALPHABET)[0])
+                ids.extend(map(number, found))
+                n.append(len(found))
+        others, n_others = self._ask_rows([p for p, is_word in zip(pieces, tell) if not is_word])
+        n_of = np.zeros(len(pieces), np.int64)
+        n_of[plain], n_of[~plain] = n, n_others
+        both, of_words = np.zeros(int(n_of.sum()), np.uint32), np.repeat(plain, n_of)
+        both[of_words], both[~of_words] = ids, others
+        return both, n_of
+
+    def _ask_rows(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same.  What begins with white space and ends with another character is no different where it stands in a row of such pieces;
         there the bytes of the tokens tell the pieces apart."""
         ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
@@ -195,38 +266,35 @@ class Encoder:
         new = np.ones(len(order), bool)
         new[1:] = np.any([x[order[1:]] != x[order[:-1]] for x in (first, second, length)], axis=0)
         start, first, second, length = (x[order[new]] for x in (start, first, second, length))
-        place = self.before.find(first, second, length)
-        was = place >= 0
-        n = np.zeros(len(place), np.int64)
-        n[was] = self.before.n[place[was]]
+        at, n = self.before.find(first, second, length)
+        was = at >= 0
         asked, n_asked = self._ask([raw[a:b] for a, b in zip(start[~was].tolist(), (start + length)[~was].tolist())])
         n[~was] = n_asked
         ids = np.zeros(int(n.sum()), np.uint32)
         from_before = np.repeat(was, n)
-        ids[from_before] = self.before.ids[_ranges(self.before.at[place[was]], n[was])]
+        ids[from_before] = self.before.ids[_ranges(at[was], n[was])]
         ids[~from_before] = asked
         self.known.add(first, second, length, n, ids)
 
     def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes of the texts, where each text ends, where its pieces start, and where the ids of each piece are and how many; all known afterwards."""
         if self.known.full:
-            self.known, self.before = Known(len(self.known.length)), self.known
+            self.known, self.before = Known(len(self.known.rows)), self.known
         known, each = self.known, [t.encode() for t in texts]
         raw = b"".join([*each, bytes(SHORT)])
         ends = np.cumsum([len(x) for x in each], dtype=np.int64)
         data = np.frombuffer(raw, np.uint8)
-        start = _piece_starts(data, ends)
+        start = _piece_starts(data, ends, self.letters, self.breaks)
         length = np.diff(start, append=len(raw) - SHORT)
         words = np.ndarray((len(raw) - 7,), "<u8", data, strides=(1,))
         first = words[start] & _MASKS[np.minimum(length, 8)]
         second = words[start + 8] & _MASKS[np.clip(length - 8, 0, 8)]
-        place = known.find(first, second, length)
-        miss = np.flatnonzero((place < 0) & (length <= SHORT))
+        at, n = known.find(first, second, length)
+        miss = np.flatnonzero((at < 0) & (length <= SHORT))
         if len(miss):
             fields = first[miss], second[miss], length[miss]
             self._learn(raw, start[miss], *fields)
-            place = known.find(first, second, length)  # the table may have grown
-        at, n = known.at[place].astype(np.int64), known.n[place].astype(np.int64)
+            at[miss], n[miss] = known.find(*fields)
         long = np.flatnonzero(length > SHORT)
         if len(long):
             pieces = [raw[a:b] for a, b in zip(start[long].tolist(), (start + length)[long].tolist())]
@@ -271,6 +339,13 @@ def _encoder(path: str) -> Encoder:
     return made[path]
 
 
+def id_type(path: str) -> str:
+    """The smallest type for the ids of a vocabulary: two bytes or four, unsigned, little-endian."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab().values(), default=0) < 1 << 16 else "<u4"
+
+
 def batches(texts: list[str], most: int = 500_000) -> Iterator[list[str]]:
     """Texts in order, in lists of about so many characters."""
     some, size = [], 0

@@ -105,3 +105,57 @@ def test_common_terms_are_scored_like_others(monkeypatch):
     plain = packed()
     monkeypatch.setattr(packing, "COMMON", 1000)
     assert packed() == plain and len(plain) > 100
+
+
+def test_words_are_asked_of_the_model_once_whatever_follows(monkeypatch):
+    encoder, split = tokens.Encoder(tokens.vocabulary()), []
+    rows = encoder._ask_rows
+    monkeypatch.setattr(encoder, "_ask_rows", lambda pieces: split.extend(pieces) or rows(pieces))
+    made = random.Random(5)
+    words = ["".join(made.choices("abdeiéß", k=7)) for _ in range(400)]
+    text = " ".join(w + mark for mark in ("", ".", ",", "!", "%%%", "-x") for w in words)
+    assert encoder.ids([" " + text])[0].tolist() == library(encoder, [" " + text])[0]
+    assert encoder.known.pieces + len(encoder.known.long) <= 400 + 6
+    assert len(split) <= 5  # the marks
+
+
+def test_letters_and_what_ends_them():
+    """Any character between letters, before and after marks; added tokens in words; contractions."""
+    encoder = tokens.Encoder(tokens.vocabulary())
+    chars = [*map(chr, range(0x900)), "中", " ", "ꙮ", "ﬁ", "😀", "\U00010400"]
+    texts = [f"b{c}b. {c}. a{c}, {c}{c}!a {c}'s b{c}'s. x{c}-{c}%" for c in chars]
+    texts += ["a<|endoftext|>.b", "a.<|endoftext|>b", "don't. we'll, it's's 's. a's.b", "a<|endoftext", "|>a.", "é.", "a.", " .", ".a", "aé.éa!"]
+    assert [x.tolist() for x in encoder.ids(texts)] == library(encoder, texts)
+    assert [x.tolist() for t in texts for x in encoder.ids([t])] == library(encoder, texts)
+
+
+def test_added_tokens_and_other_splittings_are_not_cut(tmp_path):
+    from tokenizers import AddedToken, Tokenizer, pre_tokenizers
+
+    texts = texts_of(60, 9) + ["xab.cy ab.c, ab.c", "abcab. abc", "a9.b", "b.", "ab,ab."]
+    for k, change in enumerate([
+        lambda t: t.add_tokens([AddedToken("ab.c")]),
+        lambda t: t.add_tokens([AddedToken("ab", normalized=False)]),
+        lambda t: t.add_tokens([AddedToken("ab", single_word=True)]),
+        lambda t: t.add_tokens([AddedToken("ab,", rstrip=True)]),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)])),
+    ]):
+        tokenizer = Tokenizer.from_file(tokens.vocabulary())
+        change(tokenizer)
+        tokenizer.save(path := str(tmp_path / f"{k}.json"))
+        encoder = tokens.Encoder(path)
+        assert [x.tolist() for x in encoder.ids(texts)] == library(encoder, texts), k
+
+
+def test_ids_of_two_bytes_are_packed_like_ids_of_four():
+    assert tokens.id_type(tokens.vocabulary()) == "<u2"
+    units = units_of(700, 3)
+    small = [u.astype("<u2") for u in units]
+    for got, plain in zip(packing._terms(small), packing._terms(units)):
+        assert got.tolist() == plain.tolist()
+    found = pd.concat(packing._frequencies(iter([pd.DataFrame({"ids": [u.tobytes() for u in small]})]), "<u2"))
+    terms, counts = np.unique(np.concatenate([np.unique(u) for u in units]), return_counts=True)
+    assert found["term"].tolist() == terms.tolist() and found["n"].tolist() == counts.tolist()
+    many = [np.array([k % 7, 65_535], "<u2") for k in range(70_000)]  # more than two bytes count
+    owner, terms, counts = packing._terms(many)
+    assert owner.tolist() == np.repeat(np.arange(70_000), 2).tolist() and terms.tolist() == np.concatenate(many).tolist() and set(counts) == {1}
